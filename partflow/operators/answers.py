@@ -54,15 +54,19 @@ def _opening(intent: str) -> Column:
     return F.lit(fv.ANSWER_OPENINGS[intent] + "\n\n")
 
 
+def _at_level(parts: Column, level: str, named: list[str]) -> Column:
+    """Parts of a risk level; LOW also takes whatever is not named."""
+    if level in named:
+        return F.filter(parts, lambda h: h["risk"] == level)
+    return F.filter(parts, lambda h: ~h["risk"].isin(*named))
+
+
 def _risk(hits: Column) -> Column:
     parts = F.filter(hits, _is_part)
     named = [level for level, _ in fv.RISK_GROUPS if level != "LOW"]
     pieces = [_opening("risk")]
     for level, title in fv.RISK_GROUPS:
-        if level == "LOW":
-            group = F.filter(parts, lambda h: ~h["risk"].isin(*named))
-        else:
-            group = F.filter(parts, lambda h, level=level: h["risk"] == level)
+        group = _at_level(parts, level, named)
         lines = _each(
             group,
             lambda h: fill("  - {p} ({d}, trend: {t})\n", p=h["part"], d=h["demand_type"], t=h["trend"]),

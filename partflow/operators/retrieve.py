@@ -23,8 +23,11 @@ from partflow.operators.evaluate import stack
 PASS_SIZE = 64
 # Hits up to this many rows are broadcast to the chunks.
 BROADCAST_HITS = 100_000
-# Whitespace as text splitting in Python understands it.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
+# Code points that split words, as Python's ``str.split`` has them.
+SPACE_CODES = (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)
+SPACE = "[" + "".join(map(chr, SPACE_CODES)) + "]+"
 
 
 def query_terms(question: Column) -> Column:
