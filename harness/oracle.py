@@ -23,6 +23,11 @@ def rd(x: str, n: int) -> str:
     return f"(round_even(({x})::DOUBLE * 1e{n}::DOUBLE, 0) / 1e{n}::DOUBLE)"
 
 
+def mean(x: str) -> str:
+    """Mean of doubles taken at 8 decimals, free of summation order."""
+    return f"(sum({rd(x, 8)}::DECIMAL(28,10))::DOUBLE / count({x}))"
+
+
 def case(column: str, mapping: dict, miss: str) -> str:
     arms = " ".join(f"WHEN {q(k)} THEN {v if isinstance(v, int) else q(v)}" for k, v in mapping.items())
     return f"CASE {column} {arms} ELSE {miss} END"
@@ -59,7 +64,7 @@ prices AS (
   JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
   JOIN region ON r_regionkey = n_regionkey
 ),
-averages AS (SELECT item_id, store_id, avg(sell_price) AS sell_price FROM prices GROUP BY ALL)"""
+averages AS (SELECT item_id, store_id, {mean('sell_price')} AS sell_price FROM prices GROUP BY ALL)"""
 
 PART_OF = case("item_id", MAPS["item_map"], "item_id")
 TYPE_OF = case("dept_id", MAPS["dept_map"], q(fv.DEFAULT_DEMAND_TYPE))
@@ -172,7 +177,7 @@ put(
 put(
     "price_join_weekly",
     f"""WITH {RAW}, sold AS (SELECT *, (year(date) * 100 + week(date))::INT AS wm_yr_wk FROM raw),
-    weekly AS (SELECT item_id, store_id, wm_yr_wk, avg(sell_price) AS sell_price FROM prices GROUP BY ALL)
+    weekly AS (SELECT item_id, store_id, wm_yr_wk, {mean('sell_price')} AS sell_price FROM prices GROUP BY ALL)
     SELECT item_id, store_id, wm_yr_wk, order_key, line_number,
            {rd(f'coalesce(sell_price, {fv.DEFAULT_UNIT_COST})', 6)} AS sell_price
     FROM sold LEFT JOIN weekly USING (item_id, store_id, wm_yr_wk)""",
@@ -390,9 +395,9 @@ put("forecast_seasonal", f"WITH RECURSIVE {SCORED} SELECT {KEY}, demand_quantity
 # Metrics
 
 ERRORS = "abs(actual - predicted)"
-MAE = f"avg({ERRORS})"
-RMSE = "sqrt(avg((actual - predicted) ** 2))"
-MAPE = "coalesce(avg(abs((actual - predicted) / actual)) FILTER (actual > 0) * 100, 0)"
+MAE = mean(ERRORS)
+RMSE = f"sqrt({mean('(actual - predicted) * (actual - predicted)')})"
+MAPE = f"coalesce({mean('CASE WHEN actual > 0 THEN abs((actual - predicted) / actual) END')} * 100, 0)"
 METRICS = (
     SCORED
     + f""",
@@ -426,8 +431,8 @@ put(
     (SELECT 'mae' AS metric, model, mae AS value FROM metrics ORDER BY mae, model LIMIT 1) UNION ALL
     (SELECT 'mape', model, mape FROM metrics ORDER BY mape, model LIMIT 1)""",
 )
-SUMMARY = f"""count(*) AS total_predictions, {rd('avg(actual)', 2)} AS mean_actual,
-    {rd('avg(predicted)', 2)} AS mean_predicted, {rd(MAE, 2)} AS mae FROM lead"""
+SUMMARY = f"""count(*) AS total_predictions, {rd(mean('actual'), 2)} AS mean_actual,
+    {rd(mean('predicted'), 2)} AS mean_predicted, {rd(MAE, 2)} AS mae FROM lead"""
 put("forecast_summary", f"WITH RECURSIVE {METRICS} SELECT {SUMMARY}")
 put("forecast_summary_part", f"WITH RECURSIVE {METRICS} SELECT {SUMMARY} WHERE part_number = 'AMAT-RF-7800-GEN'")
 IN_TIME = "transaction_date, part_number, order_key, line_number"
@@ -449,9 +454,9 @@ part_profile AS (
   SELECT part_number, arg_min(demand_type, (transaction_date, order_key, line_number)) AS demand_type, region, n_days,
          {rd('avg(demand_quantity)', 1)} AS avg_demand, max(demand_quantity) AS max_demand, min(demand_quantity) AS min_demand,
          {rd('stddev_samp(demand_quantity)', 1)} AS std_demand, sum(demand_quantity)::BIGINT AS total_demand,
-         {rd('avg(unit_cost)', 2)} AS unit_cost,
-         {rd('sum(rolling_mean_7::DECIMAL(28,10))::DOUBLE / count(*)', 1)} AS rolling_mean_7,
-         {rd('sum(rolling_std_7::DECIMAL(28,10))::DOUBLE / count(*)', 1)} AS rolling_std_7,
+         {rd(mean('unit_cost'), 2)} AS unit_cost,
+         {rd(mean('rolling_mean_7'), 1)} AS rolling_mean_7,
+         {rd(mean('rolling_std_7'), 1)} AS rolling_std_7,
          min(transaction_date) AS first_date, max(transaction_date) AS last_date,
          sum(has_npi_signal)::BIGINT AS npi_days, {rd('sum(has_npi_signal) / count(*) * 100', 1)} AS npi_pct
   FROM features JOIN (

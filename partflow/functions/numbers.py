@@ -13,8 +13,13 @@ def round_even(x: Column, digits: int) -> Column:
 
 
 def exact_sum(x: Column) -> Column:
-    """Sum of doubles as decimals: the same total however rows are spread."""
-    return F.sum(x.cast("decimal(28,10)")).cast("double")
+    """Sum of doubles taken at 8 decimals: the same total however rows are spread."""
+    return F.sum(round_even(x, 8).cast("decimal(28,10)")).cast("double")
+
+
+def exact_mean(x: Column) -> Column:
+    """Mean of the non-null values by ``exact_sum``; null if there are none."""
+    return exact_sum(x) / F.nullif(F.count(x), F.lit(0))
 
 
 def sample_std(n: Column, total: Column, squares: Column) -> Column:
@@ -29,12 +34,12 @@ def sample_std(n: Column, total: Column, squares: Column) -> Column:
 
 
 def fixed_text(x: Column, digits: int) -> Column:
-    """``digits`` decimals, always."""
-    return F.format_string(f"%.{digits}f", x)
+    """``digits`` decimals, always; null stays null."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
 
 
 def signed_text(x: Column, digits: int) -> Column:
-    return F.format_string(f"%+.{digits}f", x)
+    return F.when(x.isNotNull(), F.format_string(f"%+.{digits}f", x))
 
 
 def short_text(x: Column, digits: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.functions.numbers import exact_sum, round_even
+from partflow.functions.numbers import exact_mean, round_even
 
 PART = "part_number"
 
@@ -35,19 +35,19 @@ def stack(frames: list[DataFrame]) -> DataFrame:
 
 
 def _mae() -> Column:
-    return exact_sum(F.abs(F.col("actual") - F.col("predicted"))) / F.count(F.lit(1))
+    return exact_mean(F.abs(F.col("actual") - F.col("predicted")))
 
 
 def _rmse() -> Column:
     error = F.col("actual") - F.col("predicted")
-    return F.sqrt(exact_sum(error * error) / F.count(F.lit(1)))
+    return F.sqrt(exact_mean(error * error))
 
 
 def _mape() -> Column:
     """Mean percentage error over rows with demand; 0 if there are none."""
     demand = F.col("actual") > 0
     share = F.when(demand, F.abs((F.col("actual") - F.col("predicted")) / F.col("actual")))
-    return F.coalesce(exact_sum(share) / F.nullif(F.count(share), F.lit(0)) * 100, F.lit(0.0))
+    return F.coalesce(exact_mean(share) * 100, F.lit(0.0))
 
 
 def model_metrics(predictions: DataFrame) -> DataFrame:
@@ -97,11 +97,10 @@ def best_models(metrics: DataFrame) -> DataFrame:
 def forecast_summary(predictions: DataFrame, part: str | None = None) -> DataFrame:
     """Rows, means and MAE of one model's predictions, optionally of one part."""
     rows = predictions if part is None else predictions.filter(F.col(PART) == part)
-    n = F.count(F.lit(1))
     return rows.agg(
-        n.alias("total_predictions"),
-        round_even(exact_sum(F.col("actual")) / n, 2).alias("mean_actual"),
-        round_even(exact_sum(F.col("predicted")) / n, 2).alias("mean_predicted"),
+        F.count(F.lit(1)).alias("total_predictions"),
+        round_even(exact_mean(F.col("actual")), 2).alias("mean_actual"),
+        round_even(exact_mean(F.col("predicted")), 2).alias("mean_predicted"),
         round_even(_mae(), 2).alias("mae"),
     )
 

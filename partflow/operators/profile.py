@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.functions.numbers import exact_sum, round_even, sample_std
+from partflow.functions.numbers import exact_mean, round_even, sample_std
 
 PART, DATE, QUANTITY = "part_number", "transaction_date", "demand_quantity"
 
@@ -38,9 +38,9 @@ def part_statistics(features: DataFrame, ties: tuple[str, ...] = ()) -> DataFram
         F.min(QUANTITY).alias("min_demand"),
         round_even(sample_std(n, F.sum(q), F.sum(q * q)), 1).alias("std_demand"),
         F.sum(q).alias("total_demand"),
-        round_even(exact_sum(F.col("unit_cost")) / n, 2).alias("unit_cost"),
-        round_even(exact_sum(F.col("rolling_mean_7")) / n, 1).alias("rolling_mean_7"),
-        round_even(exact_sum(F.col("rolling_std_7")) / n, 1).alias("rolling_std_7"),
+        round_even(exact_mean(F.col("unit_cost")), 2).alias("unit_cost"),
+        round_even(exact_mean(F.col("rolling_mean_7")), 1).alias("rolling_mean_7"),
+        round_even(exact_mean(F.col("rolling_std_7")), 1).alias("rolling_std_7"),
         F.min(DATE).alias("first_date"),
         F.max(DATE).alias("last_date"),
         F.sum("has_npi_signal").alias("npi_days"),

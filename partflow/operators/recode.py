@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
+from partflow.functions.numbers import exact_mean
 
 # A dictionary up to this size becomes a literal map inside the projection; a
 # larger one is joined. Up to BROADCAST_ENTRIES it is sent to every executor.
@@ -32,7 +33,7 @@ def recode(df: DataFrame, source: str, target: str, mapping: dict[str, str], mis
 
 def average_prices(prices: DataFrame) -> DataFrame:
     """Mean price of an item in a store over all weeks."""
-    return prices.groupBy("item_id", "store_id").agg(F.avg("sell_price").alias("sell_price"))
+    return prices.groupBy("item_id", "store_id").agg(exact_mean(F.col("sell_price")).alias("sell_price"))
 
 
 def attach_prices(sales: DataFrame, prices: DataFrame, item_map: dict[str, str]) -> DataFrame:
@@ -54,7 +55,7 @@ def attach_prices(sales: DataFrame, prices: DataFrame, item_map: dict[str, str])
 def attach_weekly_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:
     """Variant for sales with a week key: the price of that very week."""
     keys = ["item_id", "store_id", "wm_yr_wk"]
-    weekly = prices.groupBy(*keys).agg(F.avg("sell_price").alias("sell_price"))
+    weekly = prices.groupBy(*keys).agg(exact_mean(F.col("sell_price")).alias("sell_price"))
     joined = sales.join(weekly, keys, "left")
     return joined.withColumn("sell_price", F.coalesce("sell_price", F.lit(fv.DEFAULT_UNIT_COST)))
 
