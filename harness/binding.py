@@ -22,7 +22,7 @@ from partflow.operators.ordering import hot_keys
 from partflow.operators.profile import part_profiles
 from partflow.operators.quality import quality_flags
 from partflow.operators.recode import conform
-from partflow.operators.split import find_cut, test_rows, train_rows
+from partflow.operators.split import find_cut, fit_rows, holdout_rows
 from partflow.plans.forecast import split_order
 from partflow.session import materialize
 
@@ -208,10 +208,10 @@ class Phases:
         return self._once("cut", lambda: find_cut(self.features(), split_order(TIES)))
 
     def train(self) -> DataFrame:
-        return train_rows(self.features(), self.cut())
+        return fit_rows(self.features(), self.cut())
 
     def test(self) -> DataFrame:
-        return test_rows(self.features(), self.cut())
+        return holdout_rows(self.features(), self.cut())
 
     def states(self) -> DataFrame:
         return self._once(

@@ -21,6 +21,8 @@ def recode(df: DataFrame, source: str, target: str, mapping: dict[str, str], mis
     (constant default), the source column (keep) or ``None`` (null).
     """
     fallback = F.lit(None).cast("string") if miss is None else miss
+    if not mapping:
+        return df.withColumn(target, fallback)
     if len(mapping) <= LITERAL_ENTRIES:
         lookup = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
         return df.withColumn(target, F.coalesce(lookup[F.col(source)], fallback))

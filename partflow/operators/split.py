@@ -84,11 +84,11 @@ def with_split(df: DataFrame, cut: TimeCut) -> DataFrame:
     return df.withColumn("split", F.when(cut.is_train(), F.lit("train")).otherwise(F.lit("test")))
 
 
-def train_rows(df: DataFrame, cut: TimeCut) -> DataFrame:
+def fit_rows(df: DataFrame, cut: TimeCut) -> DataFrame:
     return df.filter(cut.is_train())
 
 
-def test_rows(df: DataFrame, cut: TimeCut) -> DataFrame:
+def holdout_rows(df: DataFrame, cut: TimeCut) -> DataFrame:
     return df.filter(~cut.is_train())
 
 

@@ -13,7 +13,7 @@ from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive
 from partflow.operators.models.seasonal import fit_seasonal, predict_seasonal
 from partflow.operators.ordering import ROWS_PER_TASK
-from partflow.operators.split import TimeCut, find_cut, test_rows, train_rows
+from partflow.operators.split import TimeCut, find_cut, fit_rows, holdout_rows
 from partflow.session import materialize
 from partflow.sources.tables import write_csv, write_table
 
@@ -36,14 +36,14 @@ def split_order(ties: tuple[str, ...]) -> tuple[str, ...]:
 
 def seasonal_forecast(features: DataFrame, cut: TimeCut, ties=(), hot: DataFrame | None = None, **params):
     """Fit on the training rows, predict the test rows: (states, scored)."""
-    states = fit_seasonal(train_rows(features, cut), ties, hot=hot, **params)
-    return states, predict_seasonal(test_rows(features, cut), states)
+    states = fit_seasonal(fit_rows(features, cut), ties, hot=hot, **params)
+    return states, predict_seasonal(holdout_rows(features, cut), states)
 
 
 def boosted_forecast(features: DataFrame, cut: TimeCut, **params):
     """Train and predict with the boosted trees: (model, scored)."""
-    booster = BoostedForecaster(**params).train(train_rows(features, cut))
-    return booster, booster.predict(test_rows(features, cut))
+    booster = BoostedForecaster(**params).train(fit_rows(features, cut))
+    return booster, booster.predict(holdout_rows(features, cut))
 
 
 def run_forecast(
@@ -61,10 +61,10 @@ def run_forecast(
     cut = find_cut(features, split_order(ties), rows_per_task=rows_per_task)
     states, seasonal = seasonal_forecast(features, cut, ties, hot, chunk_rows=rows_per_task)
     states = materialize(states, "seasonal-states")
-    seasonal = predict_seasonal(test_rows(features, cut), states)
+    seasonal = predict_seasonal(holdout_rows(features, cut), states)
     scored = [
         prediction_rows(seasonal, fv.SEASONAL_NAME, ties),
-        prediction_rows(predict_naive(test_rows(features, cut)), fv.NAIVE_NAME, ties),
+        prediction_rows(predict_naive(holdout_rows(features, cut)), fv.NAIVE_NAME, ties),
     ]
     booster = None
     if boosted:

@@ -62,17 +62,6 @@ def load_raw(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Da
     return tuple(frames)
 
 
-def unpivot_days(wide: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Wide sales (one column per day, ``d_1`` ...) to one row per day.
-
-    The day number is the position of the date in the calendar.
-    """
-    days = [c for c in wide.columns if c.startswith("d_") and c[2:].isdigit()]
-    keys = [c for c in wide.columns if c not in days]
-    long = wide.unpivot(keys, days, "d", "sales")
-    return long.join(calendar.select("d", "date", "event_name_1"), "d").drop("d")
-
-
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Parquet, optionally in one folder per value of a small vocabulary."""
     writer = df.write.mode("overwrite")
