@@ -24,7 +24,7 @@ from partflow.operators.quality import quality_flags
 from partflow.operators.recode import conform
 from partflow.operators.split import find_cut, fit_rows, holdout_rows
 from partflow.plans.forecast import split_order
-from partflow.session import materialize
+from partflow.session import broadcast_within, materialize
 
 TIES = ("order_key", "line_number")
 KEY = ("part_number", "transaction_date", *TIES)
@@ -96,13 +96,17 @@ def raw_sales(
 
 
 def supplier_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier to region name. 25 nations and 5 regions, at every scale."""
+    """Supplier to region name. 25 nations and 5 regions, at every scale.
+
+    Suppliers grow with the data: they are broadcast up to a counted limit.
+    """
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     regions = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("store_id"))
     stores = nations.join(F.broadcast(regions), nations["n_regionkey"] == regions["r_regionkey"])
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    scan = table(spark, sf_dir, "supplier")
+    suppliers = scan.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     joined = suppliers.join(F.broadcast(stores), suppliers["s_nationkey"] == stores["n_nationkey"])
-    return joined.select("l_suppkey", "store_id")
+    return broadcast_within(joined.select("l_suppkey", "store_id"), scan)
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
@@ -69,29 +69,35 @@ def part_metrics(predictions: DataFrame, order: tuple[str, ...] = ("transaction_
 
 
 def improvement(metrics: DataFrame, baseline: str = fv.NAIVE_NAME) -> DataFrame:
-    """Percent by which each model beats the baseline; 0 if that has no error."""
-    base = metrics.filter(F.col("model") == baseline)
-    base_mae = base.agg(F.max("mae")).scalar()
-    base_mape = base.agg(F.max("mape")).scalar()
+    """Percent by which each model beats the baseline; 0 if that has no error.
 
-    def gain(column: str, reference: Column) -> Column:
+    The baseline is looked up by a window over the metric rows, one per model,
+    so the predictions are aggregated once.
+    """
+    models = Window.partitionBy(F.lit(0))
+
+    def gain(column: str) -> Column:
+        reference = F.max(F.when(F.col("model") == baseline, F.col(column))).over(models)
         return F.coalesce(F.when(reference > 0, (1 - F.col(column) / reference) * 100), F.lit(0.0))
 
-    return metrics.filter(F.col("model") != baseline).select(
+    return metrics.select(
         "model",
-        round_even(gain("mae", base_mae), 1).alias("mae_improvement"),
-        round_even(gain("mape", base_mape), 1).alias("mape_improvement"),
-    )
+        round_even(gain("mae"), 1).alias("mae_improvement"),
+        round_even(gain("mape"), 1).alias("mape_improvement"),
+    ).filter(F.col("model") != baseline)
 
 
 def best_models(metrics: DataFrame) -> DataFrame:
     """The winner by MAE and by MAPE; equal errors go to the first name."""
 
-    def winner(metric: str) -> DataFrame:
-        best = F.min(F.struct(F.col(metric).alias("value"), F.col("model").alias("model"))).alias("best")
-        return metrics.agg(best).select(F.lit(metric).alias("metric"), "best.model", "best.value")
+    def winner(metric: str) -> Column:
+        return F.min(F.struct(F.col(metric).alias("value"), F.col("model").alias("model")))
 
-    return winner("mae").unionByName(winner("mape"))
+    best = metrics.agg(winner("mae").alias("mae"), winner("mape").alias("mape"))
+    rows = F.array(
+        *[F.struct(F.lit(m).alias("metric"), F.col(m)["model"].alias("model"), F.col(m)["value"].alias("value")) for m in ("mae", "mape")]
+    )
+    return best.select(F.inline(rows))
 
 
 def forecast_summary(predictions: DataFrame, part: str | None = None) -> DataFrame:

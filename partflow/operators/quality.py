@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.functions.numbers import round_even, sample_std
@@ -78,8 +78,12 @@ def dataset_summary(df: DataFrame) -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value of a closed vocabulary, with the share in percent."""
+    """Rows per value of a closed vocabulary, with the share in percent.
+
+    The total is a window over the counts: a handful of rows, and the data is
+    read once.
+    """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy(F.lit(0)))
     share = round_even(F.col("n_rows") / total * 100, 1)
     return counts.withColumn("share_pct", share).orderBy(F.desc("n_rows"), column)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
 
@@ -67,3 +68,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_within(df: DataFrame, rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """``df`` with a broadcast hint if ``rows``, which bounds it, is small.
+
+    ``rows`` should be a plain scan, whose count reads file footers only.
+    Beyond the limit the join is left to the planner and shuffles.
+    """
+    return F.broadcast(df) if rows.count() <= limit else df
