@@ -231,33 +231,29 @@ def avg_price(spark, sf_dir):
 # Validation
 
 
-def _checked(spark, sf_dir):
-    return validate.with_errors(b.dirty_demand(spark, sf_dir))
-
-
 @query
 def validate_valid(spark, sf_dir):
-    valid = validate.valid_rows(_checked(spark, sf_dir)).drop("row_part", "row_date")
+    valid = validate.valid_rows(b.dirty_demand(spark, sf_dir)).drop("row_part", "row_date")
     return valid.withColumn("unit_cost", r6("unit_cost"))
 
 
 @query
 def validate_errors(spark, sf_dir):
-    bad = validate.quarantine(_checked(spark, sf_dir), b.DIRTY_KEY)
+    bad = validate.quarantine(b.dirty_demand(spark, sf_dir), b.DIRTY_KEY)
     return bad.select(*b.DIRTY_KEY, F.size("errors").alias("n_errors"), "error")
 
 
 @query
 def validate_error_rows(spark, sf_dir):
     """Errors by row number in key order, as a batch reports them."""
-    checked = _checked(spark, sf_dir).select(*b.DIRTY_KEY, "errors")
+    checked = validate.with_errors(b.dirty_demand(spark, sf_dir)).select(*b.DIRTY_KEY, "errors")
     numbered = number_rows(checked, list(b.DIRTY_KEY)).filter(F.size("errors") > 0)
     return numbered.select("row", validate.error_text(F.col("errors")).alias("error"))
 
 
 @query
 def validation_report(spark, sf_dir):
-    return validate.run_report(_checked(spark, sf_dir), list(fv.DEMAND_COLUMNS))
+    return validate.run_report(b.dirty_demand(spark, sf_dir), list(fv.DEMAND_COLUMNS))
 
 
 @query
@@ -268,7 +264,7 @@ def validation_report_skipped(spark, sf_dir):
 
 @query
 def validation_first_errors(spark, sf_dir):
-    return validate.first_errors(validate.quarantine(_checked(spark, sf_dir), b.DIRTY_KEY), b.DIRTY_KEY)
+    return validate.first_errors(validate.quarantine(b.dirty_demand(spark, sf_dir), b.DIRTY_KEY), b.DIRTY_KEY)
 
 
 # Aggregations

@@ -21,14 +21,16 @@ def date_parts(d: Column) -> dict[str, Column]:
     }
 
 
-def valid_date(text: Column) -> Column:
-    """True for a real year-month-day date; month and day may be unpadded."""
-    shaped = text.rlike(r"^[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9]| [1-9])$")
-    parsed = F.try_to_date(F.replace(text, F.lit(" "), F.lit("")), "y-M-d")
-    ok = shaped & parsed.isNotNull() & ~text.startswith("0000")
-    return F.coalesce(ok, F.lit(False))
+def parse_date(text: Column) -> Column:
+    """The date of a year-month-day text, or null where it is none.
 
+    Four digits of year; month and day may be unpadded. The shape is checked
+    first because a cast alone would also take shorter and longer texts.
+    """
+    shaped = text.rlike(r"^[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9]| [1-9])$") & ~text.startswith("0000")
+    return F.when(shaped, F.replace(text, F.lit(" "), F.lit("")).try_cast("date"))
 
-def parse_date(text: Column) -> Column:
-    """The date, or null where ``valid_date`` is false."""
-    return F.when(valid_date(text), F.try_to_date(F.replace(text, F.lit(" "), F.lit("")), "y-M-d"))
+
+def valid_date(text: Column) -> Column:
+    """True for a real year-month-day date."""
+    return parse_date(text).isNotNull()

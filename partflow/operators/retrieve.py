@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
+from partflow.functions.text import contains_any
 from partflow.operators.evaluate import stack
 
 PASS_SIZE = 64
@@ -38,10 +39,9 @@ def query_terms(question: Column) -> Column:
 
 def question_intent(question: Column) -> Column:
     """The first intent one of whose words is a substring of the question."""
-    low = F.lower(question)
     intent = F
     for name, words in fv.INTENT_WORDS:
-        intent = intent.when(low.rlike("|".join(words)), F.lit(name))
+        intent = intent.when(contains_any(question, words), F.lit(name))
     return intent.otherwise(F.lit(fv.INTENT_OTHER))
 
 

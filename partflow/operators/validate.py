@@ -6,12 +6,14 @@ is column expressions: one narrow pass, no shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partflow import fixed_values as fv
-from partflow.functions.calendar import valid_date
+from partflow.functions.calendar import parse_date, valid_date
 from partflow.functions.numbers import round_even
 from partflow.operators.quality import null_cells
 
@@ -58,8 +60,8 @@ def _quantity_value(df: DataFrame) -> Column:
     return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(text).try_cast("long"))
 
 
-def record_errors(df: DataFrame) -> Column:
-    """All messages of a row, in the order of the checks."""
+def record_checks(df: DataFrame) -> list[tuple[Column, Column]]:
+    """(is bad, message) pairs in the order of the checks; never null."""
 
     def blank(name: str) -> Column:
         return F.length(F.trim(F.coalesce(F.col(name).cast("string"), F.lit("")))) == 0
@@ -78,18 +80,30 @@ def record_errors(df: DataFrame) -> Column:
         cost_missing, cost_low = F.lit(True), F.lit(False)
     date_text = F.col("transaction_date").cast("string")
 
-    found = F.array(
-        F.when(blank("part_number"), F.lit(MSG["part_number"])),
-        F.when(outside("demand_type", fv.DEMAND_TYPES), F.format_string(MSG["demand_type"], _shown(F.col("demand_type")))),
-        F.when(outside("region", fv.REGIONS), F.format_string(MSG["region"], _shown(F.col("region")))),
-        F.when(quantity.isNull(), F.lit(MSG["quantity_type"])),
-        F.when(quantity < 0, F.format_string(MSG["quantity_sign"], quantity.cast("string"))),
-        F.when(cost_missing, F.lit(MSG["cost_type"])),
-        F.when(cost_low, F.format_string(MSG["cost_sign"], cost.cast("string"))),
-        F.when(~valid_date(date_text), F.format_string(MSG["date"], _shown(date_text))),
-        F.when(blank("part_description"), F.lit(MSG["part_description"])),
-    )
-    return F.filter(found, lambda m: m.isNotNull())
+    shown_type, shown_region = _shown(F.col("demand_type")), _shown(F.col("region"))
+    return [
+        (blank("part_number"), F.lit(MSG["part_number"])),
+        (outside("demand_type", fv.DEMAND_TYPES), F.format_string(MSG["demand_type"], shown_type)),
+        (outside("region", fv.REGIONS), F.format_string(MSG["region"], shown_region)),
+        (quantity.isNull(), F.lit(MSG["quantity_type"])),
+        (F.coalesce(quantity < 0, F.lit(False)), F.format_string(MSG["quantity_sign"], quantity.cast("string"))),
+        (cost_missing, F.lit(MSG["cost_type"])),
+        (F.coalesce(cost_low, F.lit(False)), F.format_string(MSG["cost_sign"], cost.cast("string"))),
+        (~valid_date(date_text), F.format_string(MSG["date"], _shown(date_text))),
+        (blank("part_description"), F.lit(MSG["part_description"])),
+    ]
+
+
+def is_invalid(df: DataFrame) -> Column:
+    """Any check fails. Plain conditions that compile into the scan's stage."""
+    return reduce(lambda a, b: a | b, [bad for bad, _ in record_checks(df)])
+
+
+def record_errors(df: DataFrame) -> Column:
+    """All messages of a row; they are only put together for a bad row."""
+    found = F.array(*[F.when(bad, message) for bad, message in record_checks(df)])
+    messages = F.filter(found, lambda m: m.isNotNull())
+    return F.when(is_invalid(df), messages).otherwise(F.array().cast("array<string>"))
 
 
 def check_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> None:
@@ -105,17 +119,29 @@ def with_errors(df: DataFrame) -> DataFrame:
     return df.withColumn("errors", record_errors(df))
 
 
-def valid_rows(checked: DataFrame) -> DataFrame:
-    """Valid records with a typed date and quantity; other columns carried."""
-    from partflow.functions.calendar import parse_date
+def valid_rows(records: DataFrame) -> DataFrame:
+    """Valid records with a typed date and quantity; other columns carried.
 
-    quantity = _quantity_value(checked).try_cast("int")
-    return checked.filter(F.size("errors") == 0).withColumns(
-        {
-            "demand_quantity": quantity,
-            "transaction_date": parse_date(F.col("transaction_date").cast("string")),
-        }
-    ).drop("errors")
+    Takes records with or without the ``errors`` of ``with_errors``.
+    """
+    bad = F.size("errors") > 0 if "errors" in records.columns else is_invalid(records)
+    typed = {
+        "demand_quantity": _quantity_value(records).try_cast("int"),
+        "transaction_date": parse_date(F.col("transaction_date").cast("string")),
+    }
+    return records.filter(~bad).withColumns(typed).drop("errors")
+
+
+def quarantine(records: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Rejected rows: their key, the messages and the error text.
+
+    Takes records with or without the ``errors`` of ``with_errors``.
+    """
+    if "errors" in records.columns:
+        bad = records.filter(F.size("errors") > 0)
+    else:
+        bad = with_errors(records.filter(is_invalid(records)))
+    return bad.select(*key, F.col("errors"), error_text(F.col("errors")).alias("error"))
 
 
 def error_text(errors: Column) -> Column:
@@ -124,22 +150,24 @@ def error_text(errors: Column) -> Column:
     return F.concat(F.lit(fv.CHECK_HEADER + "\n"), F.array_join(lines, "\n"))
 
 
-def quarantine(checked: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Rejected rows: their key, the messages and the error text."""
-    bad = checked.filter(F.size("errors") > 0)
-    return bad.select(*key, F.col("errors"), error_text(F.col("errors")).alias("error"))
-
-
 def first_errors(rejected: DataFrame, key: tuple[str, ...], n: int = 3, width: int = 100) -> DataFrame:
     """The first ``n`` errors in key order, cut to ``width`` characters."""
     return rejected.orderBy(*key).limit(n).select(*key, F.substring("error", 1, width).alias("error"))
 
 
-def run_report(checked: DataFrame, columns: list[str] | None = None, validate: bool = True) -> DataFrame:
-    """Totals of a run in one pass; without validation every row counts as valid."""
-    columns = columns or [c for c in checked.columns if c != "errors"]
-    ok = (F.size("errors") == 0).cast("long") if validate else F.lit(1).cast("long")
-    sums = checked.agg(
+def run_report(records: DataFrame, columns: list[str] | None = None, validate: bool = True) -> DataFrame:
+    """Totals of a run in one pass; without validation every row counts as valid.
+
+    Takes records with or without the ``errors`` of ``with_errors``.
+    """
+    columns = columns or [c for c in records.columns if c != "errors"]
+    if not validate:
+        ok = F.lit(1).cast("long")
+    elif "errors" in records.columns:
+        ok = (F.size("errors") == 0).cast("long")
+    else:
+        ok = (~is_invalid(records)).cast("long")
+    sums = records.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.coalesce(F.sum(ok), F.lit(0)).alias("valid_records"),
         F.coalesce(F.sum(null_cells(columns)), F.lit(0)).alias("null_values"),
