@@ -176,7 +176,7 @@ def hot_parts(spark: SparkSession, sf_dir: str) -> DataFrame | None:
         return None
     item = F.concat(F.lit("ITEM_"), F.col("l_partkey"))
     lookup = F.create_map(*[F.lit(x) for pair in MAPS["item_map"].items() for x in pair])
-    return hot.select(F.coalesce(lookup[item], item).alias("part_number"))
+    return hot.select(F.coalesce(lookup[item], item).alias("part_number"), "_rows")
 
 
 class Phases:

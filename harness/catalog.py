@@ -42,8 +42,8 @@ def scan_csv_roundtrip(spark, sf_dir):
     sales = b.raw_sales(spark, sf_dir).withColumns(
         {"state_id": F.lit(None).cast("string"), "date": F.date_format("date", "yyyy-MM-dd")}
     )
-    tables.write_csv(sales.select(*tables.SALES_SCHEMA.names), path)
-    read = tables.read_csv(spark, path, tables.SALES_SCHEMA)
+    tables.write_csv(sales.drop(*b.TIES), path)
+    read = tables.read_sales(spark, path)
     return read.groupBy("store_id", "event_name_1").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("sales").alias("total_sales"),
@@ -247,7 +247,8 @@ def validate_errors(spark, sf_dir):
 def validate_error_rows(spark, sf_dir):
     """Errors by row number in key order, as a batch reports them."""
     checked = validate.with_errors(b.dirty_demand(spark, sf_dir)).select(*b.DIRTY_KEY, "errors")
-    numbered = number_rows(checked, list(b.DIRTY_KEY)).filter(F.size("errors") > 0)
+    rows = b.table(spark, sf_dir, "lineitem").count()
+    numbered = number_rows(checked, list(b.DIRTY_KEY), rows=rows).filter(F.size("errors") > 0)
     return numbered.select("row", validate.error_text(F.col("errors")).alias("error"))
 
 
@@ -385,9 +386,10 @@ def demand_trend(spark, sf_dir):
 @query
 def naive_fallback(spark, sf_dir):
     """Previous row of the test set in time order; the first gets 0."""
-    test = b.phases(spark, sf_dir).test().select(*b.KEY, "demand_quantity")
+    p = b.phases(spark, sf_dir)
+    test = p.test().select(*b.KEY, "demand_quantity")
     order = ["transaction_date", "part_number", *b.TIES]
-    zero = predict_previous_row(test, order).withColumnRenamed("predicted", "naive")
+    zero = predict_previous_row(test, order, rows=p.cut().test_rows).withColumnRenamed("predicted", "naive")
     return zero.select(*b.KEY, "demand_quantity", "naive")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from harness.binding import MAPS, PRICED_SIZE
 from harness.catalog import DOCUMENT_QUESTIONS
 from partflow import fixed_values as fv
-from partflow.operators.retrieve import SPACE_CODES
+from partflow.functions.text import SPACE_CODES
 
 ORACLE: dict[str, str] = {}
 

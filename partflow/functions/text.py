@@ -8,6 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Code points that count as whitespace where texts are split or stripped.
+SPACE_CODES = (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)
+SPACES = "".join(map(chr, SPACE_CODES))
+
+
+def strip(text: Column) -> Column:
+    """``text`` without whitespace at its ends."""
+    return F.trim(text, F.lit(SPACES))
+
+
+def words(text: Column) -> Column:
+    """``text`` split at runs of whitespace; no empty words."""
+    return F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")
+
+
 def fill(template: str, **marks: Column) -> Column:
     """``template`` with each ``{mark}`` replaced by a column."""
     pieces = re.split(r"\{(\w+)\}", template)
@@ -41,7 +58,7 @@ def json_object(pairs: list[tuple[str, Column]]) -> Column:
 
 def join_lines(lines: Column, indent: str = "  ") -> Column:
     """Each line trimmed, indented and closed by a newline, as one text."""
-    return F.array_join(F.transform(lines, lambda s: F.concat(F.lit(indent), F.trim(s), F.lit("\n"))), "")
+    return F.array_join(F.transform(lines, lambda s: F.concat(F.lit(indent), strip(s), F.lit("\n"))), "")
 
 
 def pick_lines(text: Column, words) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.functions.text import fill, join_lines, pick_lines
+from partflow.functions.text import fill, join_lines, pick_lines, strip
 from partflow.operators.narrate import MODEL_SOURCE, PART_SOURCE
 from partflow.operators.retrieve import (
     check_top_k,
@@ -93,7 +93,7 @@ def _forecast(hits: Column) -> Column:
 
 def _compare(hits: Column) -> Column:
     def one(h: Column) -> Column:
-        lines = F.filter(F.split(h["text"], "\n"), lambda s: (F.trim(s) != "") & ~F.trim(s).startswith("Part "))
+        lines = F.filter(F.split(h["text"], "\n"), lambda s: (strip(s) != "") & ~strip(s).startswith("Part "))
         head = fill("--- {p} ({d}) ---\n", p=h["part"], d=h["demand_type"])
         return F.concat(head, join_lines(lines), F.lit("\n"))
 

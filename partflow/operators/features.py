@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.functions.calendar import date_parts
-from partflow.operators.ordering import ROWS_PER_TASK, hot_keys, windowed
+from partflow.operators.ordering import DETECT, ROWS_PER_TASK, hot_keys, windowed
 from partflow.operators.quality import signal_flag
 
 PART = "part_number"
@@ -41,13 +41,14 @@ def series_features(
     ties: tuple[str, ...] = (),
     lags=fv.LAGS,
     rolling: bool = True,
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = DETECT,
     chunk_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Lags and rolling statistics per part: one shuffle, one sort, one window.
 
     ``ties`` complete the order of rows of a part on the same date. ``hot``
-    are parts too large for one task (see ``hot_parts``).
+    are parts too large for one task (see ``hot_parts``); by default they are
+    looked for in ``df``, which a caller who knows them can save.
     """
 
     def build(spec):
@@ -103,7 +104,7 @@ def build_features(
     ties: tuple[str, ...] = (),
     lags=fv.LAGS,
     grain: str = "row",
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = DETECT,
     chunk_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The feature table out of validated demand records."""

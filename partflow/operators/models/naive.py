@@ -14,7 +14,11 @@ def predict_naive(test: DataFrame) -> DataFrame:
 
 
 def predict_previous_row(
-    test: DataFrame, order: list[str], first: str = "zero", chunk_rows: int = ROWS_PER_TASK
+    test: DataFrame,
+    order: list[str],
+    first: str = "zero",
+    chunk_rows: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fallback without a lag feature: the previous row of the whole test set.
 
@@ -25,4 +29,4 @@ def predict_previous_row(
     def build(spec):
         return {"predicted": F.coalesce(F.lag("demand_quantity", 1).over(spec), fill).cast("double")}
 
-    return windowed_whole(test, order, build, 1, chunk_rows)
+    return windowed_whole(test, order, build, 1, chunk_rows, rows)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.operators.ordering import ROWS_PER_TASK, with_positions
+from partflow.operators.ordering import DETECT, ROWS_PER_TASK, resolve_hot, with_positions
 from partflow.session import materialize, scratch_path
 
 PART, DATE, QUANTITY = "part_number", "transaction_date", "demand_quantity"
@@ -89,7 +89,7 @@ def fit_seasonal(
     beta: float = fv.SMOOTHING["beta"],
     period: int = fv.SMOOTHING["period"],
     phase: str = "position",
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = DETECT,
     chunk_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One state row per part of the training rows.
@@ -99,10 +99,12 @@ def fit_seasonal(
     row instead of at the row position, so that fitting and predicting agree
     for daily rows.
     """
+    hot = resolve_hot(train, [PART], hot, chunk_rows)
     if hot is None:
         return _fit_whole(train, ties, alpha, beta, period, phase)
     cold = _fit_whole(train.join(hot, PART, "left_anti"), ties, alpha, beta, period, phase)
-    long = _fit_in_chunks(train.join(hot, PART, "left_semi"), ties, alpha, beta, period, phase, chunk_rows)
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    long = _fit_in_chunks(train.join(hot, PART, "left_semi"), ties, alpha, beta, period, phase, chunk_rows, rows)
     return cold.unionByName(long)
 
 
@@ -134,10 +136,10 @@ def _fit_whole(train, ties, alpha, beta, period, phase) -> DataFrame:
     return _finished(fitted, period)
 
 
-def _fit_in_chunks(train, ties, alpha, beta, period, phase, chunk_rows) -> DataFrame:
+def _fit_in_chunks(train, ties, alpha, beta, period, phase, chunk_rows, n_rows) -> DataFrame:
     """Rounds over chunks of the long parts; memory per task stays bounded."""
     chunk_rows = max(chunk_rows, 2 * period)
-    placed = with_positions(train.select(PART, DATE, *ties, QUANTITY), [PART], [DATE, *ties])
+    placed = with_positions(train.select(PART, DATE, *ties, QUANTITY), [PART], [DATE, *ties], rows=n_rows)
     placed = placed.withColumn("_chunk", F.floor(F.col("_pos") / chunk_rows).cast("long"))
     path = scratch_path(train.sparkSession, "long-series")
     # By chunk on disk, so that a round reads its own rows only.

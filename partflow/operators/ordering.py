@@ -10,6 +10,8 @@ are handed the few preceding rows they look back at.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,14 @@ from partflow.session import materialize
 ROWS_PER_TASK = 2_000_000
 
 
-def range_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Default of the ``hot`` arguments: find the hot keys of the input first.
+DETECT = "detect"
+
+
+def range_partitions(df: DataFrame, rows: int | None = None) -> int:
+    """The session's shuffle partitions, or more if ``rows`` would overfill them."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return usual if rows is None else max(usual, math.ceil(rows / ROWS_PER_TASK))
 
 
 def hot_keys(rows: DataFrame, key: list[str], limit: int = ROWS_PER_TASK) -> DataFrame | None:
@@ -37,16 +45,25 @@ def hot_keys(rows: DataFrame, key: list[str], limit: int = ROWS_PER_TASK) -> Dat
     return None if hot.isEmpty() else hot
 
 
-def with_positions(df: DataFrame, group: list[str], order: list[str], column: str = "_pos") -> DataFrame:
+def resolve_hot(df: DataFrame, key: list[str], hot: DataFrame | str | None, limit: int) -> DataFrame | None:
+    """``hot`` itself, or the hot keys of ``df`` where it is DETECT."""
+    if isinstance(hot, str):
+        return hot_keys(df.select(*key), key, limit)
+    return hot
+
+
+def with_positions(
+    df: DataFrame, group: list[str], order: list[str], column: str = "_pos", rows: int | None = None
+) -> DataFrame:
     """Append the 0-based position of each row within its group.
 
     ``group + order`` must identify a row. Costs one range shuffle and one
-    write; meant for few groups of any size (``group`` may be empty). The
-    sorted rows are written before they are counted because the sampled range
+    write; meant for few groups of any size (``group`` may be empty). ``rows``,
+    if known, sizes the partitions. The sorted rows are written before they are counted because the sampled range
     bounds belong to that one shuffle.
     """
     keys = [*group, *order]
-    ranged = df.repartitionByRange(range_partitions(df), *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(range_partitions(df, rows), *keys).sortWithinPartitions(*keys)
     ranged = ranged.withColumns({"_range": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()})
     ranged = materialize(ranged, "ordered")
     pieces = ranged.groupBy(*group, "_range").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -79,35 +96,39 @@ def windowed(
     order: list[str],
     build,
     back: int,
-    hot: DataFrame | None = None,
+    hot: DataFrame | str | None = DETECT,
     chunk_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add window columns that look back at most ``back`` rows.
 
     ``build(spec)`` returns ``{name: column}`` for a window spec. Groups in
     ``hot`` take the chunked way, all others one sort per group; the values
-    are the same.
+    are the same. ``hot=None`` states that there are none.
     """
+    hot = resolve_hot(df, group, hot, chunk_rows)
     if hot is None:
         return df.withColumns(build(Window.partitionBy(*group).orderBy(*order)))
     columns = df.columns
     cold = df.join(hot, group, "left_anti")
     plain = cold.withColumns(build(Window.partitionBy(*group).orderBy(*order)))
-    placed = with_positions(df.join(hot, group, "left_semi"), group, order)
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    placed = with_positions(df.join(hot, group, "left_semi"), group, order, rows=rows)
     chunked = with_halo(placed, back, max(chunk_rows, back))
     spec = Window.partitionBy(*group, "_chunk").orderBy("_pos")
     split = chunked.withColumns(build(spec)).filter(F.col("_halo") == 0)
     return plain.unionByName(split.select(*columns, *[c for c in plain.columns if c not in columns]))
 
 
-def windowed_whole(df: DataFrame, order: list[str], build, back: int, chunk_rows: int = ROWS_PER_TASK) -> DataFrame:
+def windowed_whole(
+    df: DataFrame, order: list[str], build, back: int, chunk_rows: int = ROWS_PER_TASK, rows: int | None = None
+) -> DataFrame:
     """``windowed`` over the whole table as one group, never in one task."""
     columns = df.columns
-    chunked = with_halo(with_positions(df, [], order), back, max(chunk_rows, back))
+    chunked = with_halo(with_positions(df, [], order, rows=rows), back, max(chunk_rows, back))
     built = chunked.withColumns(build(Window.partitionBy("_chunk").orderBy("_pos"))).filter(F.col("_halo") == 0)
     return built.select(*columns, *[c for c in built.columns if c not in columns and not c.startswith("_")])
 
 
-def number_rows(df: DataFrame, order: list[str], column: str = "row") -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], column: str = "row", rows: int | None = None) -> DataFrame:
     """0-based row numbers over the whole table in the given order."""
-    return with_positions(df, [], order, column)
+    return with_positions(df, [], order, column, rows)

@@ -18,30 +18,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.functions.text import contains_any
+from partflow.functions.text import contains_any, words
 from partflow.operators.evaluate import stack
 
 PASS_SIZE = 64
 # Hits up to this many rows are broadcast to the chunks.
 BROADCAST_HITS = 100_000
-# Code points that split words, as Python's ``str.split`` has them.
-SPACE_CODES = (
-    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-)
-SPACE = "[" + "".join(map(chr, SPACE_CODES)) + "]+"
 
 
 def query_terms(question: Column) -> Column:
     """Distinct lower-cased words without stop words; punctuation stays."""
-    words = F.filter(F.split(F.lower(question), SPACE), lambda w: w != "")
-    return F.array_except(F.array_distinct(words), F.array(*[F.lit(w) for w in fv.STOP_WORDS]))
+    return F.array_except(F.array_distinct(words(F.lower(question))), F.array(*[F.lit(w) for w in fv.STOP_WORDS]))
 
 
 def question_intent(question: Column) -> Column:
     """The first intent one of whose words is a substring of the question."""
     intent = F
-    for name, words in fv.INTENT_WORDS:
-        intent = intent.when(contains_any(question, words), F.lit(name))
+    for name, hints in fv.INTENT_WORDS:
+        intent = intent.when(contains_any(question, hints), F.lit(name))
     return intent.otherwise(F.lit(fv.INTENT_OTHER))
 
 
@@ -61,8 +55,7 @@ def _strings(values) -> Column:
 
 
 def _terms_of(question: str) -> list[str]:
-    words = dict.fromkeys(question.lower().split())
-    return [w for w in words if w not in fv.STOP_WORDS]
+    return [w for w in dict.fromkeys(question.lower().split()) if w not in fv.STOP_WORDS]
 
 
 def _best(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:

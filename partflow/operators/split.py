@@ -29,6 +29,10 @@ class TimeCut:
     order: tuple[str, ...]
     last: tuple[Any, ...] | None
 
+    @property
+    def test_rows(self) -> int:
+        return self.rows - self.train_rows
+
     def is_train(self) -> Column:
         if self.day is None:
             return F.lit(True)
@@ -74,7 +78,7 @@ def find_cut(
         if r["n"] <= rows_per_task:
             found = same_day.orderBy(*order).offset(inside - 1).limit(1)
         else:
-            found = with_positions(same_day, [], list(order)).filter(F.col("_pos") == inside - 1).select(*order)
+            found = with_positions(same_day, [], list(order), rows=r["n"]).filter(F.col("_pos") == inside - 1).select(*order)
         last = tuple(found.first())
     return TimeCut(total, train_rows, r[DATE], order, last)
 

@@ -12,7 +12,7 @@ from partflow.operators.features import build_features, hot_parts
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive
 from partflow.operators.models.seasonal import fit_seasonal, predict_seasonal
-from partflow.operators.ordering import ROWS_PER_TASK
+from partflow.operators.ordering import DETECT, ROWS_PER_TASK
 from partflow.operators.split import TimeCut, find_cut, fit_rows, holdout_rows
 from partflow.session import materialize
 from partflow.sources.tables import write_csv, write_table
@@ -34,7 +34,7 @@ def split_order(ties: tuple[str, ...]) -> tuple[str, ...]:
     return ("part_number", *ties)
 
 
-def seasonal_forecast(features: DataFrame, cut: TimeCut, ties=(), hot: DataFrame | None = None, **params):
+def seasonal_forecast(features: DataFrame, cut: TimeCut, ties=(), hot: DataFrame | str | None = DETECT, **params):
     """Fit on the training rows, predict the test rows: (states, scored)."""
     states = fit_seasonal(fit_rows(features, cut), ties, hot=hot, **params)
     return states, predict_seasonal(holdout_rows(features, cut), states)
@@ -59,7 +59,7 @@ def run_forecast(
     hot = hot_parts(valid, rows_per_task)
     features = materialize(build_features(valid, ties, hot=hot, chunk_rows=rows_per_task), "features")
     cut = find_cut(features, split_order(ties), rows_per_task=rows_per_task)
-    states, seasonal = seasonal_forecast(features, cut, ties, hot, chunk_rows=rows_per_task)
+    states = fit_seasonal(fit_rows(features, cut), ties, hot=hot, chunk_rows=rows_per_task)
     states = materialize(states, "seasonal-states")
     seasonal = predict_seasonal(holdout_rows(features, cut), states)
     scored = [

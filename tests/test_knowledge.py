@@ -244,3 +244,11 @@ def test_reports(run):
     card = reports.kpi_cards(chunks, forecast.metrics).first()
     assert card["total_parts"] == 8 and card["best_mae"] == min(r["mae"] for r in forecast.metrics.collect())
     assert reports.demand_by_type(forecast.features).count() == 4
+
+
+def test_sales_header_decides(spark):
+    path = scratch_path(spark, "odd-sales")
+    spark.createDataFrame([("3.7", "i", "202401", "z"), ("x", "j", "202402", "z")], "sales string, item_id string, wm_yr_wk string, extra string").write.option("header", True).csv(path)
+    df = tables.read_sales(spark, path)
+    assert df.columns == ["sales", "item_id", "wm_yr_wk", "extra"]
+    assert sorted(((r["sales"], r["wm_yr_wk"]) for r in df.collect()), key=str) == [(3, 202401), (None, 202402)]

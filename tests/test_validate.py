@@ -17,6 +17,7 @@ def test_valid_record_passes(records):
     [
         ("part_number", "", "part_number"),
         ("part_number", "   ", "part_number"),
+        ("part_number", "\t\n\u00a0", "part_number"),
         ("part_number", None, "part_number"),
         ("demand_quantity", -5, "negative (got -5)"),
         ("demand_quantity", None, "demand_quantity must be an integer"),
