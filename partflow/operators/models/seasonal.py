@@ -17,7 +17,7 @@ from partflow.operators.ordering import DETECT, ROWS_PER_TASK, resolve_hot, with
 from partflow.session import materialize, scratch_path
 
 PART, DATE, QUANTITY = "part_number", "transaction_date", "demand_quantity"
-STATE = "struct<t:int,level:double,trend:double,seasonal:array<double>>"
+STATE = "struct<level:double,trend:double,seasonal:array<double>>"
 
 
 def _mean(values: Column) -> Column:
@@ -31,29 +31,22 @@ def _start(x: Column, period: int) -> Column:
     second = F.slice(x, period + 1, period)
     trend = F.when(F.size(x) >= 2 * period, (_mean(second) - level) / period).otherwise(F.lit(0.0))
     seasonal = F.transform(first, lambda v: F.when(level > 0, v / level).otherwise(F.lit(1.0)))
-    return F.struct(
-        F.lit(period).cast("int").alias("t"),
-        level.alias("level"),
-        trend.alias("trend"),
-        seasonal.alias("seasonal"),
-    ).cast(STATE)
+    return F.struct(level.alias("level"), trend.alias("trend"), seasonal.alias("seasonal")).cast(STATE)
 
 
 def _step(state: Column, x: Column, alpha: float, beta: float, period: int) -> Column:
-    """State after one more value."""
-    i = (state["t"] % period).cast("int")
-    old = F.get(state["seasonal"], i)
+    """State after one more value.
+
+    The factor of the value's season is the first of ``seasonal``; its new
+    value goes to the end, so the list turns by one with every value.
+    """
+    old = F.get(state["seasonal"], F.lit(0))
     ahead = state["level"] + state["trend"]
     level = alpha * (x / F.greatest(old, F.lit(fv.SEASONAL_FLOOR))) + (1 - alpha) * ahead
     trend = beta * (level - state["level"]) + (1 - beta) * state["trend"]
     fresh = F.when(level > 0, alpha * (x / level) + (1 - alpha) * old).otherwise(old)
-    seasonal = F.transform(state["seasonal"], lambda s, j: F.when(j == i, fresh).otherwise(s))
-    return F.struct(
-        ((state["t"] + 1) % period + period).cast("int").alias("t"),
-        level.alias("level"),
-        trend.alias("trend"),
-        seasonal.alias("seasonal"),
-    ).cast(STATE)
+    seasonal = F.concat(F.slice(state["seasonal"], 2, period - 1), F.array(fresh))
+    return F.struct(level.alias("level"), trend.alias("trend"), seasonal.alias("seasonal"))
 
 
 def _fold(start: Column, values: Column, alpha: float, beta: float, period: int) -> Column:
@@ -67,9 +60,22 @@ def _ordered_values(df: DataFrame, group: list[str], order: list[str]) -> DataFr
     return lists.select(*group, F.transform("_rows", lambda r: r["_x"]).alias("x"))
 
 
-def _finished(df: DataFrame, period: int) -> DataFrame:
-    """Public state columns out of ``n``, ``mean``, ``state``, ``last_values``."""
+def _turned(seasonal: Column, by: Column, period: int) -> Column:
+    """The list turned so that its first entry comes to index ``by``."""
+    index = F.sequence(F.lit(0), F.lit(period - 1))
+    return F.transform(index, lambda j: F.get(seasonal, F.pmod(j - by, F.lit(period)).cast("int")))
+
+
+def _finished(df: DataFrame, period: int, phase: str) -> DataFrame:
+    """Public state columns out of ``n``, ``mean``, ``state``, ``last_values``.
+
+    After n values the list starts at season ``n % period``. With the weekday
+    phase position 0 is the weekday of ``_d0`` instead of 0.
+    """
     short = F.col("n") < period + 2
+    turn = F.col("n") % period
+    if phase == "weekday":
+        turn = turn + F.weekday("_d0")
     return df.select(
         PART,
         F.when(short, F.lit("mean")).otherwise(F.lit("holt_winters")).alias("type"),
@@ -77,7 +83,7 @@ def _finished(df: DataFrame, period: int) -> DataFrame:
         F.when(short, F.col("mean")).alias("mean"),
         F.when(~short, F.col("state.level")).alias("level"),
         F.when(~short, F.col("state.trend")).alias("trend"),
-        F.when(~short, F.col("state.seasonal")).alias("seasonal"),
+        F.when(~short, _turned(F.col("state.seasonal"), turn, period)).alias("seasonal"),
         "last_values",
     )
 
@@ -108,13 +114,6 @@ def fit_seasonal(
     return cold.unionByName(long)
 
 
-def _shift(seasonal: Column, first_day: Column, period: int) -> Column:
-    """Rotate so that index 0 is Monday, given the weekday of the first row."""
-    turn = (F.weekday(first_day) % period).cast("int")
-    index = F.sequence(F.lit(0), F.lit(period - 1))
-    return F.transform(index, lambda j: F.get(seasonal, F.pmod(j - turn, F.lit(period)).cast("int")))
-
-
 def _fit_whole(train, ties, alpha, beta, period, phase) -> DataFrame:
     series = _ordered_values(train.select(PART, DATE, *ties, QUANTITY), [PART], [DATE, *ties])
     if phase == "weekday":
@@ -131,9 +130,7 @@ def _fit_whole(train, ties, alpha, beta, period, phase) -> DataFrame:
         state.alias("state"),
         F.slice(F.col("x"), F.greatest(n - period + 1, F.lit(1)), F.least(n, F.lit(period))).alias("last_values"),
     )
-    if phase == "weekday":
-        fitted = fitted.withColumn("state", F.col("state").withField("seasonal", _shift(F.col("state.seasonal"), F.col("_d0"), period)))
-    return _finished(fitted, period)
+    return _finished(fitted, period, phase)
 
 
 def _fit_in_chunks(train, ties, alpha, beta, period, phase, chunk_rows, n_rows) -> DataFrame:
@@ -176,10 +173,7 @@ def _fit_in_chunks(train, ties, alpha, beta, period, phase, chunk_rows, n_rows)
                 .alias("last_values"),
             )
         state = materialize(folded, f"series-state-{i}")
-    fitted = state.join(totals, PART)
-    if phase == "weekday":
-        fitted = fitted.withColumn("state", F.col("state").withField("seasonal", _shift(F.col("state.seasonal"), F.col("_d0"), period)))
-    return _finished(fitted, period)
+    return _finished(state.join(totals, PART), period, phase)
 
 
 def predict_seasonal(test: DataFrame, states: DataFrame) -> DataFrame:
