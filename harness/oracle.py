@@ -10,6 +10,7 @@ from harness.binding import MAPS, PRICED_SIZE
 from harness.catalog import DOCUMENT_QUESTIONS
 from partflow import fixed_values as fv
 from partflow.functions.text import SPACE_CODES
+from partflow.sources.sample import poisson_steps
 
 ORACLE: dict[str, str] = {}
 
@@ -120,6 +121,31 @@ put(
           FROM (SELECT min(l_shipdate)::DATE AS d0, max(l_shipdate)::DATE AS d1 FROM lineitem))""",
 )
 
+
+
+def drawn(seed: int, *keys: str) -> str:
+    text = " || '|' || ".join([q(seed), *[f"({k})::VARCHAR" for k in keys]])
+    return f"(('0x' || substr(md5({text}), 1, 12))::BIGINT / {float(1 << 48)}::DOUBLE)"
+
+
+def poisson(mean: float) -> str:
+    steps = ", ".join(f"{s!r}::DOUBLE" for s in poisson_steps(mean))
+    return f"len(list_filter([{steps}], lambda s: s <= u))"
+
+
+MEANS = "CASE " + " ".join(f"WHEN starts_with(dept_id, {q(d)}) THEN {poisson(m)}" for d, m in fv.SAMPLE_MEANS)
+EVENTS = "[" + ", ".join("NULL" if e is None else q(e) for e in fv.SAMPLE_EVENTS) + "]"
+put(
+    "gen_demand",
+    f"""WITH grid AS (SELECT 'ITEM_' || p_partkey AS item_id, p_type AS dept_id, r_name AS store_id,
+      (DATE {q(fv.SAMPLE_START)} + k::INT)::DATE AS date FROM part, region, range({fv.SAMPLE_DAYS}) AS d(k)),
+    luck AS (SELECT *, {drawn(42, 'item_id', 'store_id', 'date')} AS u, {drawn(43, 'item_id', 'store_id', 'date')} AS v FROM grid),
+    base AS (SELECT *, {MEANS} ELSE {poisson(fv.SAMPLE_MEAN_OTHER)} END AS b FROM luck)
+    SELECT item_id, dept_id, store_id, date,
+      CASE WHEN isodow(date) >= 6 THEN floor(b * {fv.SAMPLE_WEEKEND_LIFT}::DOUBLE)::INT ELSE b::INT END AS sales,
+      {EVENTS}[floor(v * {len(fv.SAMPLE_EVENTS)})::INT + 1] AS event_name_1 FROM base""",
+)
+
 # Recoding
 
 put(

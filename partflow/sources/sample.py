@@ -15,19 +15,28 @@ from partflow import fixed_values as fv
 
 
 def uniform(*keys: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends on the keys and the seed only."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    """A number in [0, 1) that depends on the keys and the seed only.
 
+    The first 48 bits of a digest, so any other engine can draw the same.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
-def poisson(u: Column, mean: float) -> Column:
-    """Poisson draw from a uniform one: how many steps of the CDF lie below."""
+
+def poisson_steps(mean: float) -> list[float]:
+    """The cumulative distribution, up to where it is 1 for a double."""
     steps, total, term, i = [], 0.0, math.exp(-mean), 0
     while total < 1 - 1e-12 and i < 20 * mean + 50:
         total += term
         steps.append(min(total, 1.0))
         i += 1
         term *= mean / i
-    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
+    return steps
+
+
+def poisson(u: Column, mean: float) -> Column:
+    """Poisson draw from a uniform one: how many steps lie at or below it."""
+    return F.size(F.filter(F.array(*[F.lit(s) for s in poisson_steps(mean)]), lambda s: s <= u))
 
 
 def department(item: Column) -> Column:
@@ -38,15 +47,17 @@ def department(item: Column) -> Column:
 def daily_demand(grid: DataFrame, seed: int = 42) -> DataFrame:
     """Fill ``item_id, dept_id, store_id, date`` rows with sales and events."""
     keys = [F.col(c) for c in ("item_id", "store_id", "date")]
-    u = uniform(*keys, seed=seed)
-    base = poisson(u, fv.SAMPLE_MEAN_OTHER)
+    # Drawn once per row, ahead of the lambdas that look at it again and again.
+    drawn = grid.withColumns({"_u": uniform(*keys, seed=seed), "_v": uniform(*keys, seed=seed + 1)})
+    base = poisson(F.col("_u"), fv.SAMPLE_MEAN_OTHER)
     for prefix, mean in reversed(fv.SAMPLE_MEANS):
-        base = F.when(F.col("dept_id").startswith(prefix), poisson(u, mean)).otherwise(base)
+        base = F.when(F.col("dept_id").startswith(prefix), poisson(F.col("_u"), mean)).otherwise(base)
     weekend = F.weekday("date") >= 5
-    sales = F.when(weekend, F.floor(base * fv.SAMPLE_WEEKEND_LIFT)).otherwise(base).cast("int")
+    based = drawn.withColumn("_base", base)
+    sales = F.when(weekend, F.floor(F.col("_base") * fv.SAMPLE_WEEKEND_LIFT)).otherwise(F.col("_base")).cast("int")
     events = F.array(*[F.lit(e).cast("string") for e in fv.SAMPLE_EVENTS])
-    pick = F.floor(uniform(*keys, seed=seed + 1) * len(fv.SAMPLE_EVENTS)).cast("int")
-    return grid.withColumns({"sales": sales, "event_name_1": F.get(events, pick)})
+    pick = F.floor(F.col("_v") * len(fv.SAMPLE_EVENTS)).cast("int")
+    return based.withColumns({"sales": sales, "event_name_1": F.get(events, pick)}).drop("_u", "_v", "_base")
 
 
 def _grid(spark: SparkSession, items, stores, n: int) -> DataFrame:
