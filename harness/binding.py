@@ -137,7 +137,7 @@ def demand_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_and_project(recode(sales, "item_id", "item_id", MAPS["item_map"], F.col("item_id")), TIES)
 
 
-def dirty_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_defects(records: DataFrame) -> DataFrame:
     """Demand records with defects planted by order key; all rows stay.
 
     The date is text, as records come in. Rules stack, so a row may carry
@@ -148,14 +148,14 @@ def dirty_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.col("order_key") % k == 0
 
     q = F.when(hit(61), F.lit(0)).otherwise(F.col("demand_quantity"))
-    df = demand(spark, sf_dir).withColumn("row_date", F.col("transaction_date"))
+    df = records.withColumn("row_date", F.col("transaction_date"))
     return df.withColumns(
         {
             "row_part": F.col("part_number"),
             "demand_quantity": F.when(hit(97), -q).otherwise(q),
             "region": F.when(hit(89), F.lit("Atlantis")).otherwise(F.col("region")),
             "transaction_date": F.when(hit(83), F.lit("2015-13-45")).otherwise(
-                F.date_format("transaction_date", "yyyy-MM-dd")
+                F.col("transaction_date").cast("string")
             ),
             "unit_cost": F.when(hit(79), F.lit(0.0)).otherwise(F.col("unit_cost")),
             "part_number": F.when(hit(73), F.lit("  ")).otherwise(F.col("part_number")),
@@ -200,6 +200,9 @@ class Phases:
     def flagged(self) -> DataFrame:
         return quality_flags(self.demand())
 
+    def dirty(self) -> DataFrame:
+        return with_defects(self.demand())
+
     def hot(self):
         return self._once("hot", lambda: hot_parts(self.spark, self.sf_dir))
 

@@ -193,7 +193,7 @@ def _model_inputs(df):
 @query
 def coerce_fields(spark, sf_dir):
     """Text and fractional fields cast to their types; quantities truncate."""
-    df = b.dirty_demand(spark, sf_dir).withColumns(
+    df = b.phases(spark, sf_dir).dirty().withColumns(
         {
             "demand_quantity": F.col("demand_quantity") + F.lit(0.7),
             "unit_cost": F.format_string("%.2f", round_even(F.col("unit_cost"), 2)),
@@ -233,20 +233,20 @@ def avg_price(spark, sf_dir):
 
 @query
 def validate_valid(spark, sf_dir):
-    valid = validate.valid_rows(b.dirty_demand(spark, sf_dir)).drop("row_part", "row_date")
+    valid = validate.valid_rows(b.phases(spark, sf_dir).dirty()).drop("row_part", "row_date")
     return valid.withColumn("unit_cost", r6("unit_cost"))
 
 
 @query
 def validate_errors(spark, sf_dir):
-    bad = validate.quarantine(b.dirty_demand(spark, sf_dir), b.DIRTY_KEY)
+    bad = validate.quarantine(b.phases(spark, sf_dir).dirty(), b.DIRTY_KEY)
     return bad.select(*b.DIRTY_KEY, F.size("errors").alias("n_errors"), "error")
 
 
 @query
 def validate_error_rows(spark, sf_dir):
     """Errors by row number in key order, as a batch reports them."""
-    checked = validate.with_errors(b.dirty_demand(spark, sf_dir)).select(*b.DIRTY_KEY, "errors")
+    checked = validate.with_errors(b.phases(spark, sf_dir).dirty()).select(*b.DIRTY_KEY, "errors")
     rows = b.table(spark, sf_dir, "lineitem").count()
     numbered = number_rows(checked, list(b.DIRTY_KEY), rows=rows).filter(F.size("errors") > 0)
     return numbered.select("row", validate.error_text(F.col("errors")).alias("error"))
@@ -254,18 +254,18 @@ def validate_error_rows(spark, sf_dir):
 
 @query
 def validation_report(spark, sf_dir):
-    return validate.run_report(b.dirty_demand(spark, sf_dir), list(fv.DEMAND_COLUMNS))
+    return validate.run_report(b.phases(spark, sf_dir).dirty(), list(fv.DEMAND_COLUMNS))
 
 
 @query
 def validation_report_skipped(spark, sf_dir):
     """Totals of a run without validation."""
-    return validate.run_report(b.dirty_demand(spark, sf_dir), list(fv.DEMAND_COLUMNS), validate=False)
+    return validate.run_report(b.phases(spark, sf_dir).dirty(), list(fv.DEMAND_COLUMNS), validate=False)
 
 
 @query
 def validation_first_errors(spark, sf_dir):
-    return validate.first_errors(validate.quarantine(b.dirty_demand(spark, sf_dir), b.DIRTY_KEY), b.DIRTY_KEY)
+    return validate.first_errors(validate.quarantine(b.phases(spark, sf_dir).dirty(), b.DIRTY_KEY), b.DIRTY_KEY)
 
 
 # Aggregations

@@ -20,6 +20,14 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(SPACES))
 
 
+def has_ink(text: Column) -> Column:
+    """True where something other than whitespace is there.
+
+    The search stops at the first such character, mostly the very first.
+    """
+    return text.rlike(f"[^{SPACES}]")
+
+
 def words(text: Column) -> Column:
     """``text`` split at runs of whitespace; no empty words."""
     return F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")

@@ -47,8 +47,8 @@ def part_chunks(profiles: DataFrame, model: str = fv.BOOSTED_NAME) -> DataFrame:
         "avg": short_text(F.col("avg_demand"), 1),
         "min": F.col("min_demand"),
         "max": F.col("max_demand"),
-        "first": F.date_format("first_date", "yyyy-MM-dd"),
-        "last": F.date_format("last_date", "yyyy-MM-dd"),
+        "first": F.col("first_date"),
+        "last": F.col("last_date"),
         "total": F.col("total_demand"),
         "volatility": F.col("volatility"),
         "trend": F.col("trend"),

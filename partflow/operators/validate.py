@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from partflow import fixed_values as fv
 from partflow.functions.calendar import parse_date, valid_date
 from partflow.functions.numbers import round_even
-from partflow.functions.text import strip
+from partflow.functions.text import has_ink
 from partflow.operators.quality import null_cells
 
 MSG = fv.CHECK_MESSAGES
@@ -65,7 +65,7 @@ def record_checks(df: DataFrame) -> list[tuple[Column, Column]]:
     """(is bad, message) pairs in the order of the checks; never null."""
 
     def blank(name: str) -> Column:
-        return strip(F.coalesce(F.col(name).cast("string"), F.lit(""))) == ""
+        return ~F.coalesce(has_ink(F.col(name).cast("string")), F.lit(False))
 
     def outside(name: str, allowed) -> Column:
         return ~F.coalesce(F.col(name).isin(*allowed), F.lit(False))
