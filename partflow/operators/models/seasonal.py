@@ -141,14 +141,16 @@ def _fit_in_chunks(train, ties, alpha, beta, period, phase, chunk_rows, n_rows)
     path = scratch_path(train.sparkSession, "long-series")
     # By chunk on disk, so that a round reads its own rows only.
     placed.write.partitionBy("_chunk").parquet(path)
-    spark = train.sparkSession
-    rows = spark.read.parquet(path)
+    rows = train.sparkSession.read.schema(placed.schema).parquet(path)
     totals = rows.groupBy(PART).agg(
         F.count(F.lit(1)).cast("int").alias("n"),
         F.avg(QUANTITY).alias("mean"),
         F.min(DATE).alias("_d0"),
     )
-    rounds = rows.agg(F.max("_chunk")).first()[0] + 1
+    last_chunk = rows.agg(F.max("_chunk")).first()[0]
+    if last_chunk is None:  # the long parts have no training rows
+        return _fit_whole(train, ties, alpha, beta, period, phase)
+    rounds = last_chunk + 1
     state = None
     for i in range(rounds):
         values = _ordered_values(rows.filter(F.col("_chunk") == i), [PART], ["_pos"])

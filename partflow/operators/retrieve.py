@@ -46,6 +46,8 @@ def check_top_k(top_k: int) -> int:
 
 
 def _passes(items: Sequence) -> list[list[tuple[int, object]]]:
+    if not items:
+        raise ValueError("a request has at least one question")
     numbered = list(enumerate(items))
     return [numbered[i : i + PASS_SIZE] for i in range(0, len(numbered), PASS_SIZE)]
 

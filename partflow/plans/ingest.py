@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from partflow import fixed_values as fv
 from partflow.operators.quality import dataset_summary, quality_flags, value_share
 from partflow.operators.recode import conform
-from partflow.operators.validate import coerce_fields, quarantine, run_report, valid_rows, with_errors
+from partflow.operators.validate import check_schema, coerce_fields, quarantine, run_report, valid_rows, with_errors
 from partflow.session import materialize
 from partflow.sources.tables import load_raw, write_csv, write_table
 
+FLAGS = ("is_zero_demand", "is_demand_outlier", "has_npi_signal")
+
 
 @dataclass(frozen=True)
 class Ingested:
@@ -31,6 +33,7 @@ def preprocess(sales: DataFrame, prices: DataFrame, keep: tuple[str, ...] = (),
 
 def ingest(mapped: DataFrame, key: tuple[str, ...], validate: bool = True) -> Ingested:
     """Check every record once; valid rows and rejects read the same result."""
+    check_schema(mapped, extra=(*key, *FLAGS))
     if not validate:
         return Ingested(mapped, mapped, None, run_report(mapped, validate=False))
     checked = materialize(with_errors(coerce_fields(mapped)), "checked")

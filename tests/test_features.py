@@ -130,3 +130,9 @@ def test_previous_row_fallback(series, first, value):
     want = got["demand_quantity"].shift(1)
     want[0] = got["demand_quantity"][0] if value is None else value
     assert list(got["predicted"]) == list(want)
+
+
+def test_hot_parts_are_found_by_default(series):
+    plain = frame(ft.build_features(series, ("tie",), hot=None))
+    found = frame(ft.build_features(series, ("tie",), chunk_rows=20))
+    pd.testing.assert_frame_equal(plain, found[plain.columns])

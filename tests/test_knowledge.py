@@ -252,3 +252,23 @@ def test_sales_header_decides(spark):
     df = tables.read_sales(spark, path)
     assert df.columns == ["sales", "item_id", "wm_yr_wk", "extra"]
     assert sorted(((r["sales"], r["wm_yr_wk"]) for r in df.collect()), key=str) == [(3, 202401), (None, 202402)]
+
+
+def test_embedded_search_agrees_with_numpy(run):
+    import numpy as np
+
+    chunks = run[2]
+    embedder = retrieve.text_embedder(chunks)
+    rows = retrieve.embed(chunks, embedder).select("id", "embedding").collect()
+    vectors = np.array([r["embedding"] for r in rows])
+    assert np.allclose(np.linalg.norm(vectors, axis=1), 1, atol=1e-5)
+    asked = retrieve.embed_questions(fv.SAMPLE_QUESTIONS, embedder, chunks)
+    hits = retrieve.vector_search(retrieve.embed(chunks, embedder), asked, 3).orderBy("qid", "rank").collect()
+    for i, q in enumerate(asked):
+        far = np.sort(((vectors.astype(float) - np.array(q)) ** 2).sum(axis=1))[:3]
+        assert np.allclose([h["distance"] for h in hits if h["qid"] == i], far)
+
+
+def test_empty_request(run):
+    with pytest.raises(ValueError):
+        retrieve.keyword_search(run[2], [])

@@ -147,3 +147,15 @@ def test_summary_and_samples(predictions):
 def test_naive(series):
     rows = ft.build_features(series, ("tie",))
     assert predict_naive(rows).filter(F.col("predicted") != F.col("lag_1")).count() == 0
+
+
+def test_long_part_without_training_rows(series):
+    hot = ordering.hot_keys(series.select("part_number"), ["part_number"], 50)
+    states = fit_seasonal(series.filter("part_number <> 'A'"), ("tie",), hot=hot, chunk_rows=20)
+    assert sorted(r["part_number"] for r in states.collect()) == ["B", "C"]
+
+
+def test_long_part_with_few_training_rows(series):
+    hot = ordering.hot_keys(series.select("part_number"), ["part_number"], 50)
+    few = series.filter("part_number = 'A' and tie < 5")
+    check_states(fit_seasonal(few, ("tie",), hot=hot, chunk_rows=20), few)
