@@ -21,7 +21,7 @@ from partflow.operators.narrate import assemble, domain_chunks, part_chunks, sum
 from partflow.operators.ordering import hot_keys
 from partflow.operators.profile import part_profiles
 from partflow.operators.quality import quality_flags
-from partflow.operators.recode import conform
+from partflow.operators.recode import conform, recode, rename_and_project
 from partflow.operators.split import find_cut, fit_rows, holdout_rows
 from partflow.plans.forecast import split_order
 from partflow.session import broadcast_within, materialize
@@ -132,8 +132,6 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only what the series operators need: part, date, ties, quantity."""
     sales = raw_sales(spark, sf_dir, dims=())
-    from partflow.operators.recode import recode, rename_and_project
-
     return rename_and_project(recode(sales, "item_id", "item_id", MAPS["item_map"], F.col("item_id")), TIES)
 
 

@@ -215,7 +215,7 @@ TOP_K_MIN, TOP_K_DEFAULT, TOP_K_MAX = 1, 3, 10
 # Answer wording, and the words that pick a line out of a chunk.
 ANSWER_EMPTY = (
     "I don't have enough data to answer that question. "
-    "Please make sure the knowledge base has been built by running knowledge_base.py."
+    "Please make sure the knowledge base has been built."
 )
 ANSWER_OPENINGS = {
     "risk": "Based on the supply chain data analysis:",

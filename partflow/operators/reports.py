@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.functions.numbers import round_even, sample_std
-from partflow.operators.evaluate import best_models
 from partflow.operators.narrate import PART_SOURCE
 
 
@@ -62,16 +61,3 @@ def demand_by_type(features: DataFrame) -> DataFrame:
 def distinct_types(chunks: DataFrame) -> DataFrame:
     """Sorted demand types of the parts, for a picker."""
     return list_parts(chunks).select("demand_type").distinct().orderBy("demand_type")
-
-
-__all__ = [
-    "best_models",
-    "demand_by_type",
-    "distinct_types",
-    "kpi_cards",
-    "list_parts",
-    "part_chunks_only",
-    "risk_bucket",
-    "risk_buckets",
-    "risk_listing",
-]
