@@ -44,7 +44,8 @@ class BoostedForecaster:
             seed=self.params["seed"],
             featureSubsetStrategy="all",
             lossType="squared",
-            cacheNodeIds=True,
+            # Six levels are quickly walked per row; no cached node ids needed.
+            cacheNodeIds=False,
             checkpointInterval=10,
         )
         labelled = rows.select(*columns, F.col(fv.TARGET_COLUMN).cast("double").alias("_label"))
