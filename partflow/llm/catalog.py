@@ -5,8 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.llm import packing, token_counts, token_file, topk_mtree, warc
 from partflow.llm.common import table
 from partflow.llm.substring_dedup import remove_repeats
+from partflow.llm.tokens import default_path
+from partflow.session import scratch_path
+
+
+def op3_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_mtree.quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = topk_mtree.search_topk(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.section_tokens(docs, default_path("byte_bpe_50k.json"))
+
+
+def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    token_file.write_token_shards(table(spark, sf_dir, "documents"), path, default_path("word_bpe_49k.json"), end_id=1)
+    docs = token_file.read_token_shards(spark.read.parquet(path))
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,4 +40,17 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op9_substring_dedup": op9_substring_dedup}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {
+    "op3_topk_mtree": op3_topk_mtree,
+    "op5_token_counts": op5_token_counts,
+    "op6_token_file": op6_token_file,
+    "op7_packing": op7_packing,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_warc": op10_warc,
+}
