@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import packing, token_counts, token_file, topk_mtree, warc
+from partflow.llm import decontaminate, packing, token_counts, token_file, topk_mtree, warc
 from partflow.llm.common import table
 from partflow.llm.substring_dedup import remove_repeats
 from partflow.llm.tokens import default_path
@@ -18,6 +18,19 @@ def op3_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.section_tokens(docs, default_path("byte_bpe_50k.json"))
@@ -47,6 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
     "op3_topk_mtree": op3_topk_mtree,
     "op5_token_counts": op5_token_counts,
     "op6_token_file": op6_token_file,
