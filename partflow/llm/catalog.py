@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, packing, token_counts, token_file, topk_mtree, warc
+from partflow.llm import decontaminate, language_id, packing, token_counts, token_file, topk_mtree, toxicity, warc
 from partflow.llm.common import table
+from partflow.llm.near_dedup import near_duplicates
 from partflow.llm.substring_dedup import remove_repeats
 from partflow.llm.tokens import default_path
 from partflow.session import scratch_path
 
 
+def _remainder(modulus: int):
+    """crc32 of doc_id as text, by ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    model = language_id.learn(docs.filter(~held_out).select("text", "lang"))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language_id.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk_mtree.quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     found = topk_mtree.search_topk(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
@@ -48,6 +66,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).filter(_remainder(5) != 0)
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -60,11 +85,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_decontamination": op4_decontamination,
+    "op2_near_dedup": op2_near_dedup,
     "op3_topk_mtree": op3_topk_mtree,
     "op5_token_counts": op5_token_counts,
     "op6_token_file": op6_token_file,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
 }

@@ -8,12 +8,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` and the fields of ``ddl`` behind it."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of whole rows of about ``most`` bytes of ``column``."""
     for batch in batches:

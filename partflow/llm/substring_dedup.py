@@ -19,9 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from partflow.llm import recurring as R
+from partflow.llm.common import with_fields
 from partflow.llm.recompression import recompress
 from partflow.llm.words import U64, Words, hash_windows, hash_words, split_words, windows
 from partflow.session import materialize
@@ -114,7 +114,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ro
     repeated = R.recurring(narrowed.filter("range >= 0"), "repeat-verified")
     masks = narrowed.filter("range < 0").select("batch", F.col("body").alias("mask"))
 
-    fields = T.StructType(docs.schema.fields + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
+    fields = with_fields(docs.schema, "n_words long, n_removed long, kept_text string")
 
     def remove(row: dict, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words, hashes = read(part)

@@ -116,7 +116,7 @@ def _finding(file: str, data: bytes, at: int, payloads: bool) -> tuple | None:
 
 def findings(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """Every place that looks like a record of the archives below ``path``."""
-    schema = T._parse_datatype_string(FOUND)
+    schema = T.StructType.fromDDL(FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in schema.fields]
