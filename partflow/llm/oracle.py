@@ -1,3 +1,106 @@
-"""DuckDB SQL of the training-data queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others (learned models, tokenizers) are tested against brute force, exact
+round trips or held-out labels in ``tests/llm``.
+"""
+
+from __future__ import annotations
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+_BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP2 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACE_WORDS}') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS id, doc_id AS c FROM w
+  UNION
+  SELECT l.b AS id, r.c FROM reach r JOIN links l ON l.a = r.id WHERE r.c < l.b
+), best AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, best.c AS component_id, best.c = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN best ON best.id = w.doc_id
+"""
+
+OP3 = """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 1024) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+OP4 = rf"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_BENCH_WORDS}') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_BENCH_WORDS}') AS w FROM documents
+), dw AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)
+), hit AS (SELECT dw.doc_id, dw.i, dw.size, bw.item_id FROM dw JOIN bw ON dw.size = bw.size AND dw.s = bw.s),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+OP9 = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE_WORDS}') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35)
+), rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM rep),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM w),
+kept AS (
+  SELECT word.doc_id, count(*) AS n, string_agg(word.word, ' ' ORDER BY word.p) AS t
+  FROM word ANTI JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+OP10 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS last FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last > page_id THEN last END AS refers_to
+FROM m
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_near_dedup": OP2,
+    "op3_topk_mtree": OP3,
+    "op4_decontamination": OP4,
+    "op9_substring_dedup": OP9,
+    "op10_warc": OP10,
+}
