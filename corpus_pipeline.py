@@ -1,14 +1,75 @@
-"""Documents from raw to packed: every stage reads what the one before it kept."""
+"""Documents from raw to packed: every stage reads what the one before it kept.
+
+All stages but the last return the columns of their documents. Columns travel
+under plain names inside an operator, so no column of the documents can clash
+with an operator's own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from partflow.llm import decontaminate, packing, toxicity
 from partflow.llm.common import table
+from partflow.llm.near_dedup import near_duplicates
+from partflow.llm.substring_dedup import remove_repeats
+from partflow.llm.tokens import default_path
 from partflow.session import materialize
 
 
-STAGES = ()
+def _shielded(docs: DataFrame) -> tuple[DataFrame, str, list]:
+    """``docs`` under plain names, the name of its text, and the columns back."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    back = [F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)]
+    return plain, f"c{docs.columns.index('text')}", back
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.learn(docs.select("doc_id", "text"), labels)
+    plain, text, back = _shielded(docs)
+    return toxicity.score(plain, model, text).filter("predicted = 0").select(*back)
+
+
+def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(materialize(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that recur are cut out; documents all stay, with their text's new length."""
+    plain, text, _ = _shielded(docs)
+    cleaned = remove_repeats(plain, text)
+    cut = F.col("n_removed") > 0
+    new = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col(text))}
+    if "n_chars" in docs.columns:
+        old = F.col(f"c{docs.columns.index('n_chars')}")
+        new["n_chars"] = F.when(cut, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(old)
+    return cleaned.select(*[new.get(name, F.col(f"c{i}")).alias(name) for i, name in enumerate(docs.columns)])
+
+
+def contaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    plain, text, back = _shielded(docs)
+    return decontaminate.mark_hits(plain, table(spark, sf_dir, "benchmark"), text=text).filter(F.size("_hits") == 0).select(*back)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in sequences of at most 1024."""
+    pieces = packing.pack(docs, default_path("byte_bpe_50k.json"), end_id=0)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = (
+    ("toxicity", toxic_documents),
+    ("near_dedup", near_duplicate_documents),
+    ("substring_dedup", repeated_passages),
+    ("decontamination", contaminated_documents),
+    ("packing", packed_sequences),
+)
 #: The rows of ``run`` cannot be expressed in SQL: it scores, tokenizes and packs.
 ORACLE_SQL = None
 
