@@ -55,7 +55,8 @@ MAPS = {
         "2-HIGH": "AMAT_Producer_SE_Release",
     },
 }
-PRICED_SIZE = 40
+#: Every so manieth part is priced under a former name, so its sales find no price.
+FORMER_NAME_EVERY = 11
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,14 +68,20 @@ def raw_sales(
     sf_dir: str,
     dims: tuple[str, ...] = ("dept_id", "cat_id", "store_id", "event_name_1"),
 ) -> DataFrame:
-    """Sales rows with the asked-for dimension columns."""
+    """Sales rows with the asked-for dimension columns.
+
+    Some orders sold nothing and some a multiple, so that the flags, masks and
+    limits of the demand operators have something to find; all rows stay.
+    """
+    quantity = F.col("l_quantity")
+    sold = F.when(F.col("l_orderkey") % 61 == 0, 0).when(F.col("l_orderkey") % 59 == 0, quantity * 40).otherwise(quantity)
     df = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_orderkey",
         "l_suppkey",
         F.concat(F.lit("ITEM_"), F.col("l_partkey")).alias("item_id"),
         F.to_date("l_shipdate").alias("date"),
-        F.col("l_quantity").cast("int").alias("sales"),
+        sold.cast("int").alias("sales"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
     )
@@ -110,15 +117,15 @@ def supplier_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit prices by item, store and week; large parts have no list price."""
+    """Unit prices by item, store and week; some items are listed under a former name."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", F.to_date("l_shipdate").alias("d")
     )
-    parts = table(spark, sf_dir, "part").filter(F.col("p_size") <= PRICED_SIZE).select(F.col("p_partkey").alias("l_partkey"))
-    priced = lines.join(parts, "l_partkey").join(supplier_stores(spark, sf_dir), "l_suppkey")
+    priced = lines.join(supplier_stores(spark, sf_dir), "l_suppkey")
+    former = F.when(F.col("l_partkey") % FORMER_NAME_EVERY == 0, F.lit("_OLD")).otherwise(F.lit(""))
     return priced.select(
         "store_id",
-        F.concat(F.lit("ITEM_"), F.col("l_partkey")).alias("item_id"),
+        F.concat(F.lit("ITEM_"), F.col("l_partkey"), former).alias("item_id"),
         (F.year("d") * 100 + F.weekofyear("d")).alias("wm_yr_wk"),
         (F.rint(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100).alias("sell_price"),
     )

@@ -499,10 +499,10 @@ def kb_counts(spark, sf_dir):
 
 @query
 def query_terms(spark, sf_dir):
-    """Search terms of every user turn."""
-    asked = b.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    """Search terms of every turn."""
+    asked = b.table(spark, sf_dir, "conversations")
     terms = F.sort_array(retrieve.query_terms(F.col("text")))
-    return asked.select("conv_id", "turn", F.size(terms).alias("n_terms"), F.array_join(terms, " ").alias("terms"))
+    return asked.select("conv_id", "turn", "role", F.size(terms).alias("n_terms"), F.array_join(terms, " ").alias("terms"))
 
 
 @query

@@ -6,7 +6,7 @@ query computes; the fragments below are common table expressions.
 
 from __future__ import annotations
 
-from harness.binding import MAPS, PRICED_SIZE
+from harness.binding import MAPS
 from harness.catalog import DOCUMENT_QUESTIONS
 from partflow import fixed_values as fv
 from partflow.functions.text import SPACE_CODES
@@ -48,20 +48,23 @@ def put(name: str, sql: str) -> None:
 
 # Raw tables
 
+# Some orders sold nothing, some a multiple.
+SOLD = "(CASE WHEN l_orderkey % 61 = 0 THEN 0 WHEN l_orderkey % 59 = 0 THEN l_quantity * 40 ELSE l_quantity END)::INT"
+
 RAW = f"""
 raw AS (
   SELECT 'ITEM_' || l_partkey AS item_id, p_type AS dept_id, split_part(p_name, ' ', 2) AS cat_id,
          r_name AS store_id, o_orderpriority AS event_name_1, l_shipdate::DATE AS date,
-         l_quantity::INT AS sales, l_orderkey AS order_key, l_linenumber AS line_number
+         {SOLD} AS sales, l_orderkey AS order_key, l_linenumber AS line_number
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
   JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
   JOIN region ON r_regionkey = n_regionkey
 ),
 prices AS (
-  SELECT r_name AS store_id, 'ITEM_' || l_partkey AS item_id,
+  SELECT r_name AS store_id, 'ITEM_' || l_partkey || CASE WHEN l_partkey % 11 = 0 THEN '_OLD' ELSE '' END AS item_id,
          (year(l_shipdate) * 100 + week(l_shipdate))::INT AS wm_yr_wk,
          {rd('l_extendedprice / l_quantity', 2)} AS sell_price
-  FROM lineitem JOIN part ON p_partkey = l_partkey AND p_size <= {PRICED_SIZE}
+  FROM lineitem
   JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
   JOIN region ON r_regionkey = n_regionkey
 ),
@@ -89,7 +92,7 @@ demand AS (
 )
 SERIES = f"""
 demand AS (
-  SELECT part AS part_number, l_quantity::INT AS demand_quantity, l_shipdate::DATE AS transaction_date,
+  SELECT part AS part_number, {SOLD} AS demand_quantity, l_shipdate::DATE AS transaction_date,
          l_orderkey AS order_key, l_linenumber AS line_number
   FROM (SELECT *, {PART_OF} AS part FROM (SELECT *, 'ITEM_' || l_partkey AS item_id FROM lineitem))
 )"""
@@ -659,8 +662,8 @@ def terms_of(text: str) -> str:
 
 put(
     "query_terms",
-    f"""SELECT conv_id, turn, len(terms)::INT AS n_terms, array_to_string(list_sort(terms), ' ') AS terms
-    FROM (SELECT conv_id, turn, {terms_of('text')} AS terms FROM conversations WHERE role = 'user')""",
+    f"""SELECT conv_id, turn, role, len(terms)::INT AS n_terms, array_to_string(list_sort(terms), ' ') AS terms
+    FROM (SELECT conv_id, turn, role, {terms_of('text')} AS terms FROM conversations)""",
 )
 INTENT = "CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(lower(text), {q(w)})" for w in words) + f" THEN {q(name)}"

@@ -15,7 +15,6 @@ from partflow import fixed_values as fv
 from partflow.functions.text import fill, join_lines, pick_lines, strip
 from partflow.operators.narrate import MODEL_SOURCE, PART_SOURCE
 from partflow.operators.retrieve import (
-    check_top_k,
     embed_questions,
     hits_with_text,
     keyword_search,
@@ -140,17 +139,19 @@ def context_text(hits: Column) -> Column:
     return F.array_join(F.transform(hits, lambda h: h["text"]), fv.CONTEXT_RULE)
 
 
-def prompt_text(question: Column, hits: Column) -> Column:
+def prompt_text(question: Column, context: Column) -> Column:
     """The prompt a language model would get: rules, context, question."""
-    return fill(fv.PROMPT_TEMPLATE, context=context_text(hits), question=question)
+    return fill(fv.PROMPT_TEMPLATE, context=context, question=question)
 
 
-def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
+def _with_hits(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
     """Every question gets a row, also one that nothing was found for."""
-    spark = hits.sparkSession
-    asked = spark.createDataFrame(list(enumerate(questions)), "qid int, question string")
-    found = group_hits(hits).select("qid", "hits")
-    rows = asked.join(found, "qid", "left")
+    asked = hits.sparkSession.createDataFrame(list(enumerate(questions)), "qid int, question string")
+    return asked.join(group_hits(hits).select("qid", "hits"), "qid", "left")
+
+
+def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
+    rows = _with_hits(hits, questions)
     sources = F.coalesce(F.transform("hits", lambda h: h["id"]), F.array().cast("array<string>"))
     return rows.select(
         "qid",
@@ -163,7 +164,7 @@ def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
 
 def answer_questions(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """Keyword search, then one answer row per question."""
-    hits = hits_with_text(keyword_search(chunks, questions, top_k), chunks, questions)
+    hits = hits_with_text(keyword_search(chunks, questions, top_k), chunks, questions, top_k)
     return _answer(hits, questions)
 
 
@@ -171,18 +172,17 @@ def answer_by_vectors(
     embedded: DataFrame, questions: Sequence[str], embedder, top_k: int = fv.TOP_K_DEFAULT
 ) -> DataFrame:
     """Vector search over embedded chunks, then the same answers."""
-    check_top_k(top_k)
     vectors = embed_questions(questions, embedder, embedded)
-    hits = hits_with_text(vector_search(embedded, vectors, top_k), embedded, questions)
+    hits = hits_with_text(vector_search(embedded, vectors, top_k), embedded, questions, top_k)
     return _answer(hits, questions)
 
 
 def context_and_prompt(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
-    """Context and prompt per question, the hand-off to a language model."""
-    hits = hits_with_text(keyword_search(chunks, questions, top_k), chunks, questions)
-    return group_hits(hits).select(
-        "qid",
-        "question",
-        context_text(F.col("hits")).alias("context"),
-        prompt_text(F.col("question"), F.col("hits")).alias("prompt"),
-    )
+    """Context and prompt per question, the hand-off to a language model.
+
+    A question that nothing was found for has an empty context.
+    """
+    hits = hits_with_text(keyword_search(chunks, questions, top_k), chunks, questions, top_k)
+    rows = _with_hits(hits, questions)
+    context = F.coalesce(context_text(F.col("hits")), F.lit(""))
+    return rows.select("qid", "question", context.alias("context"), prompt_text(F.col("question"), context).alias("prompt"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.functions.numbers import exact_mean, round_even, sample_std
+from partflow.functions.numbers import exact_mean, round_even, sample_std, square_sum, whole_sum
 
 PART, DATE, QUANTITY = "part_number", "transaction_date", "demand_quantity"
 
@@ -36,7 +36,7 @@ def part_statistics(features: DataFrame, ties: tuple[str, ...] = ()) -> DataFram
         round_even(F.sum(q) / n, 1).alias("avg_demand"),
         F.max(QUANTITY).alias("max_demand"),
         F.min(QUANTITY).alias("min_demand"),
-        round_even(sample_std(n, F.sum(q), F.sum(q * q)), 1).alias("std_demand"),
+        round_even(sample_std(n, whole_sum(q), square_sum(q)), 1).alias("std_demand"),
         F.sum(q).alias("total_demand"),
         round_even(exact_mean(F.col("unit_cost")), 2).alias("unit_cost"),
         round_even(exact_mean(F.col("rolling_mean_7")), 1).alias("rolling_mean_7"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partflow.functions.numbers import round_even, sample_std
+from partflow.functions.numbers import round_even, sample_std, square_sum, whole_sum
 
 
 def signal_flag(df: DataFrame) -> DataFrame:
@@ -18,9 +18,9 @@ def signal_flag(df: DataFrame) -> DataFrame:
 def outlier_limit(df: DataFrame, column: str = "demand_quantity") -> DataFrame:
     """One row: mean + 3 sample deviations, null if undefined or no spread."""
     q = F.col(column).cast("long")
-    sums = df.agg(F.count(q).alias("n"), F.sum(q).alias("s"), F.sum(q * q).alias("ss"))
+    sums = df.agg(F.count(q).alias("n"), whole_sum(q).alias("s"), square_sum(q).alias("ss"))
     std = sample_std(F.col("n"), F.col("s"), F.col("ss"))
-    return sums.select(F.when(std > 0, F.col("s") / F.col("n") + 3 * std).alias("outlier_limit"))
+    return sums.select(F.when(std > 0, F.col("s").cast("double") / F.col("n") + 3 * std).alias("outlier_limit"))
 
 
 def quality_flags(df: DataFrame) -> DataFrame:

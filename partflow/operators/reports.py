@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.functions.numbers import round_even, sample_std
+from partflow.functions.numbers import round_even, sample_std, square_sum, whole_sum
 from partflow.operators.narrate import PART_SOURCE
 
 
@@ -53,7 +53,7 @@ def demand_by_type(features: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return features.groupBy("demand_type").agg(
         round_even(F.sum(q) / n, 2).alias("avg_daily_demand"),
-        round_even(sample_std(n, F.sum(q), F.sum(q * q)), 2).alias("std_deviation"),
+        round_even(sample_std(n, whole_sum(q), square_sum(q)), 2).alias("std_deviation"),
         F.sum(q).alias("total_demand"),
     )
 

@@ -40,6 +40,7 @@ def question_intent(question: Column) -> Column:
 
 
 def check_top_k(top_k: int) -> int:
+    """The bound of a service request; a search itself takes any number."""
     if not fv.TOP_K_MIN <= top_k <= fv.TOP_K_MAX:
         raise ValueError(f"top_k must be within {fv.TOP_K_MIN}..{fv.TOP_K_MAX}")
     return top_k
@@ -103,7 +104,6 @@ def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.
     Equal scores keep the order of the chunks; a question without terms gets
     the first chunks.
     """
-    check_top_k(top_k)
     order = [F.desc("score"), F.col("kind"), F.col("seq")]
     found = [_best(keyword_scores(chunks, p), top_k, order) for p in _passes(questions)]
     return stack(found).select("qid", "rank", "id", "score")
@@ -121,7 +121,6 @@ def vector_search(
 
     ``where`` is a metadata filter that is applied before ranking.
     """
-    check_top_k(top_k)
     rows = vectors if where is None else vectors.filter(where)
 
     def distance(q: Column) -> Column:
@@ -163,14 +162,14 @@ def embed_questions(questions: Sequence[str], embedder: PipelineModel, chunks: D
     return [r["embedding"] for r in embed(asked, embedder).orderBy("qid").collect()]
 
 
-def hits_with_text(hits: DataFrame, chunks: DataFrame, questions: Sequence[str]) -> DataFrame:
+def hits_with_text(hits: DataFrame, chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """Join the found chunks' texts and metadata to the hits.
 
-    ``hits`` holds at most TOP_K_MAX rows per question of the request. While
+    ``hits`` holds at most ``top_k`` rows per question of the request. While
     that is within BROADCAST_HITS rows it is sent to the chunks; a longer
     request is joined by key.
     """
     asked = F.create_map(*[x for i, q in enumerate(questions) for x in (F.lit(i), F.lit(q))])
-    few = len(questions) * fv.TOP_K_MAX <= BROADCAST_HITS
+    few = len(questions) * top_k <= BROADCAST_HITS
     found = chunks.select("id", "text", "source", "metadata").join(F.broadcast(hits) if few else hits, "id")
     return found.withColumn("question", asked[F.col("qid")])

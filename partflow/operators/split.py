@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.operators.ordering import ROWS_PER_TASK, with_positions
+from partflow.operators.ordering import with_positions
 
 DATE = "transaction_date"
+# Rows of one day up to which its order is left to a plain top-n.
+ROWS_AT_ONCE = 5_000
 
 
 @dataclass(frozen=True)
@@ -53,14 +55,17 @@ def find_cut(
     df: DataFrame,
     order: tuple[str, ...],
     test_share: float = fv.TEST_SHARE,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_at_once: int = ROWS_AT_ONCE,
 ) -> TimeCut:
     """Locate the cut so that the first ``int(n * (1 - share))`` rows train.
 
     Rows are ordered by date, then by ``order``, which must identify a row of a
     day. Only counts per day reach the driver; only the one day that the cut
-    falls into is ordered, in one task while that is small, else by ranges.
+    falls into is ordered: by ranges, unless it has a few rows. A row without a
+    date is an error, as it would be neither a train nor a test row.
     """
+    if df.filter(F.col(DATE).isNull()).limit(1).count():
+        raise ValueError("rows without a date belong to no side of the split")
     days = df.groupBy(DATE).agg(F.count(F.lit(1)).alias("n")).orderBy(DATE).collect()
     total = sum(r["n"] for r in days)
     train_rows = int(total * (1 - test_share))
@@ -75,7 +80,7 @@ def find_cut(
     last = None
     if inside:
         same_day = df.filter(F.col(DATE) == F.lit(r[DATE])).select(*order)
-        if r["n"] <= rows_per_task:
+        if r["n"] <= rows_at_once:
             found = same_day.orderBy(*order).offset(inside - 1).limit(1)
         else:
             found = with_positions(same_day, [], list(order), rows=r["n"]).filter(F.col("_pos") == inside - 1).select(*order)

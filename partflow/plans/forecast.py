@@ -58,7 +58,7 @@ def run_forecast(
     """Features once, one split for all models, keyed predictions, metrics."""
     hot = hot_parts(valid, rows_per_task)
     features = materialize(build_features(valid, ties, hot=hot, chunk_rows=rows_per_task), "features")
-    cut = find_cut(features, split_order(ties), rows_per_task=rows_per_task)
+    cut = find_cut(features, split_order(ties))
     states = fit_seasonal(fit_rows(features, cut), ties, hot=hot, chunk_rows=rows_per_task)
     states = materialize(states, "seasonal-states")
     seasonal = predict_seasonal(holdout_rows(features, cut), states)

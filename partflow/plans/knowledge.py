@@ -10,7 +10,7 @@ from partflow import fixed_values as fv
 from partflow.operators.answers import answer_by_vectors, answer_questions
 from partflow.operators.narrate import assemble, domain_chunks, part_chunks, summary_chunk
 from partflow.operators.profile import part_profiles
-from partflow.operators.retrieve import embed, text_embedder
+from partflow.operators.retrieve import check_top_k, embed, text_embedder
 from partflow.plans.forecast import Forecast
 from partflow.session import materialize
 from partflow.sources.tables import write_chunks
@@ -46,6 +46,7 @@ class QuestionService:
 
     def query(self, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
         """One row per question: answer, sources, number of sources."""
+        check_top_k(top_k)
         if self.embedder is None:
             return answer_questions(self.chunks, questions, top_k)
         return answer_by_vectors(self.chunks, questions, self.embedder, top_k)

@@ -36,11 +36,14 @@ def get_spark(name: str = "partflow", master: str | None = None, **conf) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a fresh local folder stands in.
+    Only where that is unset in a local session (tests, a laptop) a fresh local
+    folder stands in; on a cluster executors would not share it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))

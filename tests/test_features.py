@@ -98,9 +98,9 @@ def ranked(df):
     return pdf.iloc[:cut], pdf.iloc[cut:]
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 1000])
-def test_split_is_exact(series, rows_per_task):
-    cut = find_cut(series, ("part_number", "tie"), rows_per_task=rows_per_task)
+@pytest.mark.parametrize("rows_at_once", [1, 1000])
+def test_split_is_exact(series, rows_at_once):
+    cut = find_cut(series, ("part_number", "tie"), rows_at_once=rows_at_once)
     train, test = ranked(series)
     keys = ["part_number", "tie"]
     assert set(map(tuple, train[keys].values)) == {tuple(r) for r in fit_rows(series, cut).select(*keys).collect()}
