@@ -123,7 +123,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
         encoder = chunk_encoder(json)
         packer = _Packer(TaskContext.get().partitionId(), capacity)
         for batch in slices(batches, "text", 1 << 20):
-            ids, starts = encoder.encode(batch.column("text").to_pylist())
+            ids, starts = encoder.encode(batch.column("text"))
             for k, doc in enumerate(batch.column("id").to_pylist()):
                 packer.add(doc, np.append(ids[starts[k] : starts[k + 1]], np.uint32(end_id)).astype("<u4"))
             yield packer.take()

@@ -55,7 +55,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", t
         encoder = chunk_encoder(json, spans=True)
         for batch in slices(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            _, begin, end, at = encoder.encode_spans(texts)
+            _, begin, end, at = encoder.encode_spans(batch.column("text"))
             out = []
             for k, body in enumerate(texts):
                 starts = line_starts(body)

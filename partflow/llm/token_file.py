@@ -60,14 +60,14 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int,
     """
     json = tokenizer_json(tokenizer)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first(), "text").sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(json)
         width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         part, before = TaskContext.get().partitionId(), 0
         for k, batch in enumerate(slices(batches, "text", SHARD_BYTES)):
-            ids, starts = encoder.encode(batch.column("text").to_pylist())
+            ids, starts = encoder.encode(batch.column("text"))
             ids = np.insert(ids, starts[1:], end_id)
             ends = starts[1:] + np.arange(1, batch.num_rows + 1)
             doc_ids = batch.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
