@@ -227,7 +227,7 @@ class Phases:
 
     def states(self) -> DataFrame:
         return self._once(
-            "states", lambda: materialize(fit_seasonal(self.train(), TIES, hot=self.hot()), "seasonal-states")
+            "states", lambda: materialize(fit_seasonal(self.train(), TIES), "seasonal-states")
         )
 
     def seasonal(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harness import binding as b
@@ -14,6 +14,8 @@ from partflow.operators import evaluate, features, narrate, profile, quality, re
 from partflow.operators.answers import answer_by_vectors, context_and_prompt
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive, predict_previous_row
+from partflow.operators.models.seasonal import fit_seasonal as fit_seasonal_states
+from partflow.operators.models.seasonal import predict_seasonal
 from partflow.operators.ordering import number_rows
 from partflow.session import materialize, scratch_path
 from partflow.sources import sample, tables
@@ -419,6 +421,23 @@ def forecast_seasonal(spark, sf_dir):
     return b.phases(spark, sf_dir).seasonal().select(*b.KEY, "demand_quantity", r6("predicted"))
 
 
+def _yearly(rows):
+    """Rows with a series per part and year: many short ones, and new ones among the test rows."""
+    return rows.withColumn("part_number", F.concat_ws("|", "part_number", F.year("transaction_date")))
+
+
+@query
+def fit_seasonal_yearly(spark, sf_dir):
+    return _states(fit_seasonal_states(_yearly(b.phases(spark, sf_dir).train()), b.TIES))
+
+
+@query
+def forecast_seasonal_yearly(spark, sf_dir):
+    p = b.phases(spark, sf_dir)
+    states = materialize(fit_seasonal_states(_yearly(p.train()), b.TIES), "yearly-states")
+    return predict_seasonal(_yearly(p.test()), states).select(*b.KEY, "demand_quantity", r6("predicted"))
+
+
 @query
 def forecast_naive(spark, sf_dir):
     return predict_naive(b.phases(spark, sf_dir).test()).select(*b.KEY, "demand_quantity", "predicted")
@@ -429,6 +448,37 @@ def forecast_gbt(spark, sf_dir):
     return b.phases(spark, sf_dir).boosted()
 
 
+@query
+def gbt_checked(spark, sf_dir):
+    """Each prediction's key and actual, whether it is a number from 0 on, and equal after saving and loading."""
+    p = b.phases(spark, sf_dir)
+    path = scratch_path(spark, "boosted")
+    p.booster().save(path)
+    again = BoostedForecaster().load(path).predict(p.test()).select(*b.KEY, F.col("predicted").alias("loaded"))
+    sound = (F.col("predicted") >= 0) & ~F.isnan("predicted") & (F.col("predicted") < float("inf"))
+    rows = p.boosted().select(*b.KEY, "actual", "predicted").join(again, list(b.KEY))
+    return rows.select(*b.KEY, "actual", F.coalesce(sound, F.lit(False)).alias("sound"), (F.col("predicted") == F.col("loaded")).alias("same_loaded"))
+
+
+@query
+def importance_checked(spark, sf_dir):
+    """The features of the importances, whether they are shares, and add up to 1."""
+    ranks = b.phases(spark, sf_dir).booster().importances(spark)
+    total = F.round(F.sum("importance").over(Window.partitionBy(F.lit(0))), 6)
+    return ranks.select("feature", F.col("importance").between(0, 1).alias("share"), total.alias("total"))
+
+
+@query
+def metrics_all_checked(spark, sf_dir):
+    """All three models' rows; the figures of the two models that SQL can follow."""
+    p = b.phases(spark, sf_dir)
+    rows = evaluate.model_metrics(evaluate.stack([p.boosted(), p.predictions()]))
+    known = F.col("model") != fv.BOOSTED_NAME
+    figures = [F.when(known, F.col(c)).alias(c) for c in ("mae", "rmse", "mape")]
+    better = F.max(F.when(~known, F.col("mae"))).over(Window.partitionBy(F.lit(0))) > 0
+    return rows.select("model", *figures, better.alias("boosted_has_error"))
+
+
 @query
 def feature_importance(spark, sf_dir):
     return b.phases(spark, sf_dir).booster().top_importances(spark)
@@ -548,13 +598,19 @@ DOCUMENT_QUESTIONS = (
 )
 
 
+MOST_LABELS = 1000
+
+
 def label_centroids(spark, sf_dir) -> DataFrame:
-    """Mean vector of each label, folded dimension by dimension."""
+    """Mean vector of each label: one aggregate, a sum per dimension."""
     rows = b.table(spark, sf_dir, "embeddings")
-    dims = rows.select("label", F.posexplode("embedding").alias("i", "x"))
-    means = dims.groupBy("label", "i").agg((F.sum(F.col("x").cast("decimal(28,10)")).cast("double") / F.count("x")).alias("m"))
-    entries = F.sort_array(F.collect_list(F.struct("i", "m")))
-    return means.groupBy("label").agg(F.transform(entries, lambda e: e["m"]).alias("center")).orderBy("label")
+    dims = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+
+    def mean(i: int):
+        x = F.get("embedding", F.lit(i))
+        return F.sum(x.cast("decimal(28,10)")).cast("double") / F.count(x)
+
+    return rows.groupBy("label").agg(F.array(*[mean(i) for i in range(dims)]).alias("center")).orderBy("label")
 
 
 @query
@@ -570,8 +626,10 @@ def vector_search_filtered(spark, sf_dir):
 
 
 def _near(spark, sf_dir, where):
-    # Ten labels at every scale: a request of ten query vectors.
-    centers = [r["center"] for r in label_centroids(spark, sf_dir).collect()]
+    # A request of one query vector per label, ten in these tables.
+    centers = [r["center"] for r in label_centroids(spark, sf_dir).limit(MOST_LABELS + 1).collect()]
+    if len(centers) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
     rows = b.table(spark, sf_dir, "embeddings")
     hits = retrieve.vector_search(rows, centers, top_k=3, key="vec_id", where=where)
     return hits.select("qid", "rank", "vec_id", r6("distance"))

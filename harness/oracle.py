@@ -419,6 +419,22 @@ scored AS (
   FROM test LEFT JOIN states USING (part_number)
 )"""
 )
+YEARLY = SPLIT.replace(
+    "test AS (SELECT * FROM split WHERE split = 'test')",
+    "by_year AS (SELECT * REPLACE (part_number || '|' || year(transaction_date) AS part_number) FROM split), "
+    "test AS (SELECT * FROM by_year WHERE split = 'test')",
+)
+YEARLY_SCORED = SCORED.replace(SPLIT.lstrip("\n"), YEARLY.lstrip("\n")).replace("FROM split WHERE split = 'train'", "FROM by_year WHERE split = 'train'")
+put("fit_seasonal_yearly", f"WITH RECURSIVE {YEARLY_SCORED} {STATE_ROWS}")
+put(
+    "forecast_seasonal_yearly",
+    f"WITH RECURSIVE {YEARLY_SCORED} SELECT {KEY}, demand_quantity, {rd('predicted', 6)} AS predicted FROM scored",
+)
+put("gbt_checked", f"WITH {SPLIT} SELECT {KEY}, demand_quantity::DOUBLE AS actual, true AS sound, true AS same_loaded FROM test")
+put(
+    "importance_checked",
+    f"SELECT unnest([{values(fv.FEATURE_COLUMNS)}]) AS feature, true AS share, 1.0::DOUBLE AS total",
+)
 put("forecast_seasonal", f"WITH RECURSIVE {SCORED} SELECT {KEY}, demand_quantity, {rd('predicted', 6)} AS predicted FROM scored")
 
 # Metrics
@@ -438,6 +454,11 @@ predictions AS (
 metrics AS (SELECT model, {rd(MAE, 2)} AS mae, {rd(RMSE, 2)} AS rmse, {rd(MAPE, 1)} AS mape FROM predictions GROUP BY 1)"""
 )
 put("model_metrics", f"WITH RECURSIVE {METRICS} SELECT * FROM metrics")
+put(
+    "metrics_all_checked",
+    f"""WITH RECURSIVE {METRICS} SELECT model, mae, rmse, mape, true AS boosted_has_error FROM metrics
+    UNION ALL SELECT {q(fv.BOOSTED_NAME)}, NULL, NULL, NULL, true""",
+)
 PART_METRICS = (
     METRICS
     + f""",

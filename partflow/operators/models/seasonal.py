@@ -20,6 +20,10 @@ PART, DATE, QUANTITY = "part_number", "transaction_date", "demand_quantity"
 STATE = "struct<level:double,trend:double,seasonal:array<double>>"
 
 
+# Rows of a part that are folded in one row; longer parts go chunk after chunk.
+FOLD_ROWS = 100_000
+
+
 def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
 
@@ -96,7 +100,7 @@ def fit_seasonal(
     period: int = fv.SMOOTHING["period"],
     phase: str = "position",
     hot: DataFrame | str | None = DETECT,
-    chunk_rows: int = ROWS_PER_TASK,
+    chunk_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """One state row per part of the training rows.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.functions.numbers import exact_mean
+from partflow.session import materialize
 
 # A dictionary up to this size becomes a literal map inside the projection; a
 # larger one is joined. Up to BROADCAST_ENTRIES it is sent to every executor.
@@ -55,10 +56,14 @@ def attach_prices(sales: DataFrame, prices: DataFrame, item_map: dict[str, str])
 
 
 def attach_weekly_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:
-    """Variant for sales with a week key: the price of that very week."""
+    """Variant for sales with a week key: the price of that very week.
+
+    The weekly prices become a table, so that the join has exchanges of its own
+    on both sides and a hot (item, store, week) can be split.
+    """
     keys = ["item_id", "store_id", "wm_yr_wk"]
     weekly = prices.groupBy(*keys).agg(exact_mean(F.col("sell_price")).alias("sell_price"))
-    joined = sales.join(weekly, keys, "left")
+    joined = sales.join(materialize(weekly, "weekly-prices"), keys, "left")
     return joined.withColumn("sell_price", F.coalesce("sell_price", F.lit(fv.DEFAULT_UNIT_COST)))
 
 

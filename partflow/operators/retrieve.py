@@ -9,7 +9,7 @@ further passes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -67,8 +67,8 @@ def _best(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
-def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]]) -> DataFrame:
-    """Score of every chunk for each question of one pass; texts stay behind."""
+def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]], wanted: Callable[[Column], Column]) -> DataFrame:
+    """Scores of the chunks for each question of one pass, if ``wanted``; texts stay behind."""
     asked = F.array(
         *[
             F.struct(F.lit(i).alias("qid"), F.lit(q.lower()).alias("phrase"), _strings(_terms_of(q)).alias("terms"))
@@ -95,17 +95,23 @@ def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]]) -> DataFr
         return F.when(n > 0, points / n).otherwise(F.lit(0.0))
 
     scored = F.transform(asked, lambda q: F.struct(q["qid"].alias("qid"), score(q).alias("score")))
-    return prepared.select("id", "kind", "seq", F.explode(scored).alias("_s")).select("id", "kind", "seq", "_s.*")
+    kept = F.filter(scored, lambda s: wanted(s["score"]))
+    return prepared.select("id", "kind", "seq", F.explode(kept).alias("_s")).select("id", "kind", "seq", "_s.*")
 
 
 def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """Best chunks per question: ``qid``, ``rank``, ``id``, ``score``.
 
     Equal scores keep the order of the chunks; a question without terms gets
-    the first chunks.
+    the first chunks. A chunk without points can only be found if it is among
+    the first ``top_k``, so pairs without points are made for those alone.
     """
     order = [F.desc("score"), F.col("kind"), F.col("seq")]
-    found = [_best(keyword_scores(chunks, p), top_k, order) for p in _passes(questions)]
+    first = chunks.orderBy("kind", "seq").limit(top_k)
+    found = []
+    for p in _passes(questions):
+        hits = keyword_scores(chunks, p, lambda s: s > 0).unionByName(keyword_scores(first, p, lambda s: s <= 0))
+        found.append(_best(hits, top_k, order))
     return stack(found).select("qid", "rank", "id", "score")
 
 

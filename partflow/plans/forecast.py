@@ -59,7 +59,7 @@ def run_forecast(
     hot = hot_parts(valid, rows_per_task)
     features = materialize(build_features(valid, ties, hot=hot, chunk_rows=rows_per_task), "features")
     cut = find_cut(features, split_order(ties))
-    states = fit_seasonal(fit_rows(features, cut), ties, hot=hot, chunk_rows=rows_per_task)
+    states = fit_seasonal(fit_rows(features, cut), ties)
     states = materialize(states, "seasonal-states")
     seasonal = predict_seasonal(holdout_rows(features, cut), states)
     scored = [
