@@ -11,7 +11,7 @@ from harness import binding as b
 from partflow import fixed_values as fv
 from partflow.functions.numbers import round_even
 from partflow.operators import evaluate, features, narrate, profile, quality, recode, reports, retrieve, split, validate
-from partflow.operators.answers import answer_by_vectors, context_and_prompt
+from partflow.operators.answers import answer_by_vectors, answer_table, context_and_prompt
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive, predict_previous_row
 from partflow.operators.models.seasonal import fit_seasonal as fit_seasonal_states
@@ -664,6 +664,14 @@ def answer_batch(spark, sf_dir):
     return answers.select("qid", "question", "answer", F.array_join("sources", ",").alias("sources"), "num_sources")
 
 
+@query
+def answer_user_turns(spark, sf_dir):
+    """A table of questions: what users asked in all conversations."""
+    asked = b.table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    answers = answer_table(b.phases(spark, sf_dir).chunks(), asked, "text")
+    return answers.select("conv_id", "turn", "answer", F.array_join("sources", ",").alias("sources"), "num_sources")
+
+
 @query
 def answer_batch_vector(spark, sf_dir):
     embedder, embedded = _embedded(spark, sf_dir)

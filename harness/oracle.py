@@ -699,9 +699,10 @@ put(
 
 
 def hits(questions, k: int) -> str:
-    rows = ", ".join(f"({i}, {q(text)})" for i, text in enumerate(questions))
+    """Hits of a list of questions, or of a table expression with qid and question."""
+    rows = questions if isinstance(questions, str) else "(VALUES " + ", ".join(f"({i}, {q(text)})" for i, text in enumerate(questions)) + ") AS a(qid, question)"
     return f"""
-asked AS (SELECT qid, question, {terms_of('question')} AS terms FROM (VALUES {rows}) AS a(qid, question)),
+asked AS (SELECT qid, question, {terms_of('question')} AS terms FROM {rows}),
 bodies AS (SELECT *, lower(text) || ' ' || lower(metadata_json) AS body FROM chunks),
 points AS (
   SELECT qid, question, terms, bodies.*,
@@ -806,6 +807,13 @@ ANSWERS = {
     ),
 }
 ROUTED = INTENT.replace("lower(text)", "lower(max(question))")
+TURNS = "(SELECT conv_id * 100000 + turn AS qid, coalesce(text, '') AS question FROM conversations WHERE role = 'user') AS a"
+put(
+    "answer_user_turns",
+    f"""WITH RECURSIVE {CHUNKS}, {hits(TURNS, 3)} SELECT qid // 100000 AS conv_id, qid % 100000 AS turn,
+    CASE {ROUTED} {" ".join(f"WHEN {q(k)} THEN {v}" for k, v in ANSWERS.items())} END AS answer,
+    string_agg(id, ',' ORDER BY rank) AS sources, count(*)::INT AS num_sources FROM hits GROUP BY qid""",
+)
 put(
     "answer_batch",
     f"""WITH RECURSIVE {FOUND} SELECT qid, max(question) AS question,

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partflow import fixed_values as fv
 from partflow.functions.text import fill, join_lines, pick_lines, strip
@@ -168,6 +169,28 @@ def answer_questions(chunks: DataFrame, questions: Sequence[str], top_k: int = f
     return _answer(hits, questions)
 
 
+#: Documented bound of a request given as a table; more questions are an error.
+MOST_QUESTIONS = 10_000
+
+
+def answer_table(chunks: DataFrame, questions: DataFrame, text: str, top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
+    """One answer row per row of a table of questions, next to its other columns.
+
+    The table is a request: it has at most MOST_QUESTIONS rows, and they travel
+    to the chunks. A null question is an empty one.
+    """
+    asked = questions.limit(MOST_QUESTIONS + 1).collect()
+    if len(asked) > MOST_QUESTIONS:
+        raise ValueError(f"more than {MOST_QUESTIONS} questions in one request")
+    keys = [f for f in questions.schema.fields if f.name != text]
+    rows = [(i, *[r[f.name] for f in keys]) for i, r in enumerate(asked)]
+    table = chunks.sparkSession.createDataFrame(rows, T.StructType([T.StructField("qid", T.IntegerType()), *keys]))
+    if not asked:
+        return table.select(*[f.name for f in keys], F.lit("").alias("question"), F.lit("").alias("answer"), F.array().cast("array<string>").alias("sources"), F.lit(0).alias("num_sources"))
+    answers = answer_questions(chunks, [r[text] or "" for r in asked], top_k)
+    return table.join(answers, "qid").drop("qid")
+
+
 def answer_by_vectors(
     embedded: DataFrame, questions: Sequence[str], embedder, top_k: int = fv.TOP_K_DEFAULT
 ) -> DataFrame:

@@ -175,7 +175,7 @@ def hits_with_text(hits: DataFrame, chunks: DataFrame, questions: Sequence[str],
     that is within BROADCAST_HITS rows it is sent to the chunks; a longer
     request is joined by key.
     """
-    asked = F.create_map(*[x for i, q in enumerate(questions) for x in (F.lit(i), F.lit(q))])
+    asked = chunks.sparkSession.createDataFrame(list(enumerate(questions)), "qid int, question string")
     few = len(questions) * top_k <= BROADCAST_HITS
     found = chunks.select("id", "text", "source", "metadata").join(F.broadcast(hits) if few else hits, "id")
-    return found.withColumn("question", asked[F.col("qid")])
+    return found.join(F.broadcast(asked) if len(questions) <= BROADCAST_HITS else asked, "qid")

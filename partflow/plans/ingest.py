@@ -36,7 +36,8 @@ def ingest(mapped: DataFrame, key: tuple[str, ...], validate: bool = True) -> In
     check_schema(mapped, extra=(*key, *FLAGS))
     if not validate:
         return Ingested(mapped, mapped, None, run_report(mapped, validate=False))
-    checked = materialize(with_errors(coerce_fields(mapped)), "checked")
+    # Checks are plain conditions: cheaper to redo for each output than to store.
+    checked = with_errors(coerce_fields(mapped))
     columns = [c for c in mapped.columns if c not in key or c in fv.DEMAND_COLUMNS]
     return Ingested(mapped, valid_rows(checked), quarantine(checked, key), run_report(checked, columns))
 
@@ -44,10 +45,13 @@ def ingest(mapped: DataFrame, key: tuple[str, ...], validate: bool = True) -> In
 def run_ingest(spark: SparkSession, input_dir: str, output_dir: str, validate: bool = True, csv: bool = True) -> Ingested:
     """CSV in, tables out; returns the frames of the run.
 
+    The conformed rows are stored once, as the outlier limit needs them before
+    any output does; ``session.clear_scratch`` removes them after the run.
+
     The store is carried along as the tie-break of a part's rows on one day.
     """
     sales, prices, _ = load_raw(spark, input_dir)
-    mapped = materialize(preprocess(sales, prices, keep=("store_id",)), "mapped")
+    mapped = preprocess(sales, prices, keep=("store_id",))
     done = ingest(mapped, ("part_number", "store_id", "transaction_date"), validate)
     write_table(done.valid, f"{output_dir}/validated", "demand_type")
     if done.rejected is not None:

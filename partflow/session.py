@@ -57,8 +57,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/partflow/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/partflow/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables that this application left in the shared folder.
+
+    For the end of a run: frames that still read such a table fail afterwards.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -82,3 +82,21 @@ def test_sample_std(spark, values):
 )
 def test_dates(spark, text, ok):
     assert (column(spark, [text], "string", parse_date)[0] is not None) is ok
+
+
+def test_sums_take_any_size(spark):
+    rows = spark.createDataFrame([(1e-9,), (3e-9,)], "x double")
+    assert rows.agg(n.exact_mean(F.col("x"))).first()[0] == 2e-9
+    large = spark.createDataFrame([(1e24,), (1.0,), (None,), (-1e24,)], "x double")
+    assert abs(large.agg(n.exact_sum(F.col("x"))).first()[0]) <= 1e9
+    assert math.isnan(spark.createDataFrame([(float("nan"),), (1.0,)], "x double").agg(n.exact_sum(F.col("x"))).first()[0])
+    assert spark.createDataFrame([(None,)], "x double").agg(n.exact_sum(F.col("x"))).first()[0] is None
+
+
+def test_deviation_of_large_quantities(spark):
+    rows = spark.createDataFrame([(2_000_000_000,)] * 4 + [(0,)], "x long")
+    q = F.col("x")
+    got = rows.agg(n.sample_std(F.count(q), n.whole_sum(q), n.square_sum(q))).first()[0]
+    assert math.isclose(got, 894427190.99991588)
+    one = spark.createDataFrame([(2_147_483_647,)] * 50, "x long")
+    assert one.agg(n.sample_std(F.count(q), n.whole_sum(q), n.square_sum(q))).first()[0] == 0.0

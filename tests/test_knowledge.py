@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.operators import answers, narrate, profile, reports, retrieve
+from partflow.operators.answers import answer_questions, answer_table, context_and_prompt
 from partflow.operators import features as ft
 from partflow.plans.forecast import run_forecast
 from partflow.plans.ingest import run_ingest, summaries
@@ -143,7 +144,18 @@ def test_more_questions_than_one_pass(run):
 def test_top_k_bounds(run):
     for k in (0, 11):
         with pytest.raises(ValueError):
-            retrieve.keyword_search(run[2], ["x"], k)
+            QuestionService(run[2]).query(["x"], k)
+    assert retrieve.keyword_search(run[2], ["x"], 11).count() == min(11, run[2].count())
+
+
+def test_questions_without_hits_and_tables_of_questions(spark, run):
+    nothing = run[2].filter("false")
+    assert [r["answer"] for r in answer_questions(nothing, ["trend of parts"]).collect()] == [fv.ANSWER_EMPTY]
+    assert [r["context"] for r in context_and_prompt(nothing, ["a", "b"]).collect()] == ["", ""]
+    asked = spark.createDataFrame([(7, "risk?"), (8, None), (9, "hello there")], "n int, q string")
+    got = {r["n"]: r for r in answer_table(run[2], asked, "q").collect()}
+    assert sorted(got) == [7, 8, 9] and got[8]["question"] == "" and all(r["answer"] for r in got.values())
+    assert answer_table(run[2], asked.limit(0), "q").collect() == []
 
 
 def test_terms_and_intents(spark):
