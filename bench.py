@@ -27,7 +27,8 @@ HEADLINE = (
     "fit_seasonal", "forecast_seasonal", "model_metrics", "per_part_metrics", "model_improvement",
     "part_profile", "stockout_risk", "part_chunks", "kb_all_chunks", "demand_by_type", "risk_buckets",
     "query_terms", "question_intent", "kb_keyword_search", "document_keyword_search", "vector_search", "answer_batch",
-    "embed_chunks", "forecast_gbt",
+    "embed_chunks", "forecast_gbt", "validate_error_rows", "price_join_weekly", "answer_batch_vector", "answer_user_turns",
+    "gen_demand", "model_metrics_all",
 )
 
 

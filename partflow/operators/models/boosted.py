@@ -46,6 +46,8 @@ class BoostedForecaster:
             lossType="squared",
             # Six levels are quickly walked per row; no cached node ids needed.
             cacheNodeIds=False,
+            # A bound that lets all nodes of a level be split in one pass.
+            maxMemoryInMB=1024,
             checkpointInterval=10,
         )
         labelled = rows.select(*columns, F.col(fv.TARGET_COLUMN).cast("double").alias("_label"))
