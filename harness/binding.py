@@ -157,12 +157,15 @@ def with_defects(records: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "row_part": F.col("part_number"),
-            "demand_quantity": F.when(hit(97), -q).otherwise(q),
+            "demand_quantity": F.when(hit(43), F.lit(None)).when(hit(97), -q).otherwise(q),
             "region": F.when(hit(89), F.lit("Atlantis")).otherwise(F.col("region")),
             "transaction_date": F.when(hit(83), F.lit("2015-13-45")).otherwise(
                 F.col("transaction_date").cast("string")
             ),
-            "unit_cost": F.when(hit(79), F.lit(0.0)).otherwise(F.col("unit_cost")),
+            "unit_cost": F.when(hit(79), F.lit(0.0))
+            .when(hit(53), F.lit(None))
+            .when(hit(47), F.lit(float("nan")))
+            .otherwise(F.col("unit_cost")),
             "part_number": F.when(hit(73), F.lit("  ")).otherwise(F.col("part_number")),
             "demand_type": F.when(hit(71), F.lit("unknown")).otherwise(F.col("demand_type")),
             "part_description": F.when(hit(67), F.lit("")).otherwise(F.col("part_description")),

@@ -222,10 +222,11 @@ dirty AS (
   SELECT CASE WHEN order_key % 73 = 0 THEN '  ' ELSE part_number END AS part_number,
          CASE WHEN order_key % 71 = 0 THEN 'unknown' ELSE demand_type END AS demand_type,
          CASE WHEN order_key % 89 = 0 THEN 'Atlantis' ELSE region END AS region,
-         (CASE WHEN order_key % 61 = 0 THEN 0 ELSE demand_quantity END
+         (CASE WHEN order_key % 43 = 0 THEN NULL WHEN order_key % 61 = 0 THEN 0 ELSE demand_quantity END
           * CASE WHEN order_key % 97 = 0 THEN -1 ELSE 1 END)::INT AS demand_quantity,
          CASE WHEN order_key % 83 = 0 THEN '2015-13-45' ELSE strftime(transaction_date, '%Y-%m-%d') END AS transaction_date,
-         CASE WHEN order_key % 79 = 0 THEN 0.0::DOUBLE ELSE unit_cost END AS unit_cost,
+         CASE WHEN order_key % 79 = 0 THEN 0.0::DOUBLE WHEN order_key % 53 = 0 THEN NULL
+              WHEN order_key % 47 = 0 THEN 'NaN'::DOUBLE ELSE unit_cost END AS unit_cost,
          CASE WHEN order_key % 67 = 0 THEN '' ELSE part_description END AS part_description,
          npi_signal, order_key, line_number, part_number AS row_part, transaction_date AS row_date
   FROM demand
@@ -247,7 +248,9 @@ checked AS (
     CASE WHEN trim(part_number) = '' THEN {message('part_number')} END,
     CASE WHEN demand_type NOT IN ({values(fv.DEMAND_TYPES)}) THEN {message('demand_type', 'demand_type')} END,
     CASE WHEN region NOT IN ({values(fv.REGIONS)}) THEN {message('region', 'region')} END,
+    CASE WHEN demand_quantity IS NULL THEN {message('quantity_type')} END,
     CASE WHEN demand_quantity < 0 THEN {message('quantity_sign', 'demand_quantity::VARCHAR')} END,
+    CASE WHEN unit_cost IS NULL OR isnan(unit_cost) THEN {message('cost_type')} END,
     CASE WHEN unit_cost <= 0 THEN {message('cost_sign', 'unit_cost::VARCHAR')} END,
     CASE WHEN try_strptime(transaction_date, '%Y-%m-%d') IS NULL THEN {message('date', 'transaction_date')} END,
     CASE WHEN trim(part_description) = '' THEN {message('part_description')} END
