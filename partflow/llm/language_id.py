@@ -24,7 +24,7 @@ PROFILE, TEXT_PROFILE = 400, 300
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"
 _BITS = 21
-_SALTS = 32
+_SALTS = 128
 
 
 class Profiles(NamedTuple):
