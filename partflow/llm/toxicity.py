@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled texts under exact TF-IDF cosine.
 
 Terms are words and the first characters of longer words. The vocabulary is
-those that tell the labels apart (chi-square over a bounded sample of labelled
-texts); their document frequencies are counted over all documents. The labelled
+those that speak for the label (chi-square and lift over a bounded sample of
+labelled texts); their document frequencies are counted over all documents. The labelled
 texts make a block-max inverted index: postings per term, cut into blocks of
 examples, with the largest weight of each block. A query bounds every block by
 its terms' largest weights, scores blocks in falling order of the bound, and
@@ -29,7 +29,7 @@ from partflow.llm.common import slices, with_fields
 #: Documented bounds: labelled examples of each class, and terms.
 EXAMPLES, VOCABULARY = 10_000, 4_000
 NEIGHBOURS, BLOCK, STEM = 15, 64, 5
-LEAST_CHI, LEAST_TEXTS, SMOOTH = 30.0, 5, 0.5
+LEAST_CHI, LEAST_TEXTS, LEAST_LIFT, SMOOTH = 30.0, 5, 3.0, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -150,7 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabula
     clean, toxic = F.col("clean"), F.col("toxic")
     all_texts, held = n0 + n1, clean + toxic
     chi = all_texts * F.pow(toxic * n0 - clean * n1, F.lit(2.0)) / (n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
-    told = counts.withColumn("chi", chi).filter((F.col("chi") >= LEAST_CHI) & (held >= LEAST_TEXTS)).orderBy(F.desc("chi"), "term").limit(vocabulary)
+    told = counts.withColumn("chi", chi).filter((F.col("chi") >= LEAST_CHI) & (held >= LEAST_TEXTS) & (toxic * n0 >= LEAST_LIFT * clean * n1)).orderBy(F.desc("chi"), "term").limit(vocabulary)
     words = {r["term"]: i for i, r in enumerate(told.collect())}
     if not words:
         return Model({}, np.zeros(0), None, prior, prior)
