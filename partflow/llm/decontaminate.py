@@ -37,21 +37,28 @@ def _pairs(left: Column, right: Column, shift: int) -> Column:
     return F.zip_with(F.slice(left, 1, n), F.slice(right, F.lit(shift + 1), n), lambda a, b: F.xxhash64(a, b))
 
 
-def with_window_hashes(df: DataFrame, words_column: str, sizes: list[int], prefix: str) -> DataFrame:
-    """``df`` with a column ``prefix + size`` of window hashes for every size."""
-    df = df.withColumn(f"{prefix}p1", F.transform(words_column, lambda w: F.xxhash64(w)))
-    power = 1
-    while 2 * power <= max(sizes):
-        half = F.col(f"{prefix}p{power}")
-        df = df.withColumn(f"{prefix}p{2 * power}", _pairs(half, half, power))
-        power *= 2
-    for size in sizes:
-        parts = [p for p in (1 << k for k in range(size.bit_length())) if size & p]
-        out, done = F.col(f"{prefix}p{parts[0]}"), parts[0]
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, wherever the optimizer puts the expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def window_hashes(w: Column, sizes: list[int]) -> Column:
+    """A struct of window hashes of ``w``, field ``h<size>`` for every size."""
+
+    def of_size(size: int, powers: dict[int, Column]) -> Column:
+        parts = [p for p in powers if size & p]
+        out, done = powers[parts[0]], parts[0]
         for p in parts[1:]:
-            out, done = _pairs(out, F.col(f"{prefix}p{p}"), done), done + p
-        df = df.withColumn(f"{prefix}{size}", out)
-    return df.drop(*[f"{prefix}p{1 << k}" for k in range(power.bit_length())])
+            out, done = _pairs(out, powers[p], done), done + p
+        return out.alias(f"h{size}")
+
+    def doubled(power: int, powers: dict[int, Column]) -> Column:
+        if 2 * power > max(sizes):
+            return F.struct(*[of_size(size, powers) for size in sizes])
+        half = powers[power]
+        return _let(_pairs(half, half, power), lambda h: doubled(2 * power, {**powers, 2 * power: h}))
+
+    return _let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: doubled(1, {1: h}))
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -84,50 +91,48 @@ def _lookup_table(rows: list) -> Column:
     return F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<w:string,i:array<string>>>>")
 
 
-def _verifier(words_column: str, size: int, hashes: Column, table: Column):
-    """From a place to the hit there: the items whose window has these words."""
+def _found(w: Column, hashes: Column, size: int, keys: list[int], table: Column) -> Column:
+    """The hits of one size: places whose hash is in the set, verified by their words."""
+    places = F.filter(F.transform(hashes, lambda h, i: F.when(h.isin(keys), i)), lambda i: i.isNotNull())
 
     def verified(i: Column) -> Column:
-        said = F.array_join(F.slice(F.col(words_column), i + 1, F.lit(size)), " ")
+        said = F.array_join(F.slice(w, i + 1, F.lit(size)), " ")
         bucket = F.element_at(table, F.pmod(F.element_at(hashes, i + 1), F.lit(BUCKETS)).cast("int") + 1)
         same = F.filter(bucket, lambda x: x["w"] == said)
         return F.struct(i.alias("start"), F.lit(size).alias("size"), F.flatten(F.transform(same, lambda x: x["i"])).alias("items"))
 
-    return verified
+    return F.filter(F.transform(places, verified), lambda h: F.size(h["items"]) > 0)
 
 
 def mark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text", words_column: str = "_words", hits_column: str = "_hits") -> DataFrame:
     """``docs`` with its words and ``hits``: (start, size, items) of every benchmark window.
 
     ``start`` counts words from 0. A null or empty text has no words and no hits.
-    Rows are not merged; all other columns pass through.
+    Rows are not merged; all other columns pass through, and columns that are
+    called like the two new ones are replaced.
     """
     docs = docs.withColumn(words_column, words(text))
     found = benchmark_windows(items, window)
-    sizes = [r["size"] for r in found.select("size").distinct().collect()]
+    sizes = sorted(r["size"] for r in found.select("size").distinct().collect())
     none = F.array().cast("array<struct<start:int,size:int,items:array<string>>>")
     if not sizes:
         return docs.withColumn(hits_column, none)
-    hashed = None
-    for size in sizes:
-        one = with_window_hashes(found.filter(F.col("size") == size), "w", [size], "_h")
-        one = one.select("size", F.col(f"_h{size}")[0].alias("hash"), "window", "items")
-        hashed = one if hashed is None else hashed.unionByName(one)
-    docs = with_window_hashes(docs, words_column, sizes, "_bench")
-    docs = docs.withColumn(hits_column, none)
-    for rows in _blocks(hashed):
-        table = _lookup_table(rows)
-        for size in sizes:
-            keys = [r["hash"] for r in rows if r["size"] == size]
-            if not keys:
-                continue
-            hashes = F.col(f"_bench{size}")
-            at = F.filter(F.transform(hashes, lambda h, i: F.when(h.isin(keys), i)), lambda i: i.isNotNull())
-            docs = docs.withColumn("_at", at)
-
-            hits = F.filter(F.transform("_at", _verifier(words_column, size, hashes, table)), lambda h: F.size(h["items"]) > 0)
-            docs = docs.withColumn(hits_column, F.when(F.size("_at") > 0, F.concat(hits_column, hits)).otherwise(F.col(hits_column)))
-    return docs.drop("_at", *[f"_bench{s}" for s in sizes])
+    by_size = F.coalesce(*[F.when(F.col("size") == n, window_hashes(F.col("w"), [n])[f"h{n}"][0]) for n in sizes])
+    blocks = [(_lookup_table(rows), rows) for rows in _blocks(found.select("size", by_size.alias("hash"), "window", "items"))]
+
+    def hits(w: Column) -> Column:
+        def of(hashes: Column) -> Column:
+            every = [none]
+            for table, rows in blocks:
+                for size in sizes:
+                    keys = [r["hash"] for r in rows if r["size"] == size]
+                    if keys:
+                        every.append(_found(w, hashes[f"h{size}"], size, keys, table))
+            return F.concat(*every)
+
+        return _let(window_hashes(w, sizes), of)
+
+    return docs.withColumn(hits_column, _let(F.col(words_column), hits))
 
 
 def words_hit(hits: str) -> Column:
