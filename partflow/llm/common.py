@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``session.materialize`` that nothing reads any more."""
+    for table_ in tables:
+        files = table_.inputFiles()
+        if files:
+            spark = table_.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` and the fields of ``ddl`` behind it."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])

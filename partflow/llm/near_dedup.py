@@ -10,11 +10,17 @@ listed as keys, and every pair within that distance shares a key, for certain.
 At the least similarity that links (0.85) a pair lies beyond the distance with
 a probability of about 5 in a million; closer pairs practically never.
 
-Equal sets are one node from the start. Linked sets are found without listing
-the pairs of a group: each set is first checked against one centre, the smallest
-set of those buckets it shares most with, and components of these links are
-formed. Only pairs of different components that share a key and lie within the
-distance are then listed. All links are confirmed on the full shingle sets.
+Equal sets are one node from the start. The pairs of a group are never listed:
+
+* every set is checked against one hub, the most popular member of the buckets
+  it is in, and components of these first links are formed;
+* the sets of a hub are a group, and two groups meet if any bucket holds sets of
+  both; groups that are one component already are done with;
+* groups that meet are cut into blocks, and a task compares two blocks: sets of
+  different components within the signature distance are confirmed. Only links
+  leave the task.
+
+All links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import slices
+from partflow.llm.common import discard, slices
 from partflow.llm.components import smallest_reachable
+from partflow.llm.recurring import pack, unpack
 from partflow.llm.words import U64, Words, hash_windows, hash_words, mix, split_words
 from partflow.session import materialize
 
@@ -37,6 +44,11 @@ CHUNKS, CHUNK_LANES, ERRORS = 4, 5, 2
 LANES = CHUNKS * CHUNK_LANES
 #: Largest signature distance at which a shared key is certain.
 REACH = CHUNKS * (ERRORS + 1) - 1
+#: A group travels in chunks of about so many sets; it is compared in so many
+#: blocks of whole chunks, or more so that none has more sets than the last.
+CHUNK_SETS, BLOCKS, BLOCK_MOST = 64, 10, 4096
+#: Cells up to which a block's sets are compared as one matrix.
+DENSE_CELLS = 8_000_000
 _KEPT = [c for c in combinations(range(CHUNK_LANES), CHUNK_LANES - ERRORS)]
 
 
@@ -74,17 +86,22 @@ def _reduced(ufunc, values: np.ndarray, starts: np.ndarray, full: np.ndarray) ->
     return out
 
 
+def _lanes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The signature of every set, a row of LANES lanes each."""
+    full = np.diff(starts) > 0
+    odd = mix(np.arange(1, LANES + 1, dtype=U64)) | U64(1)
+    return np.column_stack([(mix(_reduced(np.minimum, mix(h ^ o) * o, starts, full)) >> U64(48)).astype(np.int32) for o in odd])
+
+
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     """(id, n_shingles, hi, lo, lanes) of (id, text): 128 bits that name the set, and its signature."""
-    odd = mix(np.arange(1, LANES + 1, dtype=U64)) | U64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             h, starts = shingle_sets(batch.column("text"), size)
             full = np.diff(starts) > 0
             sums = [_reduced(np.add, mix(h * U64(k)), starts, full).view(np.int64) for k in (3, 5)]
-            lanes = [(mix(_reduced(np.minimum, mix(h ^ o) * o, starts, full)) >> U64(48)).astype(np.int32) for o in odd]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(np.column_stack(lanes).reshape(-1)), LANES).cast(pa.list_(pa.int32()))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(_lanes(h, starts).reshape(-1)), LANES).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.diff(starts), pa.int64()), *map(pa.array, sums), lists], names=["id", "n_shingles", "hi", "lo", "lanes"]
             )
@@ -92,6 +109,19 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n_shingles long, hi long, lo long, lanes array<int>")
 
 
+def full_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(id, lanes, hashes) of (id, text), both as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            h, starts = shingle_sets(batch.column("text"), size)
+            lanes = _lanes(h, starts).astype(np.uint16)
+            bodies = [[x.tobytes() for x in lanes], [h[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.binary()) for x in bodies)], names=["id", "lanes", "hashes"])
+
+    return docs.mapInArrow(run, "id long, lanes binary, hashes binary")
+
+
 def _keys(lanes: str) -> Column:
     """A hash of every chunk's lanes with ERRORS of them left out."""
     lane = [F.col(lanes)[i] for i in range(LANES)]
@@ -116,9 +146,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _far(a: str, b: str) -> Column:
-    """Lanes in which two signatures differ."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x[k] and y[k]."""
+    every, at = np.unique(np.concatenate(sets), return_inverse=True)
+    if len(x) > 2 * len(sets) and len(every) * len(sets) <= DENSE_CELLS:
+        dense = np.zeros((len(sets), len(every)), np.float32)
+        dense[np.repeat(np.arange(len(sets)), [len(v) for v in sets]), at] = 1
+        return np.rint((dense @ dense.T)[x, y]).astype(np.int64)
+    return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y)], np.int64)
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    """A chunk's sets as one compressed row; like sets side by side take little room."""
+    held = group.select(["rep", "label", "lanes", "hashes"]).combine_chunks().to_batches()[0]
+    return pa.table({"hub": group.column("hub")[:1], "chunk": group.column("chunk")[:1], "body": pa.array([pack(held)], pa.binary())})
+
+
+def _block_links(unit: pa.Table, percent: int) -> pa.Table:
+    """Links between the two blocks of a unit (or within one): pairs of different labels."""
+    chunks = [unpack(body.as_py()) for body in unit.column("body")]
+    group = pa.Table.from_batches(chunks)
+    sizes = [c.num_rows for c in chunks]
+    left, right = (np.repeat(unit.column(c).to_numpy(zero_copy_only=False).astype(bool), sizes) for c in ("left", "right"))
+    ids, label = group.column("rep").to_numpy(), group.column("label").to_numpy()
+    sets = [np.frombuffer(v.as_buffer(), U64) for v in group.column("hashes")]
+    lanes = np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in group.column("lanes")]).reshape(len(sets), LANES)
+    size = np.array([len(v) for v in sets])
+    found: list[tuple] = []
+    rows, others = np.flatnonzero(left), np.flatnonzero(right)
+    for i in rows:
+        j = others[(label[others] != label[i]) & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
+        found.append((np.full(len(j), i), j))
+    x, y = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
+    near = (lanes[x] != lanes[y]).sum(1) <= REACH
+    x, y = x[near], y[near]
+    if len(x):
+        both = _common(sets, x, y)
+        ok = 100 * both >= percent * (size[x] + size[y] - both)
+        x, y = x[ok], y[ok]
+    return pa.table({"a": pa.array(ids[x]), "b": pa.array(ids[y])})
+
+
+def _met_blocks(sets: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between sets of different labels whose groups meet.
+
+    ``groups`` has hub and label of every set, ``members`` the buckets.
+    """
+    hubs = materialize(groups.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")), "near-hubs")
+    in_bucket = members.select("key", "rep").join(groups.select("rep", "hub"), "rep").select("key", "hub").distinct()
+    pairs = in_bucket.join(in_bucket.withColumnRenamed("hub", "hub2"), "key").filter("hub < hub2").select("hub", "hub2").distinct()
+    pairs = pairs.unionByName(hubs.filter("n > 1").select("hub", F.col("hub").alias("hub2")))
+    chunks = F.ceil(F.col("n") / CHUNK_SETS).cast("int")
+    blocks = F.greatest(F.least(chunks, F.lit(BLOCKS)), F.ceil(F.col("n") / BLOCK_MOST).cast("int"))
+    sized = hubs.select("hub", "lo", "hi", chunks.alias("chunks"), blocks.alias("blocks"))
+    other = sized.select(*[F.col(c).alias(f"{c}2") for c in sized.columns])
+    mixed = pairs.join(sized, "hub").join(other, "hub2").filter("least(lo, lo2) < greatest(hi, hi2)")
+    units = mixed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = units.withColumn("block2", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1))).filter("hub < hub2 or block <= block2")
+    units = materialize(units.withColumn("unit", F.xxhash64("hub", "block", "hub2", "block2")).select("unit", "hub", "block", "hub2", "block2"), "near-units")
+    sides = units.select("unit", "hub", "block", F.lit(True).alias("left"), ((F.col("hub") == F.col("hub2")) & (F.col("block") == F.col("block2"))).alias("right"))
+    sides = sides.unionByName(
+        units.filter("hub <> hub2 or block <> block2").select("unit", F.col("hub2").alias("hub"), F.col("block2").alias("block"), F.lit(False).alias("left"), F.lit(True).alias("right"))
+    )
+    used = sides.select("hub").distinct()
+    placed = groups.join(sized.select("hub", "chunks"), "hub").join(used, "hub", "left_semi")
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks").cast("long")).cast("int"))
+    rows = placed.select("hub", "chunk", "rep", "label").join(sets.withColumnRenamed("id", "rep"), "rep")
+    packed = materialize(rows.groupBy("hub", "chunk").applyInArrow(_packed, "hub long, chunk int, body binary"), "near-chunks")
+    blocked = packed.join(sized.select("hub", "blocks"), "hub").withColumn("block", F.col("chunk") % F.col("blocks"))
+    held = sides.join(blocked, ["hub", "block"]).select("unit", "left", "right", "body")
+    return held.groupBy("unit").applyInArrow(lambda unit: _block_links(unit, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -142,39 +239,28 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
     # An id with several texts may represent several sets; its parts are linked by the id itself.
     keyed = materialize(classes.select("rep", "n_shingles", "lanes", F.explode(_keys("lanes")).alias("key")).select("key", "rep"), "near-keys")
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre < last").select("key", "centre")
-    members = materialize(keyed.join(shared, "key"), "near-members")
-    met = classes.join(members.select("rep").distinct(), "rep", "left_semi")
-
-    wanted = met.select(F.col("rep").alias("id")).distinct()
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
-            h, starts = shingle_sets(batch.column("text"), size)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([h[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])], pa.binary())], names=["id", "hashes"])
-
-    sets = materialize(rows.join(wanted, "id", "left_semi").mapInArrow(hashed, "id long, hashes binary"), "near-sets")
-
-    # First links: every set with the centre it shares most keys with.
-    centres = members.filter(F.col("centre") < F.col("rep")).groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("n"))
-    best = centres.groupBy("rep").agg(F.max_by("centre", F.struct("n", (-F.col("centre")).alias("order"))).alias("centre"))
-    links = materialize(_confirmed(best.select(F.col("centre").alias("a"), F.col("rep").alias("b")), sets, percent), "near-links")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"), F.max("rep").alias("last")).filter("first < last")
+    members = materialize(keyed.join(shared.select("key", "n"), "key"), "near-members")
+    wanted = materialize(members.groupBy("rep").agg(F.sum("n").alias("popular")), "near-popular")
+    sets = materialize(full_sets(rows.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi"), size), "near-sets")
+
+    # First links: every set with its hub, the most popular of the centres it shares keys with.
+    ranked = members.select("key", "rep").join(wanted, "rep")
+    centre = ranked.groupBy("key").agg(F.max_by("rep", F.struct("popular", (-F.col("rep")).alias("order"))).alias("hub"), F.max("popular").alias("popular"))
+    votes = members.select("key", "rep").join(centre, "key").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("n"), F.max("popular").alias("popular"))
+    hub = materialize(votes.groupBy("rep").agg(F.max_by("hub", F.struct("popular", "n", (-F.col("hub")).alias("order"))).alias("hub")), "near-hub")
+    first = hub.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    links = materialize(_confirmed(first, sets, percent), "near-links")
     labels = smallest_reachable(links)
 
-    # Then the pairs of different components, from every bucket that holds some.
-    placed = members.select("key", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    placed = placed.select("key", "rep", F.coalesce("label", "rep").alias("label"))
-    sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    mixed = materialize(placed.join(mixed.select("key", "main"), "key").join(met.groupBy("rep").agg(F.first("lanes").alias("lanes"), F.first("n_shingles").alias("n")), "rep"), "near-mixed")
-    others = mixed.filter("label <> main").select("key", F.col("rep").alias("p"), F.col("label").alias("p_label"), F.col("lanes").alias("p_lanes"), F.col("n").alias("p_n"))
-    fits = (F.col("label") != F.col("p_label")) & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)
-    pairs = others.join(mixed, "key").filter(fits).filter(_far("lanes", "p_lanes") <= REACH)
-    pairs = pairs.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-    links = links.unionByName(_confirmed(pairs, sets, percent))
+    # Then the sets of different components, block against block of groups that meet.
+    groups = hub.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "hub", F.coalesce("label", "rep").alias("label"))
+    groups = materialize(groups, "near-groups")
+    links = links.unionByName(_met_blocks(sets, groups, members, percent))
 
     same = nodes.join(classes.select("n_shingles", "hi", "lo", "rep"), ["n_shingles", "hi", "lo"]).select(F.col("rep").alias("a"), F.col("id").alias("b")).filter("a <> b")
     found = smallest_reachable(links.unionByName(same.distinct()))
+    discard(keyed, members, wanted, sets, hub, groups)
     joined = made.select("id", "n_shingles").join(found, "id", "left")
     component = F.coalesce("label", "id")
     return joined.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

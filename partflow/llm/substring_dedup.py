@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm import recurring as R
-from partflow.llm.common import with_fields
+from partflow.llm.common import discard, with_fields
 from partflow.llm.recompression import recompress
 from partflow.llm.words import U64, Words, hash_windows, hash_words, split_words, windows
 from partflow.session import materialize
@@ -112,7 +112,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ro
         R.each_batch(batches.select("batch", "body").join(shared, "batch", "left"), narrow, R.RANGE_SCHEMA), "repeat-windows"
     )
     repeated = R.recurring(narrowed.filter("range >= 0"), "repeat-verified")
-    masks = narrowed.filter("range < 0").select("batch", F.col("body").alias("mask"))
+    masks = materialize(narrowed.filter("range < 0").select("batch", F.col("body").alias("mask")), "repeat-masks")
+    discard(shared, narrowed)
 
     fields = with_fields(docs.schema, "n_words long, n_removed long, kept_text string")
 
