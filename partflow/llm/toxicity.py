@@ -1,13 +1,17 @@
 """Toxicity by the nearest labelled texts under exact TF-IDF cosine.
 
 Terms are words and the first characters of longer words. The vocabulary is
-those that speak for the label (chi-square and lift over a bounded sample of
-labelled texts); their document frequencies are counted over all documents. The labelled
-texts make a block-max inverted index: postings per term, cut into blocks of
-examples, with the largest weight of each block. A query bounds every block by
-its terms' largest weights, scores blocks in falling order of the bound, and
-stops when the bound cannot reach its k-th neighbour, so the neighbours are
-exact. Votes are weighted by cosine and by what share of its class the sample
+every term of a bounded sample of labelled texts of both classes; document
+frequencies are counted over all documents. A term's weight is TF-IDF times how
+well it tells the labels apart (its phi coefficient, which does not grow with
+the table, and a floor), so no term and no text is left out.
+
+The labelled texts make an inverted index. The most frequent terms lie apart as
+a matrix in single precision. Documents are searched some at a time: one matrix
+product gives what the frequent terms add, the postings of all others are added
+up, and every text whose sum comes within the product's error of the k-th is
+worked out in double precision, so the neighbours are exact and no bound leaves
+a text out. Votes are weighted by cosine and by what share of its class the sample
 holds, and smoothed towards the overall rate.
 """
 
@@ -16,20 +20,23 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from math import log
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm.common import slices, with_fields
 
-#: Documented bounds: labelled examples of each class, and terms.
-EXAMPLES, VOCABULARY = 10_000, 4_000
-NEIGHBOURS, BLOCK, STEM = 15, 64, 5
-LEAST_CHI, LEAST_TEXTS, LEAST_LIFT, SMOOTH = 30.0, 5, 3.0, 0.5
+#: Documented bound: labelled examples of each class.
+EXAMPLES = 10_000
+NEIGHBOURS, STEM = 15, 5
+#: Terms of the index's matrix; documents searched at a time; more than the product's error.
+FREQUENT, AT_ONCE, ERROR = 512, 32, 1e-5
+#: Weight of a term that tells nothing about the label; smoothing.
+FLOOR, SMOOTH = 0.05, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -42,7 +49,7 @@ class _Terms(dict):
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         found = tuple(self.vocabulary[t] for t in _terms(word) if t in self.vocabulary)
-        if len(self) < 500_000:
+        if len(self) < 200_000:
             self[word] = found
         return found
 
@@ -57,60 +64,73 @@ def _words(text: str | None) -> list[str]:
 
 class Model(NamedTuple):
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray
     index: "Index | None"
     prior: float
     no_term: float
 
 
 class Index:
-    """Block-max inverted index over unit vectors."""
+    """Inverted index over unit vectors, its most frequent terms as a matrix."""
 
     def __init__(self, vectors: list[dict[int, float]], ids: np.ndarray, labels: np.ndarray, weights: np.ndarray, terms: int):
-        self.ids, self.labels, self.weights = ids, labels, weights
         rows = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
         term = np.array([t for v in vectors for t in v], np.int64)
-        value = np.array([x for v in vectors for x in v.values()])
-        order = np.lexsort((rows, term))
-        self.row, self.value = rows[order], value[order]
-        self.first = np.searchsorted(term[order], np.arange(terms + 1))
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.most = [self._block_most(t) for t in range(terms)]
+        self._build(rows, term, np.array([x for v in vectors for x in v.values()], float), ids, labels, weights, terms)
+
+    @classmethod
+    def of_postings(cls, *postings) -> Index:
+        """From (row, term, value) arrays instead of dictionaries."""
+        index = cls.__new__(cls)
+        index._build(*postings)
+        return index
 
-    def _block_most(self, term: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Blocks that hold the term, where their postings begin, their largest weight."""
-        a, b = self.first[term], self.first[term + 1]
-        block = self.row[a:b] // BLOCK
-        begin = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if b > a else np.zeros(0, np.int64)
-        most = np.maximum.reduceat(self.value[a:b], begin) if b > a else np.zeros(0)
-        return block[begin] if b > a else begin, np.append(begin + a, b), most
+    def _build(self, rows, term, value, ids, labels, weights, terms: int) -> None:
+        self.ids, self.labels, self.weights = ids, labels, weights
+        often = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:FREQUENT]
+        self.place = np.full(terms, -1, np.int32)
+        self.place[often] = np.arange(len(often))
+        column = self.place[term]
+        inside = column >= 0
+        self.matrix = np.zeros((len(often), len(ids)), np.float32)
+        self.matrix[column[inside], rows[inside]] = value[inside]
+        order = np.flatnonzero(~inside)
+        order = order[np.argsort(term[order], kind="stable")]
+        self.row, self.value = rows[order].astype(np.int32), value[order]
+        self.first = np.searchsorted(term[order], np.arange(terms + 1))
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k rows of the largest cosine above 0: (cosine, row), ties by row."""
-        bound = np.zeros(self.blocks)
-        for t, w in query.items():
-            blocks, _, most = self.most[t]
-            bound[blocks] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in query.items():
-                blocks, begin, _ = self.most[t]
-                i = np.searchsorted(blocks, b)
-                if i < len(blocks) and blocks[i] == b:
-                    at = slice(begin[i], begin[i + 1])
-                    score[self.row[at] - b * BLOCK] += w * self.value[at]
-            hit = np.flatnonzero(score > 0)
-            best = sorted([*best, *zip((-np.round(score[hit], 12)).tolist(), (hit + b * BLOCK).tolist())])[:k]
-        return [(-s, r) for s, r in best]
-
-
-def _vector(counts: Counter, idf: np.ndarray) -> dict[int, float]:
-    raw = {t: (1 + log(n)) * idf[t] for t, n in sorted(counts.items())}
-    norm = sum(x * x for x in raw.values()) ** 0.5
-    return {t: x / norm for t, x in raw.items()} if norm > 0 else {}
+        cosine, row = self.search([(np.array(list(query), np.int64), np.array(list(query.values()), float))], k)[0]
+        return list(zip(cosine.tolist(), row.tolist()))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of many (terms, weights): cosines and rows."""
+        often = np.zeros((len(queries), len(self.matrix)), np.float32)
+        for q, (term, weight) in zip(often, queries):
+            place = self.place[term]
+            q[place[place >= 0]] = weight[place >= 0]
+        return [self._best(*query, q, sums, k) for query, q, sums in zip(queries, often, often @ self.matrix)]
+
+    def _best(self, term: np.ndarray, weight: np.ndarray, often: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        n, rare = len(self.ids), self.place[term] < 0
+        spans = [slice(a, b) for a, b in zip(self.first[term[rare]].tolist(), self.first[term[rare] + 1].tolist())]
+        score = np.zeros(n)
+        if spans:
+            value = np.concatenate([self.value[at] for at in spans])
+            value *= np.repeat(weight[rare], [at.stop - at.start for at in spans])
+            score = np.bincount(np.concatenate([self.row[at] for at in spans]), value, n)
+        about = score + sums
+        kth = np.partition(about, n - k)[n - k] if n > k else 0.0
+        rows = np.flatnonzero((about >= kth - ERROR) & (about > 0))
+        cosine = np.round(score[rows] + often.astype(float) @ self.matrix[:, rows], 12)
+        best = np.lexsort((rows, -cosine))[:k]
+        return cosine[best], rows[best]
+
+
+def _unit(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """Values of vectors, each divided by its vector's length."""
+    return value / np.sqrt(np.bincount(row, value * value, rows))[row]
 
 
 def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -121,7 +141,7 @@ def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[in
     return taken[0].unionByName(taken[1]), {c: (n, min(n, most)) for c, n in sizes.items()}
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """A model from ``labels`` (doc_id, label 0 or 1) of texts of ``docs`` (doc_id, text).
 
     Null labels and ids take no part, an id labelled twice counts as toxic if one
@@ -149,15 +169,20 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabula
     counts = texts.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     clean, toxic = F.col("clean"), F.col("toxic")
     all_texts, held = n0 + n1, clean + toxic
-    chi = all_texts * F.pow(toxic * n0 - clean * n1, F.lit(2.0)) / (n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
-    told = counts.withColumn("chi", chi).filter((F.col("chi") >= LEAST_CHI) & (held >= LEAST_TEXTS) & (toxic * n0 >= LEAST_LIFT * clean * n1)).orderBy(F.desc("chi"), "term").limit(vocabulary)
-    words = {r["term"]: i for i, r in enumerate(told.collect())}
+    phi = F.abs(toxic * n0 - clean * n1) / F.sqrt(n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
+    # At most the terms of the sample's texts.
+    told = counts.select("term", phi.alias("phi")).toArrow().sort_by("term")
+    words = {term: i for i, term in enumerate(told.column("term").to_pylist())}
+    tells = FLOOR + np.minimum(told.column("phi").to_numpy(), 1.0)
+    del told
     if not words:
         return Model({}, np.zeros(0), None, prior, prior)
+    # Sent once for both passes.
+    sent = spark.sparkContext.broadcast(words)
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(words)
-        seen, n = np.zeros(len(words), np.int64), 0
+        known = _Terms(sent.value)
+        seen, n = np.zeros(len(known.vocabulary), np.int64), 0
         for batch in batches:
             for body in batch.column("text").to_pylist():
                 found = {t for terms in map(known.__getitem__, set(_words(body))) for t in terms}
@@ -166,36 +191,37 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabula
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(terms, -1), pa.int32()), "n": pa.array(np.append(seen[terms], n), pa.int64())})
 
-    found = docs.select("text").mapInArrow(frequency, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n_of = {r["term"]: r["n"] for r in found}
-    idf = np.array([log((1 + n_of.get(-1, 0)) / (1 + n_of.get(t, 0))) + 1 for t in range(len(words))])
+    found = docs.select("text").mapInArrow(frequency, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    n_of = np.zeros(len(words) + 1)
+    n_of[found.column("term").to_numpy()] = found.column("n").to_numpy()  # -1, the last: all documents
+    weighs = (np.log((1 + n_of[-1]) / (1 + n_of[:-1])) + 1) * tells
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(words)
+        known = _Terms(sent.value)
         for batch in batches:
             held = [Counter(t for terms in map(known.__getitem__, _words(b)) for t in terms) for b in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([list(c) for c in held], pa.list_(pa.int32())), pa.array([list(c.values()) for c in held], pa.list_(pa.int64()))],
+                [batch.column("doc_id"), batch.column("label"), pa.array([list(c) for c in held], pa.list_(pa.int32())), pa.array([list(c.values()) for c in held], pa.list_(pa.int32()))],
                 names=["doc_id", "label", "terms", "counts"],
             )
 
-    # At most the sample's rows, each with its vocabulary terms only.
-    rows = sorted(texts.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<long>").collect(), key=lambda r: (r["doc_id"], r["label"], r["terms"]))
-    full = [r for r in rows if r["terms"]]
-    bare = [r["label"] for r in rows if not r["terms"]]
+    # At most the sample's rows.
+    rows = texts.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<int>").toArrow().combine_chunks()
+    sent.unpersist()
+    ids, labels_of = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy().astype(np.int64)
+    sizes_of = pa.compute.list_value_length(rows.column("terms")).to_numpy()
+    full = sizes_of > 0
+    bare = labels_of[~full].tolist()
     weighed = sum(weight[x] for x in bare)
     no_term = (sum(weight[x] * x for x in bare) + SMOOTH * prior) / (weighed + SMOOTH)
-    # Rows of like vectors side by side make tight block bounds.
-    full.sort(key=lambda r: (sorted(r["terms"]), r["doc_id"]))
-    labels_of = np.array([r["label"] for r in full], np.int64)
-    index = Index(
-        [_vector(Counter(dict(zip(r["terms"], r["counts"]))), idf) for r in full],
-        np.array([r["doc_id"] for r in full], np.int64),
-        labels_of,
-        np.array([weight[x] for x in labels_of.tolist()]),
-        len(words),
-    )
-    return Model(words, idf, index if full else None, prior, no_term)
+    if not full.any():
+        return Model(words, weighs, None, prior, no_term)
+    row = np.repeat(np.arange(full.sum()), sizes_of[full])
+    term = pa.compute.list_flatten(rows.column("terms")).to_numpy()
+    value = (1 + np.log(pa.compute.list_flatten(rows.column("counts")).to_numpy())) * weighs[term]
+    value = _unit(row, value, int(full.sum()))
+    index = Index.of_postings(row, term, value, ids[full], labels_of[full], np.array([weight[x] for x in labels_of[full].tolist()]), len(words))
+    return Model(words, weighs, index, prior, no_term)
 
 
 NEW = ("score", "predicted", "evidence")
@@ -205,36 +231,47 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
     """``docs`` with score (0 to 1), predicted (1 from 0.5 on) and evidence.
 
     Evidence lists the neighbours: labelled doc_id, cosine, label. A text without
-    a vocabulary term, null and empty ones too, has no neighbour and the rate of
-    such labelled texts as its score. Rows are kept one by one, other columns
+    a term of the labelled texts, null and empty ones too, has no neighbour and
+    the rate of such labelled texts as its score. Rows are kept one by one, other columns
     pass through; columns called like the new ones are replaced.
     """
     docs = docs.drop(*NEW)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, idf, index, prior, no_term = sent.value
-        known, answers = _Terms(words), {}
+        words, weighs, index, prior, no_term = sent.value
+        known = _Terms(words)
+        none = np.zeros(0), np.zeros(0, np.int64)
 
-        def answer(body: str | None) -> tuple[float, list]:
+        def vector(body: str | None) -> tuple[np.ndarray, np.ndarray] | None:
             counts = Counter(t for terms in map(known.__getitem__, _words(body)) for t in terms)
             if not counts or index is None:
-                return no_term, []
-            key = tuple(sorted(counts.items()))
-            if key not in answers:
-                found = index.nearest(_vector(counts, idf), k)
-                votes = [(s * index.weights[r], int(index.labels[r])) for s, r in found]
-                value = (sum(v * x for v, x in votes) + SMOOTH * prior) / (sum(v for v, _ in votes) + SMOOTH)
-                if len(answers) > 100_000:
-                    answers.clear()
-                answers[key] = float(value), [{"doc_id": int(index.ids[r]), "cosine": float(s), "label": int(index.labels[r])} for s, r in found]
-            return answers[key]
-
-        evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+                return None
+            term = np.fromiter(counts, np.int64, len(counts))
+            value = (1 + np.log(np.fromiter(counts.values(), np.int64, len(counts)))) * weighs[term]
+            return term, value / np.linalg.norm(value)
+
+        def neighbours(bodies: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+            for at in range(0, len(bodies), AT_ONCE):
+                asked = [vector(b) for b in bodies[at : at + AT_ONCE]]
+                found = iter(index.search([q for q in asked if q], k) if any(asked) else [])
+                yield from (next(found) if q else None for q in asked)
+
+        def value(found: tuple[np.ndarray, np.ndarray] | None) -> float:
+            if found is None:
+                return no_term
+            votes = found[0] * index.weights[found[1]]
+            return float((votes @ index.labels[found[1]] + SMOOTH * prior) / (votes.sum() + SMOOTH))
+
         for batch in slices(batches, text):
-            got = [answer(b) for b in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            values = np.array([s for s, _ in got])
-            new = [pa.array(values, pa.float64()), pa.array((values >= 0.5).astype(np.int32)), pa.array([e for _, e in got], evidence)]
+            got = list(neighbours(batch.column(batch.schema.get_field_index(text)).to_pylist()))
+            values = np.array([value(g) for g in got], float)
+            cosine, row = (np.concatenate(x) for x in zip(none, *(g for g in got if g)))
+            ids, labels = (index.ids[row], index.labels[row]) if index else (row, row)
+            parts = [pa.array(ids, pa.int64()), pa.array(cosine, pa.float64()), pa.array(labels.astype(np.int32))]
+            ends = np.cumsum([0, *(len(g[0]) if g else 0 for g in got)])
+            evidence = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, names=["doc_id", "cosine", "label"]))
+            new = [pa.array(values), pa.array((values >= 0.5).astype(np.int32)), evidence]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *NEW])
 
     ddl = "score double, predicted int, evidence array<struct<doc_id:long,cosine:double,label:int>>"

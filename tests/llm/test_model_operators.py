@@ -130,3 +130,14 @@ def test_toxicity_on_held_out_labels(spark):
     truth = table(spark, SF_DIR, "labels").select("doc_id", "toxic")
     got = op8_toxicity(spark, SF_DIR).join(truth, "doc_id").filter("held_out")
     assert got.filter(F.col("predicted") == F.col("toxic")).count() >= 0.93 * got.count()
+
+
+def test_toxicity_searches_whole_vectors_of_both_classes(spark):
+    """Few and rare words decide: every labelled text is in the index, and every text with a known word has neighbours."""
+    rows = [(0, "gut alt haus"), (1, "gut neu haus"), (2, "bös alt haus"), (3, "quux"), (4, "neu quux"), (5, "unheard"), (6, None), (7, "bös")]
+    known = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (3, 1)], "doc_id long, label int")
+    model = toxicity.learn(known, labels)
+    assert sorted(model.index.ids.tolist()) == [0, 1, 2, 3] and set(model.index.labels.tolist()) == {0, 1}
+    got = {r["doc_id"]: {e["doc_id"] for e in r["evidence"]} for r in toxicity.score(known, model).collect()}
+    assert got == {0: {0, 1, 2}, 1: {0, 1, 2}, 2: {0, 1, 2}, 3: {3}, 4: {1, 3}, 5: set(), 6: set(), 7: {2}}
