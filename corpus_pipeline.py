@@ -18,6 +18,10 @@ from partflow.llm.tokens import default_path
 from partflow.session import materialize
 
 
+#: Similarity from which documents are near duplicates here; op2's own contract is 85.
+NEAR_PERCENT = 80
+
+
 def _shielded(docs: DataFrame) -> tuple[DataFrame, str, list]:
     """``docs`` under plain names, the name of its text, and the columns back."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
@@ -35,7 +39,7 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select("doc_id").distinct()
     return docs.join(materialize(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -7,8 +7,8 @@ lanes are split into CHUNKS chunks. By the pigeonhole, two signatures that
 differ in at most CHUNKS * (ERRORS + 1) - 1 lanes differ in at most ERRORS lanes
 of some chunk; so for every chunk all ways of leaving ERRORS lanes out are
 listed as keys, and every pair within that distance shares a key, for certain.
-At the least similarity that links (0.85) a pair lies beyond the distance with
-a probability of about 5 in a million; closer pairs practically never.
+At a similarity of 0.80 a pair lies beyond the distance with a probability of
+about 2 in a million, at 0.85 of 2 in 100 million; closer pairs practically never.
 
 Equal sets are one node from the start. The pairs of a group are never listed:
 
@@ -40,7 +40,7 @@ from partflow.llm.words import U64, Words, hash_windows, hash_words, mix, split_
 from partflow.session import materialize
 
 SHINGLE, PERCENT = 5, 85
-CHUNKS, CHUNK_LANES, ERRORS = 4, 5, 2
+CHUNKS, CHUNK_LANES, ERRORS = 6, 5, 2
 LANES = CHUNKS * CHUNK_LANES
 #: Largest signature distance at which a shared key is certain.
 REACH = CHUNKS * (ERRORS + 1) - 1

@@ -37,6 +37,14 @@ def test_pipeline_stages(spark, docs, texts):
     assert packed.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
 
 
+def test_pipeline_drops_near_duplicates_from_80_percent(spark):
+    """90 of 110 shingles are common (0.82); 85 of 115 (0.74) are not enough."""
+    words = [f"w{i}" for i in range(104)]
+    changed = [" ".join("x" if i in at else w for i, w in enumerate(words)) for at in ((), (30, 60), (20, 45, 70))]
+    docs = spark.createDataFrame([(1, changed[0]), (2, changed[1]), (3, changed[2])], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_documents(spark, docs, SF_DIR).collect()) == [1, 3]
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     docs = table(spark, SF_DIR, "documents")
