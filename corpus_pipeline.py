@@ -38,9 +38,20 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    gone = near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select("doc_id").distinct()
-    return docs.join(materialize(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates stays: the smallest id's first.
+
+    Rows are compared one by one, under keys of their own that are written once.
+    Copies without an id leave one row too, beside the row with an id if there is one.
+    """
+    plain, text, back = _shielded(docs)
+    rows = materialize(plain.withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    found = near_duplicates(rows, "row", text, percent=NEAR_PERCENT)
+    groups = found.filter("not kept").select("component_id").distinct()
+    linked = found.select("row", "component_id").join(groups, "component_id", "left_semi")
+    linked = materialize(linked.join(rows.select("row", F.col(f"c{docs.columns.index('doc_id')}").alias("id")), "row"), "near-linked")
+    first = linked.groupBy("component_id", F.col("id").isNull()).agg(F.min(F.struct("id", "row")).alias("first")).select("first.row")
+    gone = materialize(linked.join(first, "row", "left_anti").select("row"), "near-gone")
+    return rows.join(gone, "row", "left_anti").select(*back)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

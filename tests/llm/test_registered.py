@@ -45,6 +45,18 @@ def test_pipeline_drops_near_duplicates_from_80_percent(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_documents(spark, docs, SF_DIR).collect()) == [1, 3]
 
 
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    """Rows of one id, and copies without an id, stay once, and so keep their text in the next stage."""
+    text = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abc"}
+    rows = [(1, text["a"]), (1, text["a"]), (None, text["b"]), (None, text["b"]), (3, text["c"]), (2, text["c"] + " end"), (2, "other"), (4, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    once = corpus_pipeline.near_duplicate_documents(spark, docs, SF_DIR)
+    want = [(1, text["a"]), (2, "other"), (2, text["c"] + " end"), (4, ""), (4, None), (None, text["b"])]
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(want, key=repr)
+    cut = corpus_pipeline.repeated_passages(spark, once, SF_DIR)
+    assert sorted(map(tuple, cut.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     docs = table(spark, SF_DIR, "documents")
