@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from partflow import fixed_values as fv
 from partflow.functions.text import fill, join_lines, pick_lines, strip
@@ -19,6 +18,7 @@ from partflow.operators.retrieve import (
     embed_questions,
     hits_with_text,
     keyword_search,
+    keyword_search_table,
     question_intent,
     vector_search,
 )
@@ -151,11 +151,11 @@ def _with_hits(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
     return asked.join(group_hits(hits).select("qid", "hits"), "qid", "left")
 
 
-def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
-    rows = _with_hits(hits, questions)
+def _answers(rows: DataFrame, *keys: str) -> DataFrame:
+    """Answers of rows with question and hits."""
     sources = F.coalesce(F.transform("hits", lambda h: h["id"]), F.array().cast("array<string>"))
     return rows.select(
-        "qid",
+        *keys,
         "question",
         answer_text(F.col("question"), F.col("hits")).alias("answer"),
         sources.alias("sources"),
@@ -163,32 +163,29 @@ def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
     )
 
 
+def _answer(hits: DataFrame, questions: Sequence[str]) -> DataFrame:
+    return _answers(_with_hits(hits, questions), "qid")
+
+
 def answer_questions(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """Keyword search, then one answer row per question."""
     hits = hits_with_text(keyword_search(chunks, questions, top_k), chunks, questions, top_k)
     return _answer(hits, questions)
 
 
-#: Documented bound of a request given as a table; more questions are an error.
-MOST_QUESTIONS = 10_000
-
-
 def answer_table(chunks: DataFrame, questions: DataFrame, text: str, top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """One answer row per row of a table of questions, next to its other columns.
 
-    The table is a request: it has at most MOST_QUESTIONS rows, and they travel
-    to the chunks. A null question is an empty one.
+    The table may have any number of rows: it stays in Spark, and every distinct
+    question is answered once. A null question is an empty one.
     """
-    asked = questions.limit(MOST_QUESTIONS + 1).collect()
-    if len(asked) > MOST_QUESTIONS:
-        raise ValueError(f"more than {MOST_QUESTIONS} questions in one request")
-    keys = [f for f in questions.schema.fields if f.name != text]
-    rows = [(i, *[r[f.name] for f in keys]) for i, r in enumerate(asked)]
-    table = chunks.sparkSession.createDataFrame(rows, T.StructType([T.StructField("qid", T.IntegerType()), *keys]))
-    if not asked:
-        return table.select(*[f.name for f in keys], F.lit("").alias("question"), F.lit("").alias("answer"), F.array().cast("array<string>").alias("sources"), F.lit(0).alias("num_sources"))
-    answers = answer_questions(chunks, [r[text] or "" for r in asked], top_k)
-    return table.join(answers, "qid").drop("qid")
+    keys = [name for name in questions.columns if name != text]
+    asked = questions.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("question"))
+    each = asked.select("question").distinct()
+    hits = keyword_search_table(chunks, each, top_k).withColumn("question", F.col("qid"))
+    grouped = group_hits(hits.join(chunks.select("id", "text", "source", "metadata"), "id")).select("question", "hits")
+    answers = _answers(each.join(grouped, "question", "left"))
+    return asked.join(answers, "question").select(*keys, "question", "answer", "sources", "num_sources")
 
 
 def answer_by_vectors(

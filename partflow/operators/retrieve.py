@@ -67,15 +67,9 @@ def _best(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
-def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]], wanted: Callable[[Column], Column]) -> DataFrame:
-    """Scores of the chunks for each question of one pass, if ``wanted``; texts stay behind."""
-    asked = F.array(
-        *[
-            F.struct(F.lit(i).alias("qid"), F.lit(q.lower()).alias("phrase"), _strings(_terms_of(q)).alias("terms"))
-            for i, q in numbered
-        ]
-    )
-    prepared = chunks.select(
+def _prepared(chunks: DataFrame) -> DataFrame:
+    """Key and order of the chunks, and what is searched, in lower case."""
+    return chunks.select(
         "id",
         "kind",
         "seq",
@@ -83,20 +77,32 @@ def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]], wanted: C
         F.transform("string_values", F.lower).alias("_values"),
     )
 
-    def score(question: Column) -> Column:
-        def term_points(total: Column, term: Column) -> Column:
-            in_body = F.contains(F.col("_body"), term).cast("int")
-            in_values = F.size(F.filter("_values", lambda v: F.contains(v, term)))
-            return total + in_body + fv.METADATA_BONUS * in_values
 
-        phrase = F.when(F.contains(F.col("_body"), question["phrase"]), F.lit(fv.PHRASE_BONUS)).otherwise(F.lit(0))
-        points = F.aggregate(question["terms"], phrase, term_points)
-        n = F.size(question["terms"])
-        return F.when(n > 0, points / n).otherwise(F.lit(0.0))
+def _score(question: Column) -> Column:
+    """The score of a prepared chunk for a question: a struct of phrase and terms."""
+
+    def term_points(total: Column, term: Column) -> Column:
+        in_body = F.contains(F.col("_body"), term).cast("int")
+        in_values = F.size(F.filter("_values", lambda v: F.contains(v, term)))
+        return total + in_body + fv.METADATA_BONUS * in_values
+
+    phrase = F.when(F.contains(F.col("_body"), question["phrase"]), F.lit(fv.PHRASE_BONUS)).otherwise(F.lit(0))
+    points = F.aggregate(question["terms"], phrase, term_points)
+    n = F.size(question["terms"])
+    return F.when(n > 0, points / n).otherwise(F.lit(0.0))
+
 
-    scored = F.transform(asked, lambda q: F.struct(q["qid"].alias("qid"), score(q).alias("score")))
+def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]], wanted: Callable[[Column], Column]) -> DataFrame:
+    """Scores of the chunks for each question of one pass, if ``wanted``; texts stay behind."""
+    asked = F.array(
+        *[
+            F.struct(F.lit(i).alias("qid"), F.lit(q.lower()).alias("phrase"), _strings(_terms_of(q)).alias("terms"))
+            for i, q in numbered
+        ]
+    )
+    scored = F.transform(asked, lambda q: F.struct(q["qid"].alias("qid"), _score(q).alias("score")))
     kept = F.filter(scored, lambda s: wanted(s["score"]))
-    return prepared.select("id", "kind", "seq", F.explode(kept).alias("_s")).select("id", "kind", "seq", "_s.*")
+    return _prepared(chunks).select("id", "kind", "seq", F.explode(kept).alias("_s")).select("id", "kind", "seq", "_s.*")
 
 
 def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
@@ -115,6 +121,25 @@ def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.
     return stack(found).select("qid", "rank", "id", "score")
 
 
+def keyword_search_table(chunks: DataFrame, questions: DataFrame, top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
+    """``keyword_search`` for a table of any number of distinct questions (column ``question``, not null).
+
+    Every question meets every chunk where they lie; nothing is collected. The
+    ``qid`` of a hit is the question itself.
+    """
+    spread = chunks.sparkSession.sparkContext.defaultParallelism
+    order = [F.desc("score"), F.col("kind"), F.col("seq")]
+    asked = questions.select(F.col("question").alias("qid"), F.struct(F.lower("question").alias("phrase"), query_terms(F.col("question")).alias("terms")).alias("_q"))
+    asked = asked.repartition(spread)
+
+    def scored(rows: DataFrame) -> DataFrame:
+        return asked.crossJoin(_prepared(rows)).select("qid", "id", "kind", "seq", _score(F.col("_q")).alias("score"))
+
+    first = chunks.orderBy("kind", "seq").limit(top_k)
+    hits = scored(chunks.repartition(spread)).filter("score > 0").unionByName(scored(first).filter("score <= 0"))
+    return _best(hits, top_k, order).select("qid", "rank", "id", "score")
+
+
 def vector_search(
     vectors: DataFrame,
     queries: Sequence[Sequence[float]],

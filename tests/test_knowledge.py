@@ -158,6 +158,15 @@ def test_questions_without_hits_and_tables_of_questions(spark, run):
     assert answer_table(run[2], asked.limit(0), "q").collect() == []
 
 
+def test_tables_of_more_questions_than_a_request(spark, run):
+    chunks = run[2].limit(6)
+    asked = spark.range(10_050).select("id", F.concat(F.lit("trend of part "), (F.col("id") % 7).cast("string")).alias("q"))
+    got = answer_table(chunks, asked, "q")
+    assert got.count() == 10_050 and got.select("id").distinct().count() == 10_050
+    want = {r["question"]: (r["answer"], r["sources"]) for r in answer_questions(chunks, [f"trend of part {i}" for i in range(7)]).collect()}
+    assert {r["question"]: (r["answer"], r["sources"]) for r in got.dropDuplicates(["question"]).collect()} == want
+
+
 def test_terms_and_intents(spark):
     texts = ["What IS the risk? risk?", "compare vs", "forecast the risk", "should we act", "growing", "hello there"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
