@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +76,31 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries within go as soon as the query has ended."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage, outlives any executor, and gives the planner real
-    sizes for whatever joins the result next.
+    sizes for whatever joins the result next. The shuffles behind it are not
+    needed any more and leave the disks.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with dropping_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
