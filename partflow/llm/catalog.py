@@ -9,6 +9,7 @@ from partflow.llm import decontaminate, language_id, packing, token_counts, toke
 from partflow.llm.common import table
 from partflow.llm.near_dedup import near_duplicates
 from partflow.llm.substring_dedup import remove_repeats
+from partflow.llm.suffix_dedup import remove_repeated_bytes
 from partflow.llm.tokens import default_path
 from partflow.session import scratch_path
 
@@ -84,6 +85,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_decontamination": op4_decontamination,
@@ -95,4 +101,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }

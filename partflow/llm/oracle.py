@@ -97,7 +97,33 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN last > page_id THEN 're
 FROM m
 """
 
+# A byte is two hex digits; i counts bytes from 0.
+OP11 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS s, substr(h, 2 * i + 1, 100) AS t
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)
+), again AS (SELECT s FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS first FROM win JOIN again USING (s)) WHERE first < doc_id
+), jump AS (
+  SELECT doc_id, i, CASE WHEN i > max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 50 THEN 1 ELSE 0 END AS new
+  FROM hit
+), run AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM jump),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r),
+cut AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span
+), gone AS (
+  SELECT cut.doc_id, count(*) AS n, sum(b - a) AS size, max(b) AS tail, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM cut JOIN d ON d.doc_id = cut.doc_id GROUP BY cut.doc_id
+)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(size, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_suffix_dedup": OP11,
     "op2_near_dedup": OP2,
     "op3_topk_mtree": OP3,
     "op4_decontamination": OP4,
