@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, language_id, packing, token_counts, token_file, topk_mtree, toxicity, warc
+from partflow.llm import centroids, decontaminate, language_id, packing, token_counts, token_file, topk_mtree, toxicity, warc
 from partflow.llm.common import table
 from partflow.llm.near_dedup import near_duplicates
 from partflow.llm.substring_dedup import remove_repeats
@@ -90,6 +90,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    sha = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", sha.alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_decontamination": op4_decontamination,
@@ -102,4 +108,5 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_centroids": op12_centroids,
 }

@@ -122,7 +122,39 @@ SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(size, 0)::BIGINT AS
 FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id
 """
 
+def _rounds(rounds: int) -> str:
+    """One assignment and one move of the centroids a round, then the last assignment."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (
+  SELECT n, vec_id, v, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT n, vec_id, v.v, k, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))::BIGINT AS d FROM v, c{r} c)
+  GROUP BY n, vec_id, v
+)""")
+        if r < rounds:
+            out.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+    FROM (SELECT k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY k, i) GROUP BY k
+  ) m ON m.k = c.k
+)""")
+    return ",\n".join(out)
+
+
+OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v FROM (SELECT sha256('3:' || vec_id) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT 8)
+), {_rounds(10)}
+SELECT vec_id, a10.k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a10.k)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a10 JOIN c10 ON c10.k = a10.k
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_centroids": OP12,
     "op11_suffix_dedup": OP11,
     "op2_near_dedup": OP2,
     "op3_topk_mtree": OP3,
