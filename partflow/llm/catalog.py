@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import centroids, decontaminate, language_id, packing, token_counts, token_file, topk_mtree, toxicity, warc
+from partflow.llm import centroids, conversations, decontaminate, language_id, packing, token_counts, token_file, topk_mtree, toxicity, warc
 from partflow.llm.common import table
 from partflow.llm.near_dedup import near_duplicates
 from partflow.llm.substring_dedup import remove_repeats
@@ -96,6 +96,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", sha.alias("centroid_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_decontamination": op4_decontamination,
@@ -109,4 +113,5 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_centroids": op12_centroids,
+    "op13_conversation_repair": op13_conversation_repair,
 }

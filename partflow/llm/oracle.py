@@ -153,7 +153,68 @@ SELECT vec_id, a10.k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION
 FROM a10 JOIN c10 ON c10.k = a10.k
 """
 
+# crc32 of an ASCII text, bit by bit. DuckDB has no function for it.
+_CRC32 = """(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)))"""
+_BODY = r"regexp_replace(text, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
+_NONE = "{'c': 1000000000, 'a': '', 'r': ''}"
+
+
+def _step(state: str, cost: str, edit: str, line: str = "''") -> str:
+    """The state's way with one more edit."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': {state}.r || {line}}}"
+
+
+def _best(*ways: str) -> str:
+    """The cheapest way, ties to the least audit."""
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _kept(initial: str, before: tuple[str, ...], role: str) -> list[str]:
+    """Ways that keep the row, or reroll it to ``role``."""
+    keep = [f"CASE WHEN go OR initial <> '{initial}' THEN {_NONE} ELSE {_step(s, 'extra', 'K', 'line')} END" for s in before]
+    return keep + [f"CASE WHEN go THEN {_NONE} ELSE {_step(s, '1 + extra', 'R', f'chr(10) || {chr(39)}{role}:{chr(39)} || text')} END" for s in before if role]
+
+
+OP13 = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named FROM conversations
+), h AS (SELECT *, xor({_CRC32.format('named')}, 4294967295) % 20 AS kind FROM k),
+m AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM h, range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, substr(role, 1, 1) AS initial, {_BODY} AS body
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM m)
+), f AS MATERIALIZED (
+  SELECT *, body = '' AS blank, body <> '' AND seen AS duplicate, body <> '' AND NOT seen AND NOT regexp_matches(body, '[.!?]$') AS truncated,
+         body = '' OR seen AS go, CASE WHEN truncated THEN 5 ELSE 0 END AS extra, chr(10) || role || ':' || text AS line,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM o
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 'r': ''}} AS n, {_NONE} AS s, {{'c': 5, 'a': 'I', 'r': chr(10) || 'user:'}} AS u,
+         {{'c': 10, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS a
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, n, s, u, {_best('a', _step('u', '5', 'I', "chr(10) || 'assistant:'"))} AS a FROM (
+    SELECT conv_id, i, n, s, {_best('u', *(_step(x, '5', 'I', "chr(10) || 'user:'") for x in 'nsa'))} AS u, a FROM (
+      SELECT dp.conv_id, f.i, {_step('n', '2', 'D')} AS n, {_best(_step('s', '2', 'D'), *_kept('s', ('n',), ''))} AS s,
+             {_best(_step('u', '2', 'D'), *_kept('u', ('n', 's', 'a'), 'user'))} AS u, {_best(_step('a', '2', 'D'), *_kept('a', ('u',), 'assistant'))} AS a
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1))
+), total AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+), done AS (SELECT dp.conv_id, {_best('dp.n', 'dp.a')} AS best, total.* EXCLUDE (conv_id) FROM dp LEFT JOIN total ON total.conv_id IS NOT DISTINCT FROM dp.conv_id WHERE dp.i = coalesce(total.n, 0))
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit, sha256(substr(best.r, 2)) AS repaired_sha256
+FROM done
+"""
+
 ORACLE: dict[str, str] = {
+    "op13_conversation_repair": OP13,
     "op12_centroids": OP12,
     "op11_suffix_dedup": OP11,
     "op2_near_dedup": OP2,
