@@ -6,8 +6,8 @@ STEP that takes both to residues in D. So only the *cover sample*, the suffixes
 at positions of these residues, is ranked in Spark: by their first WINDOW - STEP
 + 1 bytes, equal ones alike. Two WINDOW byte strings are equal if and only if,
 at the shift their positions have in common, their sample suffixes have the same
-rank and the few bytes left and right of that are the same; those fit into one
-word, so ties are decided without looking at a text again.
+rank and the few bytes left and right of that are the same, so ties are decided
+without looking at a text again.
 
 Suffixes are taken a block of buckets at a time, and what a block shuffled goes
 before the next one starts, so disk and memory are bounded whatever the input:
@@ -19,13 +19,15 @@ before the next one starts, so disk and memory are bounded whatever the input:
    sorts them by rank and side bytes, and answers which windows start in a
    smaller document elsewhere.
 
-The order of ranks is that of 96-bit names of the sample strings and not the
-alphabet's: equal ones tie, and this is all that repeats need.
+The order of ranks is that of 64-bit names of the sample strings and not the
+alphabet's: equal ones tie, and this is all that repeats need. Strings that share
+a name by chance still differ in their side bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -40,65 +42,65 @@ from partflow.session import materialize
 
 WINDOW = 50
 #: A difference cover: every residue modulo STEP is a difference of two of COVER.
-STEP, COVER = 7, (0, 1, 3)
+STEP, COVER = 13, (0, 1, 3, 9)
 SIDE = STEP - 1
 #: Blocks of buckets, one after another; bytes of text of a bucket; a piece of a long text.
-BLOCKS, BUCKET_BYTES, PIECE = 6, 4 << 20, STEP << 18
+BLOCKS, BUCKET_BYTES, PIECE = 2, 8 << 20, STEP << 16
 #: Pieces of a batch are numbered below its id.
 _PIECE_BITS = 11
-_BASES = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_LOW = [U64((1 << (8 * k)) - 1) for k in range(STEP)]
+_BASE = 0x9E3779B97F4A7C15
+#: A random word for every byte at every place left and right of a sample string.
+_LEFT, _RIGHT = (mix(np.arange(k << 16, (k << 16) + 256 * SIDE, dtype=U64) * U64(_BASE)).reshape(SIDE, 256) for k in (1, 2))
 
 
-class Powers:
-    """Powers of a hash base and of its inverse, as many as were asked for."""
+class Names:
+    """Hashes of byte strings from running sums; powers of the base are kept, as many as were asked for."""
 
-    def __init__(self, base: int):
-        self.steps = U64(base), U64(pow(base, -1, 1 << 64))
-        self.values = mix(np.arange(1, 257, dtype=U64) * U64(base))
+    def __init__(self):
+        self.steps = U64(_BASE), U64(pow(_BASE, -1, 1 << 64))
+        self.values = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
         self.up = self.down = np.ones(1, U64)
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            rows = []
-            for step in self.steps:
-                row = np.full(max(n, 2 * len(self.up)), step, U64)
-                row[0] = 1
-                rows.append(np.cumprod(row))
-            self.up, self.down = rows
-        return self.up, self.down
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        up, _ = self.get(len(data) + 1)
-        return np.concatenate([np.zeros(1, U64), np.cumsum(self.values[data] * up[: len(data)])])
-
-    def names(self, sums: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    def of(self, data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """Hash of the ``size`` bytes from every ``at``, wherever they stand."""
-        return mix((sums[at + size] - sums[at]) * self.down[at])
+        if len(self.up) <= len(data):
+            powers = [np.full(2 * len(data) + 1, step, U64) for step in self.steps]
+            for row in powers:
+                row[0] = 1
+            self.up, self.down = (np.cumprod(row) for row in powers)
+        sums = np.zeros(len(data) + 1, U64)
+        terms = self.values[data]
+        terms *= self.up[: len(data)]
+        np.cumsum(terms, out=sums[1:])
+        out = sums[at + size]
+        out -= sums[at]
+        out *= self.down[at]
+        return mix(out)
 
 
-_POWERS: list[Powers] = []
+_NAMES: list[Names] = []
 
 
-def _powers() -> list[Powers]:
-    if not _POWERS:
-        _POWERS.extend(Powers(b) for b in _BASES)
-    return _POWERS
+def _names() -> Names:
+    if not _NAMES:
+        _NAMES.append(Names())
+    return _NAMES[0]
 
 
 class Piece(NamedTuple):
-    """Bytes of some texts, or of a part of a long one, with the cover sample."""
+    """Bytes of some texts, or parts of long ones, with the cover sample's places, texts and names."""
 
     number: int
     base: int
     data: np.ndarray
     sample: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
+    which: np.ndarray
+    name: np.ndarray
+    #: Of every text: where it begins and ends, and its id.
+    lo: np.ndarray
+    hi: np.ndarray
     owner: np.ndarray
     core: int
-    a: np.ndarray
-    second: np.ndarray
 
 
 def _runs(offsets: np.ndarray, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -125,83 +127,81 @@ def pieces(batch: int, part: pa.RecordBatch, id_column: str, text: str, window:
     known = ids.is_valid().to_numpy(zero_copy_only=False)
     ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
     core = window - SIDE
-    one, two = _powers()
     for k, run in enumerate(_runs(offsets, window)):
         base, top = run[0][1], run[-1][2]
         body = data[base:top]
         lo, hi = (np.array([r[c] for r in run], np.int64) - base for c in (1, 2))
         doc = np.array([r[0] for r in run])
-        # Parts of one long text overlap in place, so every part names its own positions.
-        at = [np.arange(a, b - core + 1) for a, b, d in zip(lo, hi, doc) if known[d] and b - a >= window]
-        which = np.repeat(np.flatnonzero(known[doc] & (hi - lo >= window)), [len(x) for x in at])
-        sample = np.concatenate(at) if at else np.zeros(0, np.int64)
-        chosen = np.isin(np.arange(STEP), COVER)[(sample - lo[which]) % STEP]
-        sample, which = sample[chosen], which[chosen]
-        a = one.names(one.sums(body), sample, core) if len(sample) else np.zeros(0, U64)
-        second = two.sums(body)
-        yield Piece((batch << _PIECE_BITS) | k, base, body, sample, lo[which], hi[which], ids[doc[which]], core, a, second)
+        # Every text, or part of one, counts its positions from its own start.
+        use = np.flatnonzero(known[doc] & (hi - lo >= window))
+        places = ((hi - lo)[use] - core + 1)[:, None] - np.array(COVER)
+        often = np.maximum(0, -(-places // STEP)).reshape(-1)
+        first = (lo[use][:, None] + np.array(COVER)).reshape(-1)
+        sample = np.repeat(first - STEP * (np.cumsum(often) - often), often) + STEP * np.arange(often.sum())
+        which = np.repeat(np.repeat(use, len(COVER)), often)
+        yield Piece((batch << _PIECE_BITS) | k, base, body, sample, which, _names().of(body, sample, core), lo, hi, ids[doc], core)
 
 
-def _bucket_of(a: np.ndarray, bits: int) -> np.ndarray:
-    return (a >> U64(64 - bits)).astype(np.int64)
+def _bucket_of(name: np.ndarray, bits: int) -> np.ndarray:
+    return (name >> U64(64 - bits)).astype(np.int64)
 
 
 class Ranked(NamedTuple):
-    """A block's sample of a piece: places in it, sorted distinct names, each one's place among them."""
+    """A block's sample of a piece: places in it, sorted distinct names, each one's place among them, buckets."""
 
     at: np.ndarray
-    prints: np.ndarray
+    names: np.ndarray
     place: np.ndarray
     count: np.ndarray
     buckets: np.ndarray
     cuts: np.ndarray
 
 
-def _sorted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    order = np.argsort(a)
-    same = a[order][1:] == a[order][:-1]
-    return np.lexsort((b, a)) if (same & (b[order][1:] != b[order][:-1])).any() else order
-
-
 def block_sample(piece: Piece, block: int, bits: int) -> Ranked:
-    bucket = _bucket_of(piece.a, bits)
-    at = np.flatnonzero(bucket % BLOCKS == block)
-    a = piece.a[at]
-    b = (_powers()[1].names(piece.second, piece.sample[at], piece.core) >> U64(32)).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
-    order = _sorted(a, b)
-    sa, sb = a[order], b[order]
+    # A name's first bits are its bucket, its last byte is its block.
+    byte = piece.name.view(np.uint8)[::8] if len(piece.name) else np.zeros(0, np.uint8)
+    at = np.flatnonzero((byte >= 256 * block // BLOCKS) & (byte <= 256 * (block + 1) // BLOCKS - 1))
+    name = piece.name[at]
+    order = np.argsort(name)
+    held = name[order]
     new = np.ones(len(at), bool)
-    new[1:] = (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])
+    new[1:] = held[1:] != held[:-1]
     rank = np.cumsum(new) - 1
     place = np.empty(len(at), np.int64)
     place[order] = rank
-    prints = np.empty(int(new.sum()), R.PRINT)
-    prints["a"], prints["b"] = sa[new], sb[new]
-    buckets, first = np.unique(_bucket_of(prints["a"], bits), return_index=True)
-    return Ranked(at, prints, place, np.bincount(rank, minlength=len(prints)), buckets, np.append(first, len(prints)))
+    names = held[new]
+    buckets, first = np.unique(_bucket_of(names, bits), return_index=True)
+    return Ranked(at, names, place, np.bincount(rank, minlength=len(names)), buckets * BLOCKS + block, np.append(first, len(names)))
 
 
-def _sides(piece: Piece, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes left and right of every sample string as words, and which shifts give a window in its text.
+def _sides(piece: Piece, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bytes left and right of every sample string, and the largest and least shift to a window in its text.
 
-    The nearest byte comes first; bytes beyond the text are zero. Above its
-    bytes the left word holds the largest and the least shift.
+    The nearest byte comes first; bytes beyond the text are zero.
     """
-    s, core = piece.sample[at], piece.core
-    most = np.minimum(SIDE, s - piece.start[at]).astype(U64)
-    least = np.maximum(0, s + core + SIDE - piece.end[at]).astype(U64)
-    padded = np.concatenate([np.zeros(8, np.uint8), piece.data, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(piece.data) + 9,), dtype="<u8", buffer=padded, strides=(1,))
-    # eight[s] holds the bytes s-8 .. s-1; turned round, the one nearest to s is the lowest.
-    left = eight[s].byteswap() & _LOW[SIDE]
-    right = eight[s + core + 8] & _LOW[SIDE]
-    low = np.array(_LOW)
-    left &= low[most.astype(np.int64)]
-    right &= low[(U64(SIDE) - least).astype(np.int64)]
-    return left | (most << U64(48)) | (least << U64(52)), right
+    s, which = piece.sample[at], piece.which[at]
+    most = np.minimum(SIDE, s - piece.lo[which])
+    least = np.maximum(0, s + piece.core + SIDE - piece.hi[which])
+    padded = np.concatenate([np.zeros(SIDE, np.uint8), piece.data, np.zeros(SIDE, np.uint8)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, SIDE)
+    left, right = around[s][:, ::-1], around[s + piece.core + SIDE]
+    out = []
+    for side, size in ((left, most), (right, SIDE - least)):
+        side = np.ascontiguousarray(side)
+        short = np.flatnonzero(size < SIDE)
+        side[short] *= np.arange(SIDE) < size[short][:, None]
+        out.append(side)
+    return *out, most, least
+
+
+def _words(side: np.ndarray, table: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(side), U64)
+    for j in range(SIDE):
+        out += table[j][side[:, j]]
+    return out
 
 
-RECORD = np.dtype([("rank", "<u4"), ("left", "<u8"), ("right", "<u8"), ("doc", "<i8")])
+RECORD = np.dtype([("rank", "<u4"), ("most", "u1"), ("least", "u1"), ("left", "u1", (SIDE,)), ("right", "u1", (SIDE,)), ("doc", "<i8")])
 
 
 class Records(NamedTuple):
@@ -217,45 +217,72 @@ def block_records(piece: Piece, ranked: Ranked, ranks: np.ndarray) -> Records:
     """``ranks``: a number from 1 on for every distinct name of the block, 0 for unique ones."""
     go = ranks[ranked.place] > 0
     at, place = ranked.at[go], ranked.place[go]
-    left, right = _sides(piece, at)
-    # Place first, then 40 bits of a hash: rows that differ may only come twice, never merge.
-    key = (place.astype(U64) << U64(40)) | (join(mix(left), right) >> U64(24))
+    left, right, most, least = _sides(piece, at)
+    # Bytes beyond the text are told from zeros by the shifts.
+    sides = join(_words(left, _LEFT) + most.astype(U64), _words(right, _RIGHT) + least.astype(U64))
+    # Place first, then 40 bits of the sides: rows that differ may only come twice, never merge.
+    key = (place.astype(U64) << U64(40)) | (sides >> U64(24))
     order = np.argsort(key)
-    l, r, p = left[order], right[order], place[order]
+    p, w = place[order], sides[order]
     new = np.ones(len(at), bool)
-    new[1:] = (p[1:] != p[:-1]) | (l[1:] != l[:-1]) | (r[1:] != r[:-1])
+    new[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1])
     first = np.flatnonzero(new)
     number = np.empty(len(at), np.int64)
     number[order] = np.cumsum(new) - 1
     rows = np.empty(len(first), RECORD)
-    rows["rank"], rows["left"], rows["right"] = ranks[p[first]], l[first], r[first]
-    rows["doc"] = np.minimum.reduceat(piece.owner[at][order], first) if len(first) else 0
+    one = order[first]
+    rows["rank"], rows["most"], rows["least"], rows["left"], rows["right"] = ranks[p[first]], most[one], least[one], left[one], right[one]
+    rows["doc"] = np.minimum.reduceat(piece.owner[piece.which[at]][order], first) if len(first) else 0
     return Records(at, number, rows, np.searchsorted(p[first], ranked.cuts))
 
 
+def _least(rank: np.ndarray, word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of equal (rank, word): each row's group, a row of each, and its smallest document."""
+    key = mix(word + mix(rank))
+    order = np.argsort(key)
+    k, r = key[order], rank[order]
+    if ((k[1:] == k[:-1]) & (r[1:] != r[:-1])).any():  # rows that only share a hash
+        order = np.lexsort((word, rank))
+        k, r = word[order], rank[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return group, order[first], np.minimum.reduceat(doc[order], first)
+
+
 def smaller_elsewhere(rows: np.ndarray) -> np.ndarray:
-    """For each of a bucket's records a bit per shift: a smaller document holds that window too."""
-    bits = np.zeros(len(rows), np.uint8)
-    most, least = (rows["left"] >> U64(48)) & U64(15), (rows["left"] >> U64(52)) & U64(15)
-    rank = mix(rows["rank"].astype(U64))
-    for shift in range(STEP):
+    """For each of a bucket's records a bit per shift: a smaller document holds that window too.
+
+    Suffixes with the same bytes on both sides are one to begin with. A rank of
+    only one kind of suffix is decided at once; the others shift by shift.
+    """
+    bits = np.zeros(len(rows), np.uint16)
+    if not len(rows):
+        return bits
+    rank, most, least = rows["rank"].astype(U64), rows["most"].astype(U64), rows["least"].astype(U64)
+    left, right = np.ascontiguousarray(rows["left"]), np.ascontiguousarray(rows["right"])
+    kind, one, doc = _least(rank, join(_words(left, _LEFT) + most, _words(right, _RIGHT) + least), rows["doc"])
+    bits[doc[kind] < rows["doc"]] = (1 << STEP) - 1
+    _, number, often = np.unique(rank[one], return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(often[number] > 1)
+    place = np.full(len(one), -1)
+    place[mixed] = np.arange(len(mixed))
+    of, again = place[kind], np.flatnonzero(place[kind] >= 0)
+    one, doc = one[mixed], doc[mixed]
+    rank, most, least, left, right = rank[one], most[one], least[one], left[one], right[one]
+    word = _words(right, _RIGHT)
+    for shift in range(STEP if len(one) else 0):
+        if shift:
+            word += _LEFT[shift - 1][left[:, shift - 1]]
+            word -= _RIGHT[SIDE - shift][right[:, SIDE - shift]]
         at = np.flatnonzero((most >= shift) & (least <= shift))
-        word = (rows["left"][at] & _LOW[shift]) | ((rows["right"][at] & _LOW[SIDE - shift]) << U64(8 * shift))
-        key = mix(word + rank[at])
-        order = np.argsort(key)
-        same_key = key[order][1:] == key[order][:-1]
-        r, w = rows["rank"][at][order], word[order]
-        differ = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
-        if (same_key & differ).any():  # two tied windows that only share a hash
-            order = np.lexsort((word, rows["rank"][at]))
-            r, w = rows["rank"][at][order], word[order]
-            differ = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
-        if not len(at):
-            continue
-        new = np.concatenate([[True], differ])
-        doc = rows["doc"][at][order]
-        least_doc = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-        bits[at[order]] |= (least_doc < doc).astype(np.uint8) << np.uint8(shift)
+        if len(at):
+            group, _, smallest = _least(rank[at], word[at], doc[at])
+            best = doc.copy()
+            best[at] = smallest[group]
+            bits[again] |= (best[of[again]] < rows["doc"][again]).astype(np.uint16) << np.uint16(shift)
     return bits
 
 
@@ -281,14 +308,14 @@ def _rank_bucket(group: pa.Table) -> pa.Table:
     parts, often = [], []
     for body in group.column("body"):
         raw = np.frombuffer(body.as_buffer(), np.uint8)
-        n = len(raw) * 8 // (8 * R.PRINT.itemsize + 1)
-        parts.append(raw[: n * R.PRINT.itemsize].view(R.PRINT))
-        often.append(np.unpackbits(raw[n * R.PRINT.itemsize :], count=n).astype(bool))
+        n = len(raw) * 8 // 65
+        parts.append(raw[: 8 * n].view(U64))
+        often.append(np.unpackbits(raw[8 * n :], count=n).astype(bool))
     every, more = np.concatenate(parts), np.concatenate(often)
-    order = _sorted(every["a"], every["b"])
-    a, b = every["a"][order], every["b"][order]
+    order = np.argsort(every)
+    held = every[order]
     new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    new[1:] = held[1:] != held[:-1]
     group_of = np.cumsum(new) - 1
     many = (np.bincount(group_of, minlength=1) > 1) | (np.bincount(group_of, more[order], minlength=1) > 0)
     number = np.where(many, np.cumsum(many), 0)
@@ -308,10 +335,17 @@ def _tie_bucket(group: pa.Table) -> pa.Table:
 
 
 def _answers(rows: DataFrame, work, name: str) -> DataFrame:
-    """(batch, name) with the buckets' answers for all pieces of a batch."""
+    """A table (batch, range, piece, body) of the buckets' answers."""
     met = rows.groupBy("range").applyInArrow(work, R.RANGE_SCHEMA)
-    batch = F.shiftright("batch", _PIECE_BITS)
-    return materialize(met.groupBy(batch.alias("batch")).agg(F.collect_list(F.struct("range", F.col("batch").alias("piece"), "body")).alias(name)), f"suffix-{name}")
+    return materialize(met.select(F.shiftright("batch", _PIECE_BITS).alias("batch"), "range", F.col("batch").alias("piece"), "body"), name)
+
+
+def _with_answers(bodies: DataFrame, **answers: DataFrame) -> DataFrame:
+    """Every batch with the answers for its pieces, one list under each name."""
+    kinds = [a.withColumn("kind", F.lit(kind)) for kind, a in answers.items()]
+    rows = reduce(DataFrame.unionByName, kinds)
+    lists = [F.collect_list(F.when(F.col("kind") == kind, F.struct("range", "piece", "body"))).alias(kind) for kind in answers]
+    return bodies.join(rows.groupBy("batch").agg(*lists), "batch", "left")
 
 
 def _by_piece(found: list | None) -> dict[tuple[int, int], bytes]:
@@ -319,7 +353,7 @@ def _by_piece(found: list | None) -> dict[tuple[int, int], bytes]:
 
 
 def _ranks(piece: Piece, ranked: Ranked, answers: dict) -> np.ndarray:
-    out = np.zeros(len(ranked.prints), np.uint32)
+    out = np.zeros(len(ranked.names), np.uint32)
     for k, bucket in enumerate(ranked.buckets.tolist()):
         lo, hi = ranked.cuts[k], ranked.cuts[k + 1]
         out[lo:hi] = _loosen(answers[piece.number, bucket], "<u4", hi - lo)
@@ -330,7 +364,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str
     """``docs`` with n_bytes, n_removed, spans and kept, a row for each row.
 
     A text is its UTF-8 bytes. A byte goes if it is covered by a string of
-    ``window`` bytes (7 at least) that also starts in a row with a smaller
+    ``window`` bytes (13 at least) that also starts in a row with a smaller
     ``id_column`` (a whole number); strings are judged on the input and lie in
     one text. ``spans`` are the maximal removed runs [start, end), ``kept`` the
     other bytes (characters may be cut). A null text is empty; texts shorter than
@@ -345,8 +379,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str
     new = ("n_bytes", "n_removed", "spans", "kept")
     docs = docs.drop(*new)
     batches = R.write_batches(docs, text, "suffix-batches")
-    total = batches.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = max(6, int(total // BUCKET_BYTES).bit_length())
+    bits = max(6, (batches.count() * R.BATCH_BYTES // BUCKET_BYTES).bit_length())
     bodies = batches.select("batch", "body")
 
     def sample(block: int):
@@ -354,7 +387,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str
             for piece in pieces(row["batch"], part, id_column, text, window):
                 r = block_sample(piece, block, bits)
                 spans = list(zip(r.cuts[:-1].tolist(), r.cuts[1:].tolist()))
-                yield _rows(r.buckets, piece.number, [r.prints[a:b].tobytes() + np.packbits(r.count[a:b] > 1).tobytes() for a, b in spans])
+                yield _rows(r.buckets, piece.number, [r.names[a:b].tobytes() + np.packbits(r.count[a:b] > 1).tobytes() for a, b in spans])
 
         return run
 
@@ -369,33 +402,34 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str
 
         return run
 
-    joined = bodies
-    tables = [batches]
+    ranks, ties = [], []
     for block in range(BLOCKS):
-        ranks = _answers(R.each_batch(bodies, sample(block), R.RANGE_SCHEMA), _rank_bucket, "ranks")
-        ties = _answers(R.each_batch(bodies.join(ranks, "batch", "left"), tied(block), R.RANGE_SCHEMA), _tie_bucket, "ties")
-        joined = joined.join(ranks.withColumnRenamed("ranks", f"ranks{block}"), "batch", "left").join(ties.withColumnRenamed("ties", f"ties{block}"), "batch", "left")
-        tables += [ranks, ties]
+        ranks.append(_answers(R.each_batch(bodies, sample(block), R.RANGE_SCHEMA), _rank_bucket, "suffix-ranks"))
+        asked = _with_answers(bodies, ranks=ranks[-1])
+        ties.append(_answers(R.each_batch(asked, tied(block), R.RANGE_SCHEMA), _tie_bucket, "suffix-ties"))
+    joined = materialize(_with_answers(bodies, ranks=reduce(DataFrame.unionByName, ranks), ties=reduce(DataFrame.unionByName, ties)), "suffix-answered")
+    discard(batches, *ranks, *ties)
 
     def cover(row: dict, part: pa.RecordBatch) -> np.ndarray:
-        answers = [(_by_piece(row[f"ranks{k}"]), _by_piece(row[f"ties{k}"])) for k in range(BLOCKS)]
+        ranks, ties = _by_piece(row["ranks"]), _by_piece(row["ties"])
         gone = np.zeros(part_bytes(part)[1][-1], bool)
         for piece in pieces(row["batch"], part, id_column, text, window):
             edge = np.zeros(len(piece.data) + 1, np.int32)
             begins = np.zeros(len(piece.data), bool)
-            for block, (ranks, ties) in enumerate(answers):
+            for block in range(BLOCKS):
                 r = block_sample(piece, block, bits)
                 held = block_records(piece, r, _ranks(piece, r, ranks))
-                bit = np.zeros(len(held.rows), np.uint8)
+                bit = np.zeros(len(held.rows), np.uint16)
                 for k in np.flatnonzero(np.diff(held.cuts)):
                     lo, hi = held.cuts[k], held.cuts[k + 1]
-                    bit[lo:hi] = _loosen(ties[piece.number, int(r.buckets[k])], "u1", hi - lo)
+                    bit[lo:hi] = _loosen(ties[piece.number, int(r.buckets[k])], "<u2", hi - lo)
                 own = held.rows[held.place]
-                most, least = (own["left"] >> U64(48)) & U64(15), (own["left"] >> U64(52)) & U64(15)
-                inside = own["doc"] < piece.owner[held.at]
+                inside = own["doc"] < piece.owner[piece.which[held.at]]
+                hits = np.where(inside, (1 << STEP) - 1, bit[held.place])
+                some = np.flatnonzero(hits)
+                sample, hits, most, least = piece.sample[held.at[some]], hits[some], own["most"][some], own["least"][some]
                 for shift in range(STEP):
-                    hit = (most >= shift) & (least <= shift) & (inside | ((bit[held.place] >> shift) & 1).astype(bool))
-                    begins[piece.sample[held.at[hit]] - shift] = True
+                    begins[sample[(most >= shift) & (least <= shift) & ((hits >> shift) & 1).astype(bool)] - shift] = True
             at = np.flatnonzero(begins)
             edge[at] += 1
             edge[at + window] -= 1

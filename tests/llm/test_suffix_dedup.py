@@ -39,7 +39,7 @@ def test_every_residue_is_a_difference_of_the_cover():
     assert {(x - y) % STEP for x in COVER for y in COVER} == set(range(STEP))
 
 
-@pytest.mark.parametrize("window", [50, 12])
+@pytest.mark.parametrize("window", [50, 13])
 def test_odd_rows(docs, window):
     """Null and empty texts, a null id, repeated rows, a very long text, clashing columns."""
     df = docs.withColumnRenamed("hits", "spans").withColumnRenamed("batch", "range")
@@ -58,7 +58,7 @@ def test_pieces_of_long_texts(spark, monkeypatch):
     rows = [(i + 10, base[rng.randrange(400) :][: rng.randrange(20, 500)] + rng.choice(["", "x" * 90])) for i in range(40)]
     rows += [(5, "ab" * 300), (4, "ba" * 40), (6, "a" * 400), (6, "a" * 200), (7, "a" * 49), (8, "a" * 50)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    for window in (50, 7, 20):
+    for window in (50, 13, 20):
         assert found(remove_repeated_bytes(df, window=window)) == Counter(brute(rows, window))
 
 
@@ -70,16 +70,26 @@ def test_one_text_in_a_third_of_the_rows(spark):
     assert found(remove_repeated_bytes(df)) == Counter(brute(rows, 50))
 
 
-def test_names_that_share_half_a_hash_stay_apart(spark, monkeypatch):
-    """Hashes are only for sorting: with a poor one the ties are still told apart."""
-    monkeypatch.setattr(suffix_dedup, "mix", lambda x: x & np.uint64(3))
-    rows = np.zeros(4, suffix_dedup.RECORD)
-    rows["rank"], rows["doc"] = [1, 1, 2, 2], [5, 4, 3, 9]
-    rows["left"] = (np.uint64(6) << np.uint64(48)) | np.array([7, 7, 7, 3], np.uint64)
-    assert suffix_dedup.smaller_elsewhere(rows).tolist()[0] == 127 and suffix_dedup.smaller_elsewhere(rows)[2] == 0
+def test_ties_are_told_apart_whatever_the_hash(monkeypatch):
+    """Shift by shift against plain comparison, with a good and a poor order of hashes."""
+    rng = np.random.default_rng(2)
+    rows = np.zeros(300, suffix_dedup.RECORD)
+    rows["rank"], rows["doc"] = rng.integers(1, 25, 300), rng.integers(0, 40, 300)
+    rows["most"], rows["least"] = rng.choice([0, 5, 12, 12], 300), rng.choice([0, 0, 0, 5], 300)
+    rows["left"], rows["right"] = rng.choice([3, 3, 3, 7], (300, 12)), rng.choice([1, 1, 1, 1, 9], (300, 12))
+    for poor in (False, True):
+        if poor:
+            monkeypatch.setattr(suffix_dedup, "mix", lambda x: x & np.uint64(3))
+        bits = suffix_dedup.smaller_elsewhere(rows)
+        for shift in range(STEP):
+            valid = [r for r in rows if r["least"] <= shift <= r["most"]]
+            for r, b in zip(rows, bits):
+                if r["least"] <= shift <= r["most"]:
+                    same = [x["doc"] for x in valid if x["rank"] == r["rank"] and (x["left"][:shift] == r["left"][:shift]).all() and (x["right"][: 12 - shift] == r["right"][: 12 - shift]).all()]
+                    assert bool((b >> shift) & 1) == (min(same) < r["doc"])
 
 
 def test_empty(empty, spark):
     assert remove_repeated_bytes(empty).collect() == []
     with pytest.raises(ValueError):
-        remove_repeated_bytes(empty, window=6)
+        remove_repeated_bytes(empty, window=12)
