@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from partflow import fixed_values as fv
 from partflow.functions.text import contains_any, words
 from partflow.operators.evaluate import stack
+from partflow.operators.postings import chunk_index, question_points, searched
+from partflow.session import materialize
 
 PASS_SIZE = 64
 # Hits up to this many rows are broadcast to the chunks.
@@ -67,17 +69,6 @@ def _best(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
-def _prepared(chunks: DataFrame) -> DataFrame:
-    """Key and order of the chunks, and what is searched, in lower case."""
-    return chunks.select(
-        "id",
-        "kind",
-        "seq",
-        F.concat(F.lower("text"), F.lit(" "), F.lower("metadata_json")).alias("_body"),
-        F.transform("string_values", F.lower).alias("_values"),
-    )
-
-
 def _score(question: Column) -> Column:
     """The score of a prepared chunk for a question: a struct of phrase and terms."""
 
@@ -102,7 +93,7 @@ def keyword_scores(chunks: DataFrame, numbered: list[tuple[int, str]], wanted: C
     )
     scored = F.transform(asked, lambda q: F.struct(q["qid"].alias("qid"), _score(q).alias("score")))
     kept = F.filter(scored, lambda s: wanted(s["score"]))
-    return _prepared(chunks).select("id", "kind", "seq", F.explode(kept).alias("_s")).select("id", "kind", "seq", "_s.*")
+    return searched(chunks).select("id", "kind", "seq", F.explode(kept).alias("_s")).select("id", "kind", "seq", "_s.*")
 
 
 def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
@@ -124,20 +115,26 @@ def keyword_search(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.
 def keyword_search_table(chunks: DataFrame, questions: DataFrame, top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
     """``keyword_search`` for a table of any number of distinct questions (column ``question``, not null).
 
-    Every question meets every chunk where they lie; nothing is collected. The
-    ``qid`` of a hit is the question itself.
+    Questions and chunks meet through an inverted index (``postings``), so the
+    work grows with the hits and not with all pairs; nothing is collected but
+    the first ``top_k`` chunks. The ``qid`` of a hit is the question itself.
     """
-    spread = chunks.sparkSession.sparkContext.defaultParallelism
     order = [F.desc("score"), F.col("kind"), F.col("seq")]
-    asked = questions.select(F.col("question").alias("qid"), F.struct(F.lower("question").alias("phrase"), query_terms(F.col("question")).alias("terms")).alias("_q"))
-    asked = asked.repartition(spread)
-
-    def scored(rows: DataFrame) -> DataFrame:
-        return asked.crossJoin(_prepared(rows)).select("qid", "id", "kind", "seq", _score(F.col("_q")).alias("score"))
-
-    first = chunks.orderBy("kind", "seq").limit(top_k)
-    hits = scored(chunks.repartition(spread)).filter("score > 0").unionByName(scored(first).filter("score <= 0"))
-    return _best(hits, top_k, order).select("qid", "rank", "id", "score")
+    terms = query_terms(F.col("question"))
+    # Numbered in a table, so that all jobs see the same numbers.
+    asked = questions.select(F.monotonically_increasing_id().alias("qid"), "question", F.lower("question").alias("phrase"), terms.alias("terms"))
+    asked = materialize(asked, "questions")
+    found = question_points(chunk_index(chunks), chunks, asked, top_k)
+    # At most top_k rows: what a question gets that has no points anywhere.
+    first = chunks.orderBy("kind", "seq").limit(top_k).select("id", "kind", "seq").collect()
+    bare = F.array(*[F.struct(*[F.lit(x).cast(chunks.schema[c].dataType).alias(c) for c, x in r.asDict().items()]) for r in first])
+    if first:
+        none = asked.select("qid", F.size("terms").alias("n"), F.inline(bare)).withColumn("points", F.lit(0).cast("long"))
+        found = found.unionByName(none.select(*found.columns))
+    best = found.groupBy("qid", "n", "id", "kind", "seq").agg(F.max("points").alias("points"))
+    score = F.when(F.col("n") > 0, F.col("points") / F.col("n")).otherwise(F.lit(0.0))
+    hits = _best(best.withColumn("score", score), top_k, order).select("qid", "rank", "id", "score")
+    return hits.join(asked.select("qid", "question"), "qid").select(F.col("question").alias("qid"), "rank", "id", "score")
 
 
 def vector_search(

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -293,3 +294,34 @@ def test_embedded_search_agrees_with_numpy(run):
 def test_empty_request(run):
     with pytest.raises(ValueError):
         retrieve.keyword_search(run[2], [])
+
+
+def _chunk_table(spark, rows):
+    schema = "id string, kind int, seq int, text string, metadata_json string, string_values array<string>"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def test_index_search_agrees_with_scoring_every_pair(spark, monkeypatch):
+    """Substrings, phrases, values, ties, classes of one and of many chunks, questions without terms or hits."""
+    from partflow.operators import postings
+
+    rng = random.Random(11)
+    names = ["alpha", "beta", "Gamma-7", "delta", "überzug", "x", "in", "overstock", "stockout", "risk", "N/A", "42"]
+    rows = []
+    for i in range(120):
+        text = " ".join(rng.choice(names) + rng.choice(["", "", ",", str(i % 5)]) for _ in range(rng.randrange(0, 9)))
+        values = [rng.choice(names) + " " + rng.choice(names) for _ in range(rng.randrange(0, 3))]
+        rows.append((f"c{i:03}", i % 3, i, text + rng.choice(["", " demand part", "\tdemand\npart"]), '{"k": "%s"}' % rng.choice(names), values))
+    rows += [("n1", 0, 500, None, "{}", ["alpha"]), ("n2", 0, 501, "alpha", "{}", None), ("e", 0, 502, "", "", [])]
+    chunks = _chunk_table(spark, rows)
+    asked = ["alpha", "stock", "out risk", "demand part", "a", "", "the of", "  Gamma-7   beta ", "zzz", "in x", "ÜBER delta N/A", "alpha alpha beta 42 risk demand", "mand\tpart"]
+    table = spark.createDataFrame([(q,) for q in asked], "question string")
+    want = {(asked[r["qid"]], r["rank"], r["id"], round(r["score"], 9)) for r in retrieve.keyword_search(chunks, asked, 4).collect()}
+    for share in (1, 4, 10_000):
+        monkeypatch.setattr(postings, "COMMON", share)
+        found = retrieve.keyword_search_table(chunks, table, 4)
+        assert {(r["qid"], r["rank"], r["id"], round(r["score"], 9)) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert retrieve.keyword_search_table(chunks.limit(0), table).collect() == []
+    assert retrieve.keyword_search_table(chunks, table.limit(0)).collect() == []
