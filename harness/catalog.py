@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from harness import binding as b
 from partflow import fixed_values as fv
 from partflow.functions.numbers import round_even
-from partflow.operators import evaluate, features, narrate, profile, quality, recode, reports, retrieve, split, validate
+from partflow.operators import embedding, evaluate, features, narrate, profile, quality, recode, reports, retrieve, split, validate
 from partflow.operators.answers import answer_by_vectors, answer_table, context_and_prompt
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive, predict_previous_row
@@ -598,9 +598,6 @@ DOCUMENT_QUESTIONS = (
 )
 
 
-MOST_LABELS = 1000
-
-
 def label_centroids(spark, sf_dir) -> DataFrame:
     """Mean vector of each label: one aggregate, a sum per dimension."""
     rows = b.table(spark, sf_dir, "embeddings")
@@ -626,10 +623,8 @@ def vector_search_filtered(spark, sf_dir):
 
 
 def _near(spark, sf_dir, where):
-    # A request of one query vector per label, ten in these tables.
-    centers = [r["center"] for r in label_centroids(spark, sf_dir).limit(MOST_LABELS + 1).collect()]
-    if len(centers) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} labels")
+    # A request of one query vector per label, as a caller would send it.
+    centers = [r["center"] for r in label_centroids(spark, sf_dir).toLocalIterator()]
     rows = b.table(spark, sf_dir, "embeddings")
     hits = retrieve.vector_search(rows, centers, top_k=3, key="vec_id", where=where)
     return hits.select("qid", "rank", "vec_id", r6("distance"))
@@ -637,25 +632,28 @@ def _near(spark, sf_dir, where):
 
 def _embedded(spark, sf_dir):
     chunks = b.phases(spark, sf_dir).chunks()
-    embedder = retrieve.text_embedder(chunks)
-    return embedder, retrieve.embed(chunks, embedder)
+    embedder = embedding.text_embedder(chunks)
+    return embedder, embedding.embed(chunks, embedder)
+
+
+def _checked(embedded: DataFrame, key: str) -> DataFrame:
+    """Terms of every vector, its squared length, and a sum that depends on each term's number and weight."""
+    squares = F.aggregate("embedding", F.lit(0.0), lambda t, p: t + p["weight"] * p["weight"])
+    marked = F.aggregate("embedding", F.lit(0.0), lambda t, p: t + p["weight"] * (p["term"] % 1009 + 1))
+    sums = embedded.select(key, F.size("embedding").alias("size"), squares.alias("norm"), marked.alias("checksum"))
+    return sums.select(key, "size", r6("norm"), r6("checksum"))
 
 
 @query
 def embed_chunks(spark, sf_dir):
-    """Length and norm of every chunk's vector."""
-    _, embedded = _embedded(spark, sf_dir)
-    squares = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))
-    return embedded.select("id", F.size("embedding").alias("size"), F.round(F.sqrt(squares), 3).alias("norm"))
+    return _checked(_embedded(spark, sf_dir)[1], "id")
 
 
 @query
 def embed_documents(spark, sf_dir):
-    """Embedding of whole documents: one fitted model, one pass."""
+    """Embedding of whole documents over the dictionary of all their terms."""
     docs = b.table(spark, sf_dir, "documents").select("doc_id", "text")
-    embedded = retrieve.embed(docs, retrieve.text_embedder(docs))
-    used = F.size(F.filter("embedding", lambda x: x != 0))
-    return embedded.select("doc_id", F.size("embedding").alias("size"), used.alias("used"))
+    return _checked(embedding.embed(docs, embedding.text_embedder(docs), "doc_id"), "doc_id")
 
 
 @query

@@ -739,6 +739,24 @@ def near(where: str) -> str:
            {rd('distance', 6)} AS distance FROM gaps QUALIFY rank <= 3"""
 
 
+def embedded(source: str, key: str) -> str:
+    """Numbered terms and unit weights of a table of texts."""
+    return f"""held AS (SELECT {key} AS key, w AS term, count(*) AS n
+      FROM (SELECT {key}, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')) AS w FROM {source}) GROUP BY ALL),
+    dictionary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS number, ln(((SELECT count(*) FROM {source}) + 1)::DOUBLE / (count(*) + 1)) AS idf
+      FROM held GROUP BY term),
+    weighed AS (SELECT key, term, number, n * idf AS w FROM held JOIN dictionary USING (term) WHERE idf > 0),
+    unit AS (SELECT key, term, number, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS w FROM weighed)"""
+
+
+def vector_sums(source: str, key: str) -> str:
+    return f"""SELECT {key}, count(number)::INT AS size, {rd('coalesce(sum(w * w), 0)', 6)} AS norm,
+    {rd('coalesce(sum(w * (number % 1009 + 1)), 0)', 6)} AS checksum FROM {source} LEFT JOIN unit ON unit.key = {key} GROUP BY {key}"""
+
+
+put("embed_chunks", f"WITH RECURSIVE {CHUNKS}, {embedded('chunks', 'id')} {vector_sums('chunks', 'id')}")
+put("embed_documents", f"WITH {embedded('documents', 'doc_id')} {vector_sums('documents', 'doc_id')}")
+
 put("vector_search", near("true"))
 put("vector_search_filtered", near("label = 3"))
 
@@ -823,3 +841,18 @@ put(
     CASE {ROUTED} {" ".join(f"WHEN {q(k)} THEN {v}" for k, v in ANSWERS.items())} END AS answer,
     string_agg(id, ',' ORDER BY rank) AS sources, count(*)::INT AS num_sources FROM hits GROUP BY qid""",
 )
+VALUES = ", ".join(f"({i}, {q(text)})" for i, text in enumerate(fv.SAMPLE_QUESTIONS))
+NEAREST = f"""asked AS (SELECT * FROM (VALUES {VALUES}) AS a(qid, question)),
+said AS (SELECT qid, w AS term, count(*) AS n
+  FROM (SELECT qid, unnest(list_filter(regexp_split_to_array(lower(question), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')) AS w FROM asked) GROUP BY ALL),
+wanted AS (SELECT qid, term, n * idf AS w FROM said JOIN dictionary USING (term) WHERE idf > 0),
+cosines AS (SELECT qid, key, {rd('sum(q.w / length * unit.w)', 9)} AS cosine
+  FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY qid)) AS length FROM wanted) q JOIN unit USING (term) GROUP BY qid, key),
+hits AS (SELECT asked.*, chunks.*, row_number() OVER (PARTITION BY qid ORDER BY cosine DESC, id) AS rank
+  FROM cosines JOIN asked USING (qid) JOIN chunks ON chunks.id = cosines.key QUALIFY rank <= 3)"""
+put(
+    "answer_batch_vector",
+    f"""WITH RECURSIVE {CHUNKS}, {embedded('chunks', 'id')}, {NEAREST} SELECT qid::INT AS qid, max(question) AS question,
+    CASE {ROUTED} {" ".join(f"WHEN {q(k)} THEN {v}" for k, v in ANSWERS.items())} END AS answer,
+    string_agg(id, ',' ORDER BY rank) AS sources, count(*)::INT AS num_sources FROM hits GROUP BY qid""",
+)

@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.functions.text import fill, join_lines, pick_lines, strip
+from partflow.operators.embedding import Embedder, cosine_search, embed_questions
 from partflow.operators.narrate import MODEL_SOURCE, PART_SOURCE
 from partflow.operators.retrieve import (
-    embed_questions,
     hits_with_text,
     keyword_search,
     keyword_search_table,
     question_intent,
-    vector_search,
 )
 
 
@@ -189,12 +188,11 @@ def answer_table(chunks: DataFrame, questions: DataFrame, text: str, top_k: int
 
 
 def answer_by_vectors(
-    embedded: DataFrame, questions: Sequence[str], embedder, top_k: int = fv.TOP_K_DEFAULT
+    embedded: DataFrame, questions: Sequence[str], embedder: Embedder, top_k: int = fv.TOP_K_DEFAULT
 ) -> DataFrame:
-    """Vector search over embedded chunks, then the same answers."""
-    vectors = embed_questions(questions, embedder, embedded)
-    hits = hits_with_text(vector_search(embedded, vectors, top_k), embedded, questions, top_k)
-    return _answer(hits, questions)
+    """Search by the cosine of embedded chunks, then the same answers."""
+    hits = cosine_search(embedded, embed_questions(questions, embedder), top_k)
+    return _answer(hits_with_text(hits, embedded, questions, top_k), questions)
 
 
 def context_and_prompt(chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:

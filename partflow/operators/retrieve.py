@@ -9,13 +9,14 @@ further passes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from partflow import fixed_values as fv
 from partflow.functions.text import contains_any, words
@@ -24,6 +25,8 @@ from partflow.operators.postings import chunk_index, question_points, searched
 from partflow.session import materialize
 
 PASS_SIZE = 64
+# Vectors that are scored together.
+SCORED = 4096
 # Hits up to this many rows are broadcast to the chunks.
 BROADCAST_HITS = 100_000
 
@@ -147,47 +150,35 @@ def vector_search(
 ) -> DataFrame:
     """Exact nearest rows by squared distance, ties by key.
 
-    ``where`` is a metadata filter that is applied before ranking.
+    Vectors are scored in blocks against all queries of a pass, and only the
+    best ``top_k`` rows per query leave a block. ``where`` is a metadata filter
+    that is applied before ranking. Rows whose vector is null, has another length
+    than a query, or lacks a component are no hits of it.
     """
     rows = vectors if where is None else vectors.filter(where)
-
-    def distance(q: Column) -> Column:
-        gaps = F.zip_with(F.col(vector), q, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)
-
+    full = rows.filter(F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull()))
+    full = full.select(key, F.col(vector).cast("array<double>").alias("_v"))
+    schema = StructType([StructField("qid", IntegerType()), full.schema[key], StructField("distance", DoubleType())])
     found = []
     for numbered in _passes(queries):
-        asked = F.array(
-            *[F.struct(F.lit(i).alias("qid"), F.array(*[F.lit(float(x)) for x in v]).alias("v")) for i, v in numbered]
-        )
-        scored = F.transform(asked, lambda q: F.struct(q["qid"].alias("qid"), distance(q["v"]).alias("distance")))
-        near = rows.select(F.col(key), F.explode(scored).alias("_s")).select(key, "_s.*")
-        found.append(_best(near, top_k, [F.col("distance"), F.col(key)]))
+        best = full.mapInArrow(lambda batches, asked=numbered: _nearest(batches, asked, top_k, key), schema)
+        found.append(_best(best, top_k, [F.col("distance"), F.col(key)]))
     return stack(found).select("qid", "rank", key, "distance")
 
 
-def text_embedder(chunks: DataFrame, size: int = 512) -> PipelineModel:
-    """Fit hashed term frequencies with inverse document frequencies, unit length."""
-    stages = [
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=size),
-        IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="_unit"),
-    ]
-    return Pipeline(stages=stages).fit(chunks.select("text"))
-
-
-def embed(rows: DataFrame, embedder: PipelineModel) -> DataFrame:
-    """Append ``embedding`` as an array of floats."""
-    done = embedder.transform(rows)
-    return done.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_words", "_tf", "_idf", "_unit")
-
-
-def embed_questions(questions: Sequence[str], embedder: PipelineModel, chunks: DataFrame) -> list[list[float]]:
-    """Vectors of a request's questions, in their order."""
-    spark = chunks.sparkSession
-    asked = spark.createDataFrame([(i, q) for i, q in enumerate(questions)], "qid int, text string")
-    return [r["embedding"] for r in embed(asked, embedder).orderBy("qid").collect()]
+def _nearest(batches: Iterator[pa.RecordBatch], asked: list, top_k: int, key: str) -> Iterator[pa.RecordBatch]:
+    """The ``top_k`` rows of each block of SCORED vectors for every query."""
+    queries = [(i, np.asarray(q, float)) for i, q in asked]
+    for batch in (part.slice(at, SCORED) for part in batches for at in range(0, part.num_rows, SCORED)):
+        size = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        for length in sorted({len(q) for _, q in queries}):
+            at = pa.array(np.flatnonzero(size == length))
+            keys, x = batch.column(0).take(at), pc.list_flatten(batch.column(1).take(at)).to_numpy(zero_copy_only=False).reshape(len(at), length)
+            for i, q in queries:
+                if len(q) == length and len(at):
+                    far = ((x - q) ** 2).sum(1)
+                    sorted_ = pc.sort_indices(pa.table({"d": far, "k": keys}), sort_keys=[("d", "ascending"), ("k", "ascending")])[:top_k]
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(sorted_), pa.int32()), keys.take(sorted_), pa.array(far).take(sorted_)], names=["qid", key, "distance"])
 
 
 def hits_with_text(hits: DataFrame, chunks: DataFrame, questions: Sequence[str], top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:

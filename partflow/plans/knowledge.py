@@ -10,7 +10,8 @@ from partflow import fixed_values as fv
 from partflow.operators.answers import answer_by_vectors, answer_questions
 from partflow.operators.narrate import assemble, domain_chunks, part_chunks, summary_chunk
 from partflow.operators.profile import part_profiles
-from partflow.operators.retrieve import check_top_k, embed, text_embedder
+from partflow.operators.embedding import embed, text_embedder
+from partflow.operators.retrieve import check_top_k
 from partflow.plans.forecast import Forecast
 from partflow.session import materialize
 from partflow.sources.tables import write_chunks

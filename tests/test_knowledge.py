@@ -1,11 +1,14 @@
 import json
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
-from partflow.operators import answers, narrate, profile, reports, retrieve
+from partflow.operators import answers, embedding, narrate, profile, reports, retrieve
 from partflow.operators.answers import answer_questions, answer_table, context_and_prompt
 from partflow.operators import features as ft
 from partflow.plans.forecast import run_forecast
@@ -276,19 +279,48 @@ def test_sales_header_decides(spark):
     assert sorted(((r["sales"], r["wm_yr_wk"]) for r in df.collect()), key=str) == [(3, 202401), (None, 202402)]
 
 
-def test_embedded_search_agrees_with_numpy(run):
-    import numpy as np
+def test_embedded_search_agrees_with_plain_cosines(spark, run):
+    chunks = run[2].select("id", "text")
+    odd = spark.createDataFrame([("x1", None), ("x2", ""), ("x3", "--"), ("x4", "Ärger ärger zwölf"), ("x5", "ärger")], "id string, text string")
+    chunks = chunks.unionByName(odd)
+    texts = {r["id"]: r["text"] for r in chunks.collect()}
 
-    chunks = run[2]
-    embedder = retrieve.text_embedder(chunks)
-    rows = retrieve.embed(chunks, embedder).select("id", "embedding").collect()
-    vectors = np.array([r["embedding"] for r in rows])
-    assert np.allclose(np.linalg.norm(vectors, axis=1), 1, atol=1e-5)
-    asked = retrieve.embed_questions(fv.SAMPLE_QUESTIONS, embedder, chunks)
-    hits = retrieve.vector_search(retrieve.embed(chunks, embedder), asked, 3).orderBy("qid", "rank").collect()
+    def split(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    often = Counter(t for text in texts.values() for t in set(split(text)))
+    numbers = {t: i for i, t in enumerate(sorted(often))}
+
+    def vector(text):
+        raw = {t: n * math.log((len(texts) + 1) / (often[t] + 1)) for t, n in Counter(split(text)).items() if t in often and often[t] < len(texts)}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / norm for t, w in raw.items()}
+
+    embedder = embedding.text_embedder(chunks)
+    embedded = embedding.embed(chunks, embedder)
+    for r in embedded.collect():
+        want = sorted((numbers[t], w) for t, w in vector(r["text"]).items())
+        assert [p["term"] for p in r["embedding"]] == [n for n, _ in want]
+        assert all(math.isclose(p["weight"], w, rel_tol=1e-9) for p, (_, w) in zip(r["embedding"], want))
+    asked = [*fv.SAMPLE_QUESTIONS, "ärger", "", "nothing9"]
+    hits = embedding.cosine_search(embedded, embedding.embed_questions(asked, embedder), 3).collect()
     for i, q in enumerate(asked):
-        far = np.sort(((vectors.astype(float) - np.array(q)) ** 2).sum(axis=1))[:3]
-        assert np.allclose([h["distance"] for h in hits if h["qid"] == i], far)
+        own = vector(q)
+        best = sorted((-round(sum(w * vector(t).get(k, 0) for k, w in own.items()), 9), key) for key, t in texts.items() if set(own) & set(vector(t)))[:3]
+        found = sorted((h["rank"], h["id"], h["cosine"]) for h in hits if h["qid"] == i)
+        assert [h[2] for h in found] == pytest.approx([-c for c, _ in best]) and [h[0] for h in found] == list(range(1, len(best) + 1))
+    assert {h["id"] for h in hits if h["qid"] == len(fv.SAMPLE_QUESTIONS)} == {"x4", "x5"}
+    none = embedding.text_embedder(chunks.limit(0))
+    assert embedding.embed(chunks.limit(0), none).collect() == []
+
+
+def test_vector_search_leaves_few_rows_a_block(spark, monkeypatch):
+    """Blocks of two vectors; null, short and incomplete vectors are no hits; ties go to the smaller key."""
+    monkeypatch.setattr(retrieve, "SCORED", 2)
+    rows = [(i, [float(i % 3), 1.0]) for i in range(20)] + [(30, None), (31, [1.0]), (32, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(3)
+    found = retrieve.vector_search(df, [[0.0, 1.0], [9.0]], 4).collect()
+    assert [(r["qid"], r["rank"], r["id"], r["distance"]) for r in sorted(found)] == [(0, k + 1, 3 * k, 0.0) for k in range(4)] + [(1, 1, 31, 64.0)]
 
 
 def test_empty_request(run):
