@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partflow.llm.common import discard
 from partflow.session import materialize
 
 
@@ -13,7 +14,7 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
 
     A round gives every node the smallest label around it and then the label of
     that label, so the rounds are few even on long chains. Every round is a
-    table; nothing is collected but one count.
+    table and replaces the one before; nothing is collected but one count.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
     both = materialize(both, "component-edges")
@@ -22,7 +23,9 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
         around = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         near = labels.join(around, labels["id"] == around["a"]).select("id", F.col("label").alias("was"), F.least("label", "near").alias("near"))
         up = labels.select(F.col("id").alias("near"), F.col("label").alias("above"))
-        labels = materialize(near.join(up, "near").select("id", "was", F.least("near", "above").alias("label")), "component-labels")
+        before, labels = labels, materialize(near.join(up, "near").select("id", "was", F.least("near", "above").alias("label")), "component-labels")
+        discard(before)
         if not labels.filter(F.col("label") < F.col("was")).limit(1).count():
+            discard(both)
             return labels.select("id", "label")
         labels = labels.select("id", "label")

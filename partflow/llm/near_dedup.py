@@ -1,14 +1,16 @@
 """Near duplicates: MinHash signatures under a multi-index Hamming join.
 
-A signature has LANES lanes of 16 bits, each from the smallest of the shingle
-hashes under its own permutation; two sets agree in a lane with the probability
-of their similarity. Signature distance is the number of lanes that differ. The
-lanes are split into CHUNKS chunks. By the pigeonhole, two signatures that
-differ in at most CHUNKS * (ERRORS + 1) - 1 lanes differ in at most ERRORS lanes
-of some chunk; so for every chunk all ways of leaving ERRORS lanes out are
+A signature has lanes of 16 bits, each from the smallest of the shingle hashes
+under its own permutation; two sets agree in a lane with the probability of
+their similarity. Signature distance is the number of lanes that differ. The
+lanes are split into chunks of CHUNK_LANES. By the pigeonhole, two signatures
+that differ in at most chunks * (ERRORS + 1) - 1 lanes differ in at most ERRORS
+lanes of some chunk; so for every chunk all ways of leaving ERRORS lanes out are
 listed as keys, and every pair within that distance shares a key, for certain.
-At a similarity of 0.80 a pair lies beyond the distance with a probability of
-about 2 in a million, at 0.85 of 2 in 100 million; closer pairs practically never.
+A key has four lanes, so texts of little likeness hardly ever meet: two sets of
+similarity 0.05 do with a probability of 7 in 10,000, of 0.01 of 1 in a million.
+The number of chunks follows from the threshold, so that a pair at it lies
+beyond the distance with a probability of at most LOSS.
 
 Equal sets are one node from the start. The pairs of a group are never listed:
 
@@ -16,9 +18,11 @@ Equal sets are one node from the start. The pairs of a group are never listed:
   it is in, and components of these first links are formed;
 * the sets of a hub are a group, and two groups meet if any bucket holds sets of
   both; groups that are one component already are done with;
-* groups that meet are cut into blocks, and a task compares two blocks: sets of
-  different components within the signature distance are confirmed. Only links
-  leave the task.
+* groups that meet are cut into blocks, and a task compares the signatures of two
+  blocks. Besides the lanes these have 64 bytes of further permutations, so sets
+  that are not alike stand out. Only sets that have a partner of another
+  component within both distances come again with their full sets, and only
+  confirmed links leave the task.
 
 All links are confirmed on the full shingle sets.
 """
@@ -27,10 +31,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.llm.common import discard, slices
@@ -40,10 +46,11 @@ from partflow.llm.words import U64, Words, hash_windows, hash_words, mix, split_
 from partflow.session import materialize
 
 SHINGLE, PERCENT = 5, 85
-CHUNKS, CHUNK_LANES, ERRORS = 6, 5, 2
-LANES = CHUNKS * CHUNK_LANES
-#: Largest signature distance at which a shared key is certain.
-REACH = CHUNKS * (ERRORS + 1) - 1
+CHUNK_LANES, ERRORS = 6, 2
+#: Most chunks; further lanes of a byte each, that no key is made of.
+MOST_CHUNKS, EXTRA = 12, 64
+#: Probability that a pair at the threshold is beyond a distance.
+LOSS = 4e-6
 #: A group travels in chunks of about so many sets; it is compared in so many
 #: blocks of whole chunks, or more so that none has more sets than the last.
 CHUNK_SETS, BLOCKS, BLOCK_MOST = 64, 10, 4096
@@ -52,6 +59,35 @@ DENSE_CELLS = 8_000_000
 _KEPT = [c for c in combinations(range(CHUNK_LANES), CHUNK_LANES - ERRORS)]
 
 
+class Layout(NamedTuple):
+    """Chunks, the largest distance of lanes at which a shared key is certain, and that of lanes and further bytes."""
+
+    chunks: int
+    reach: int
+    far: int
+
+    @property
+    def lanes(self) -> int:
+        return self.chunks * CHUNK_LANES
+
+
+def _beyond(lanes: int, distance: int, percent: int) -> float:
+    """Probability that more than ``distance`` of the lanes of a pair at the threshold differ."""
+    p = 1 - percent / 100
+    return sum(comb(lanes, k) * p**k * (1 - p) ** (lanes - k) for k in range(distance + 1, lanes + 1))
+
+
+def layout(percent: int) -> Layout:
+    """The fewest chunks whose certain distance a pair at the threshold practically never exceeds."""
+    def reach(chunks: int) -> int:
+        return chunks * (ERRORS + 1) - 1
+
+    chunks = next((c for c in range(2, MOST_CHUNKS) if _beyond(c * CHUNK_LANES, reach(c), percent) <= LOSS), MOST_CHUNKS)
+    every = chunks * CHUNK_LANES + EXTRA
+    far = next(d for d in range(every + 1) if _beyond(every, d, percent) <= LOSS / 100)
+    return Layout(chunks, reach(chunks), far)
+
+
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text of every shingle; a text of fewer words is one shingle."""
     hashes = hash_words(words)
@@ -86,14 +122,14 @@ def _reduced(ufunc, values: np.ndarray, starts: np.ndarray, full: np.ndarray) ->
     return out
 
 
-def _lanes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The signature of every set, a row of LANES lanes each."""
+def _lanes(h: np.ndarray, starts: np.ndarray, first: int, lanes: int) -> np.ndarray:
+    """The signature of every set, a row of lanes from number ``first`` on."""
     full = np.diff(starts) > 0
-    odd = mix(np.arange(1, LANES + 1, dtype=U64)) | U64(1)
+    odd = mix(np.arange(first + 1, first + lanes + 1, dtype=U64)) | U64(1)
     return np.column_stack([(mix(_reduced(np.minimum, mix(h ^ o) * o, starts, full)) >> U64(48)).astype(np.int32) for o in odd])
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
+def sketches(docs: DataFrame, size: int, lanes: int) -> DataFrame:
     """(id, n_shingles, hi, lo, lanes) of (id, text): 128 bits that name the set, and its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +137,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             h, starts = shingle_sets(batch.column("text"), size)
             full = np.diff(starts) > 0
             sums = [_reduced(np.add, mix(h * U64(k)), starts, full).view(np.int64) for k in (3, 5)]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(_lanes(h, starts).reshape(-1)), LANES).cast(pa.list_(pa.int32()))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(_lanes(h, starts, 0, lanes).reshape(-1)), lanes).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.diff(starts), pa.int64()), *map(pa.array, sums), lists], names=["id", "n_shingles", "hi", "lo", "lanes"]
             )
@@ -109,23 +145,24 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n_shingles long, hi long, lo long, lanes array<int>")
 
 
-def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(id, lanes, hashes) of (id, text), both as bytes."""
+def full_sets(docs: DataFrame, size: int, lanes: int) -> DataFrame:
+    """(id, size, lanes, extra, hashes) of (id, text); lanes of two bytes, further ones of one, hashes of eight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             h, starts = shingle_sets(batch.column("text"), size)
-            lanes = _lanes(h, starts).astype(np.uint16)
-            bodies = [[x.tobytes() for x in lanes], [h[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.binary()) for x in bodies)], names=["id", "lanes", "hashes"])
+            held = _lanes(h, starts, 0, lanes).astype(np.uint16), _lanes(h, starts, lanes, EXTRA).astype(np.uint8)
+            bodies = [[x.tobytes() for x in part] for part in held] + [[h[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]]
+            columns = [batch.column("id"), pa.array(np.diff(starts), pa.int32()), *(pa.array(x, pa.binary()) for x in bodies)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "lanes", "extra", "hashes"])
 
-    return docs.mapInArrow(run, "id long, lanes binary, hashes binary")
+    return docs.mapInArrow(run, "id long, size int, lanes binary, extra binary, hashes binary")
 
 
-def _keys(lanes: str) -> Column:
+def _keys(lanes: str, chunks: int) -> Column:
     """A hash of every chunk's lanes with ERRORS of them left out."""
-    lane = [F.col(lanes)[i] for i in range(LANES)]
-    return F.array(*[F.xxhash64(F.lit(c * len(_KEPT) + k), *[lane[c * CHUNK_LANES + i] for i in kept]) for c in range(CHUNKS) for k, kept in enumerate(_KEPT)])
+    lane = [F.col(lanes)[i] for i in range(chunks * CHUNK_LANES)]
+    return F.array(*[F.xxhash64(F.lit(c * len(_KEPT) + k), *[lane[c * CHUNK_LANES + i] for i in kept]) for c in range(chunks) for k, kept in enumerate(_KEPT)])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -156,38 +193,57 @@ def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y)], np.int64)
 
 
+SIGNED = ["rep", "label", "size", "lanes", "extra"]
+
+
 def _packed(group: pa.Table) -> pa.Table:
-    """A chunk's sets as one compressed row; like sets side by side take little room."""
-    held = group.select(["rep", "label", "lanes", "hashes"]).combine_chunks().to_batches()[0]
+    """A chunk's signatures as one compressed row."""
+    held = group.select(SIGNED).combine_chunks().to_batches()[0]
     return pa.table({"hub": group.column("hub")[:1], "chunk": group.column("chunk")[:1], "body": pa.array([pack(held)], pa.binary())})
 
 
-def _block_links(unit: pa.Table, percent: int) -> pa.Table:
-    """Links between the two blocks of a unit (or within one): pairs of different labels."""
+def _near(group: pa.Table, left: np.ndarray, right: np.ndarray, plan: Layout, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For every set on the left, those on the right of another label, of a fitting size and within the distances."""
+    label, size = (group.column(c).to_numpy().astype(np.int64) for c in ("label", "size"))
+    lanes = np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in group.column("lanes")]).reshape(-1, plan.lanes)
+    extra = np.array([np.frombuffer(v.as_buffer(), np.uint8) for v in group.column("extra")]).reshape(-1, EXTRA)
+    others = np.flatnonzero(right)
+    for i in np.flatnonzero(left):
+        j = others[(label[others] != label[i]) & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
+        apart = (lanes[j] != lanes[i]).sum(1)
+        j, apart = j[apart <= plan.reach], apart[apart <= plan.reach]
+        yield i, j[apart + (extra[j] != extra[i]).sum(1) <= plan.far]
+
+
+def _near_members(unit: pa.Table, plan: Layout, percent: int) -> pa.Table:
+    """The sets of a unit that have a near one of another label on the other side."""
     chunks = [unpack(body.as_py()) for body in unit.column("body")]
     group = pa.Table.from_batches(chunks)
     sizes = [c.num_rows for c in chunks]
     left, right = (np.repeat(unit.column(c).to_numpy(zero_copy_only=False).astype(bool), sizes) for c in ("left", "right"))
-    ids, label = group.column("rep").to_numpy(), group.column("label").to_numpy()
-    sets = [np.frombuffer(v.as_buffer(), U64) for v in group.column("hashes")]
-    lanes = np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in group.column("lanes")]).reshape(len(sets), LANES)
-    size = np.array([len(v) for v in sets])
-    found: list[tuple] = []
-    rows, others = np.flatnonzero(left), np.flatnonzero(right)
-    for i in rows:
-        j = others[(label[others] != label[i]) & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
-        found.append((np.full(len(j), i), j))
+    one, two = np.zeros(len(left), bool), np.zeros(len(left), bool)
+    for i, j in _near(group, left, right, plan, percent):
+        one[i] |= len(j) > 0
+        two[j] = True
+    at = np.flatnonzero(one | two)
+    return pa.table({"unit": pa.array([unit.column("unit")[0].as_py()] * len(at), pa.int64()), "rep": group.column("rep").take(pa.array(at)), "label": group.column("label").take(pa.array(at)), "left": pa.array(one[at]), "right": pa.array(two[at])})
+
+
+def _unit_links(group: pa.Table, plan: Layout, percent: int) -> pa.Table:
+    """Links between the near sets of a unit, on their full sets."""
+    group = group.combine_chunks()
+    left, right = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("left", "right"))
+    ids, size = group.column("rep").to_numpy(), group.column("size").to_numpy().astype(np.int64)
+    found = [(np.full(len(j), i), j) for i, j in _near(group, left, right, plan, percent)]
     x, y = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
-    near = (lanes[x] != lanes[y]).sum(1) <= REACH
-    x, y = x[near], y[near]
     if len(x):
-        both = _common(sets, x, y)
+        both = _common([np.frombuffer(v.as_buffer(), U64) for v in group.column("hashes")], x, y)
         ok = 100 * both >= percent * (size[x] + size[y] - both)
         x, y = x[ok], y[ok]
     return pa.table({"a": pa.array(ids[x]), "b": pa.array(ids[y])})
 
 
-def _met_blocks(sets: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _met_blocks(sets: DataFrame, groups: DataFrame, members: DataFrame, plan: Layout, percent: int) -> DataFrame:
     """Links (a, b) between sets of different labels whose groups meet.
 
     ``groups`` has hub and label of every set, ``members`` the buckets.
@@ -211,11 +267,17 @@ def _met_blocks(sets: DataFrame, groups: DataFrame, members: DataFrame, percent:
     used = sides.select("hub").distinct()
     placed = groups.join(sized.select("hub", "chunks"), "hub").join(used, "hub", "left_semi")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks").cast("long")).cast("int"))
-    rows = placed.select("hub", "chunk", "rep", "label").join(sets.withColumnRenamed("id", "rep"), "rep")
+    signed = sets.select(F.col("id").alias("rep"), "size", "lanes", "extra")
+    rows = placed.select("hub", "chunk", "rep", "label").join(signed, "rep")
     packed = materialize(rows.groupBy("hub", "chunk").applyInArrow(_packed, "hub long, chunk int, body binary"), "near-chunks")
     blocked = packed.join(sized.select("hub", "blocks"), "hub").withColumn("block", F.col("chunk") % F.col("blocks"))
     held = sides.join(blocked, ["hub", "block"]).select("unit", "left", "right", "body")
-    return held.groupBy("unit").applyInArrow(lambda unit: _block_links(unit, percent), "a long, b long")
+    schema = "unit long, rep long, label long, left boolean, right boolean"
+    near = materialize(held.groupBy("unit").applyInArrow(lambda unit: _near_members(unit, plan, percent), schema), "near-members")
+    whole = near.join(sets.withColumnRenamed("id", "rep"), "rep")
+    links = materialize(whole.groupBy("unit").applyInArrow(lambda unit: _unit_links(unit, plan, percent), "a long, b long"), "near-links")
+    discard(hubs, units, packed, near)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -230,7 +292,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     all of them are kept or none. Other columns take no part.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    made = materialize(sketches(rows, size), "near-sketches")
+    plan = layout(percent)
+    made = materialize(sketches(rows, size, plan.lanes), "near-sketches")
     nodes = made.filter("id is not null and n_shingles > 0")
 
     # One representative of each distinct set.
@@ -238,9 +301,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         nodes.groupBy("n_shingles", "hi", "lo").agg(F.min("id").alias("rep"), F.min("lanes").alias("lanes")), "near-classes"
     )
     # An id with several texts may represent several sets; its parts are linked by the id itself.
-    keyed = materialize(classes.select("rep", "n_shingles", "lanes", F.explode(_keys("lanes")).alias("key")).select("key", "rep"), "near-keys")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"), F.max("rep").alias("last")).filter("first < last")
-    members = materialize(keyed.join(shared.select("key", "n"), "key"), "near-members")
+    keyed = classes.select("rep", F.explode(_keys("lanes", plan.chunks)).alias("key"))
+    often = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    members = materialize(keyed.select("key", "rep", often.alias("n")).filter("n > 1"), "near-members")
     wanted = materialize(members.groupBy("rep").agg(F.sum("n").alias("popular")), "near-popular")
     sets = materialize(full_sets(rows.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi"), size), "near-sets")
 
@@ -256,11 +319,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     # Then the sets of different components, block against block of groups that meet.
     groups = hub.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "hub", F.coalesce("label", "rep").alias("label"))
     groups = materialize(groups, "near-groups")
-    links = links.unionByName(_met_blocks(sets, groups, members, percent))
+    links = links.unionByName(_met_blocks(sets, groups, members, plan, percent))
 
     same = nodes.join(classes.select("n_shingles", "hi", "lo", "rep"), ["n_shingles", "hi", "lo"]).select(F.col("rep").alias("a"), F.col("id").alias("b")).filter("a <> b")
     found = smallest_reachable(links.unionByName(same.distinct()))
-    discard(keyed, members, wanted, sets, hub, groups)
+    discard(classes, members, wanted, sets, hub, groups)
     joined = made.select("id", "n_shingles").join(found, "id", "left")
     component = F.coalesce("label", "id")
     return joined.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
