@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm import recurring as R
-from partflow.llm.common import discard, with_fields
+from partflow.llm.common import with_fields
 from partflow.llm.words import U64, join, mix, text_bytes
 from partflow.session import materialize
 
@@ -194,6 +194,15 @@ def _sides(piece: Piece, at: np.ndarray) -> tuple[np.ndarray, ...]:
     return *out, most, least
 
 
+def _folded(left: np.ndarray, right: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """A hash of the bytes on both sides; the shifts tell bytes beyond the text from zeros."""
+    out = most.astype(U64) << U64(8) | least.astype(U64)
+    for side in (left, right):
+        part = side.view("<u4").astype(U64)
+        out = join(join(out, part[:, 0] | (part[:, 1] << U64(32))), part[:, 2])
+    return out
+
+
 def _words(side: np.ndarray, table: np.ndarray) -> np.ndarray:
     out = np.zeros(len(side), U64)
     for j in range(SIDE):
@@ -218,8 +227,7 @@ def block_records(piece: Piece, ranked: Ranked, ranks: np.ndarray) -> Records:
     go = ranks[ranked.place] > 0
     at, place = ranked.at[go], ranked.place[go]
     left, right, most, least = _sides(piece, at)
-    # Bytes beyond the text are told from zeros by the shifts.
-    sides = join(_words(left, _LEFT) + most.astype(U64), _words(right, _RIGHT) + least.astype(U64))
+    sides = _folded(left, right, most, least)
     # Place first, then 40 bits of the sides: rows that differ may only come twice, never merge.
     key = (place.astype(U64) << U64(40)) | (sides >> U64(24))
     order = np.argsort(key)
@@ -263,7 +271,7 @@ def smaller_elsewhere(rows: np.ndarray) -> np.ndarray:
         return bits
     rank, most, least = rows["rank"].astype(U64), rows["most"].astype(U64), rows["least"].astype(U64)
     left, right = np.ascontiguousarray(rows["left"]), np.ascontiguousarray(rows["right"])
-    kind, one, doc = _least(rank, join(_words(left, _LEFT) + most, _words(right, _RIGHT) + least), rows["doc"])
+    kind, one, doc = _least(rank, _folded(left, right, most, least), rows["doc"])
     bits[doc[kind] < rows["doc"]] = (1 << STEP) - 1
     _, number, often = np.unique(rank[one], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(often[number] > 1)
@@ -407,8 +415,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str
         ranks.append(_answers(R.each_batch(bodies, sample(block), R.RANGE_SCHEMA), _rank_bucket, "suffix-ranks"))
         asked = _with_answers(bodies, ranks=ranks[-1])
         ties.append(_answers(R.each_batch(asked, tied(block), R.RANGE_SCHEMA), _tie_bucket, "suffix-ties"))
-    joined = materialize(_with_answers(bodies, ranks=reduce(DataFrame.unionByName, ranks), ties=reduce(DataFrame.unionByName, ties)), "suffix-answered")
-    discard(batches, *ranks, *ties)
+    joined = _with_answers(bodies, ranks=reduce(DataFrame.unionByName, ranks), ties=reduce(DataFrame.unionByName, ties))
 
     def cover(row: dict, part: pa.RecordBatch) -> np.ndarray:
         ranks, ties = _by_piece(row["ranks"]), _by_piece(row["ties"])
