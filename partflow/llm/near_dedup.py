@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     often = F.count(F.lit(1)).over(Window.partitionBy("key"))
     members = materialize(keyed.select("key", "rep", often.alias("n")).filter("n > 1"), "near-members")
     wanted = materialize(members.groupBy("rep").agg(F.sum("n").alias("popular")), "near-popular")
-    sets = materialize(full_sets(rows.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi"), size), "near-sets")
+    sets = materialize(full_sets(rows.join(wanted.select(F.col("rep").alias("id")), "id", "left_semi"), size, plan.lanes), "near-sets")
 
     # First links: every set with its hub, the most popular of the centres it shares keys with.
     ranked = members.select("key", "rep").join(wanted, "rep")
