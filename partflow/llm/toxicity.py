@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm.common import slices, with_fields
+from partflow.session import materialize
 
 #: Documented bound: labelled examples of each class.
 EXAMPLES = 10_000
@@ -90,14 +91,14 @@ class Index:
         often = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:FREQUENT]
         self.place = np.full(terms, -1, np.int32)
         self.place[often] = np.arange(len(often))
-        column = self.place[term]
-        inside = column >= 0
+        inside = self.place[term] >= 0
         self.matrix = np.zeros((len(often), len(ids)), np.float32)
-        self.matrix[column[inside], rows[inside]] = value[inside]
-        order = np.flatnonzero(~inside)
-        order = order[np.argsort(term[order], kind="stable")]
-        self.row, self.value = rows[order].astype(np.int32), value[order]
-        self.first = np.searchsorted(term[order], np.arange(terms + 1))
+        self.matrix[self.place[term[inside]], rows[inside]] = value[inside]
+        # What lies in the matrix goes before the rest is sorted: the sample may have many terms.
+        rows, term, value = rows[~inside].astype(np.int32), term[~inside].astype(np.int32), value[~inside]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+        order = np.argsort(term, kind="stable").astype(np.int32)
+        self.row, self.value = rows[order], value[order]
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k rows of the largest cosine above 0: (cosine, row), ties by row."""
@@ -128,9 +129,15 @@ class Index:
         return cosine[best], rows[best]
 
 
-def _unit(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
-    """Values of vectors, each divided by its vector's length."""
-    return value / np.sqrt(np.bincount(row, value * value, rows))[row]
+def _unit(term: np.ndarray, count: np.ndarray, weighs: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Weights of the terms of vectors of unit length; a vector's terms lie from its place in ``first`` on."""
+    value = np.log(count)
+    value += 1
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        part = value[a:b]
+        part *= weighs[term[a:b]]
+        part /= np.sqrt(part @ part)
+    return value
 
 
 def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -146,7 +153,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
 
     Null labels and ids take no part, an id labelled twice counts as toxic if one
     label is. A labelled id without a document is no example, one with several
-    rows gives an example for each. Without labels the model scores 0.
+    rows gives one with the least of their texts. Without labels the model scores 0.
     """
     spark = docs.sparkSession
     sample, sizes = _sample(labels, examples)
@@ -156,6 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     # At most 2 * examples rows.
     picked = spark.createDataFrame(sample.collect(), "doc_id long, label int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
+    texts = materialize(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -216,10 +224,11 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     no_term = (sum(weight[x] * x for x in bare) + SMOOTH * prior) / (weighed + SMOOTH)
     if not full.any():
         return Model(words, weighs, None, prior, no_term)
-    row = np.repeat(np.arange(full.sum()), sizes_of[full])
+    kept = sizes_of[full]
+    row = np.repeat(np.arange(full.sum(), dtype=np.int32), kept)
     term = pa.compute.list_flatten(rows.column("terms")).to_numpy()
-    value = (1 + np.log(pa.compute.list_flatten(rows.column("counts")).to_numpy())) * weighs[term]
-    value = _unit(row, value, int(full.sum()))
+    value = _unit(term, pa.compute.list_flatten(rows.column("counts")).to_numpy(), weighs, np.concatenate([[0], np.cumsum(kept)]))
+    del rows
     index = Index.of_postings(row, term, value, ids[full], labels_of[full], np.array([weight[x] for x in labels_of[full].tolist()]), len(words))
     return Model(words, weighs, index, prior, no_term)
 

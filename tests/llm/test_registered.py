@@ -29,7 +29,7 @@ def test_pipeline_stages(spark, docs, texts):
         assert stage(spark, before.limit(0), SF_DIR).collect() == []
     first = corpus_pipeline.near_duplicate_documents(spark, before, SF_DIR).collect()
     ids = [r["doc_id"] for r in first]
-    assert 8 in ids and None in ids and not {9, 11, 12, 13} & set(ids)
+    assert 8 in ids and not {None, 9, 11, 12, 13} & set(ids)
     cut = {r["doc_id"]: r for r in corpus_pipeline.repeated_passages(spark, before, SF_DIR).collect() if r["doc_id"] is not None}
     assert cut[8]["text"] == "" and cut[8]["n_chars"] == 0 and cut[0]["text"] is None
     assert cut[3]["text"] == texts[3]
@@ -48,7 +48,7 @@ def test_pipeline_drops_near_duplicates_from_80_percent(spark):
 def test_pipeline_keeps_one_of_repeated_rows(spark):
     """Rows of one id, and copies without an id, stay once, and so keep their text in the next stage."""
     text = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abc"}
-    rows = [(1, text["a"]), (1, text["a"]), (None, text["b"]), (None, text["b"]), (3, text["c"]), (2, text["c"] + " end"), (2, "other"), (4, ""), (4, None)]
+    rows = [(1, text["a"]), (1, text["a"]), (None, text["b"]), (None, text["b"]), (None, text["a"]), (3, text["c"]), (2, text["c"] + " end"), (2, "other"), (4, ""), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     once = corpus_pipeline.near_duplicate_documents(spark, docs, SF_DIR)
     want = [(1, text["a"]), (2, "other"), (2, text["c"] + " end"), (4, ""), (4, None), (None, text["b"])]
