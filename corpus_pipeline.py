@@ -41,7 +41,7 @@ def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """One row of each group of near duplicates stays: the smallest id's first.
 
     Rows are compared one by one, under keys of their own that are written once.
-    Copies without an id leave one row too, beside the row with an id if there is one.
+    A row without an id only stays if no row of its group has one.
     """
     plain, text, back = _shielded(docs)
     rows = materialize(plain.withColumn("row", F.monotonically_increasing_id()), "near-rows")
@@ -49,7 +49,8 @@ def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
     groups = found.filter("not kept").select("component_id").distinct()
     linked = found.select("row", "component_id").join(groups, "component_id", "left_semi")
     linked = materialize(linked.join(rows.select("row", F.col(f"c{docs.columns.index('doc_id')}").alias("id")), "row"), "near-linked")
-    first = linked.groupBy("component_id", F.col("id").isNull()).agg(F.min(F.struct("id", "row")).alias("first")).select("first.row")
+    order = F.struct(F.col("id").isNull().alias("bare"), F.col("id").alias("id"), F.col("row").alias("row"))
+    first = linked.groupBy("component_id").agg(F.min(order).alias("first")).select("first.row")
     gone = materialize(linked.join(first, "row", "left_anti").select("row"), "near-gone")
     return rows.join(gone, "row", "left_anti").select(*back)
 
