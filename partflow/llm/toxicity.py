@@ -25,6 +25,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +42,22 @@ FLOOR, SMOOTH = 0.05, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def term_hash(term: str) -> int:
+    """A term's name in the vocabulary: 63 bits, so that a million terms take 8 MB and no two meet."""
+    return xxhash.xxh64_intdigest(term.encode()) >> 1
+
+
 class _Terms(dict):
     """Word to the vocabulary ids of its terms; words seen are kept, within a bound."""
 
-    def __init__(self, vocabulary: dict[str, int]):
+    def __init__(self, vocabulary: np.ndarray):
         super().__init__()
         self.vocabulary = vocabulary
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        found = tuple(self.vocabulary[t] for t in _terms(word) if t in self.vocabulary)
+        names = [term_hash(t) for t in _terms(word)]
+        places = zip(np.searchsorted(self.vocabulary, names).tolist(), names)
+        found = tuple(at for at, name in places if at < len(self.vocabulary) and self.vocabulary[at] == name)
         if len(self) < 200_000:
             self[word] = found
         return found
@@ -64,7 +72,8 @@ def _words(text: str | None) -> list[str]:
 
 
 class Model(NamedTuple):
-    vocabulary: dict[str, int]
+    #: Hashes of all terms, sorted; a term's id is its place.
+    vocabulary: np.ndarray
     weight: np.ndarray
     index: "Index | None"
     prior: float
@@ -171,20 +180,20 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
             for body, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 seen[label].update({t for w in set(_words(body)) for t in _terms(w)})
             terms = sorted({*seen[0], *seen[1]})
-            yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.string()), "clean": pa.array([seen[0][t] for t in terms], pa.int64()), "toxic": pa.array([seen[1][t] for t in terms], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"term": pa.array([term_hash(t) for t in terms], pa.int64()), "clean": pa.array([seen[0][t] for t in terms], pa.int64()), "toxic": pa.array([seen[1][t] for t in terms], pa.int64())})
 
     n0, n1 = (float(max(1, sizes.get(c, (0, 0))[1])) for c in (0, 1))
-    counts = texts.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = texts.mapInArrow(count, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     clean, toxic = F.col("clean"), F.col("toxic")
     all_texts, held = n0 + n1, clean + toxic
     phi = F.abs(toxic * n0 - clean * n1) / F.sqrt(n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
     # At most the terms of the sample's texts.
     told = counts.select("term", phi.alias("phi")).toArrow().sort_by("term")
-    words = {term: i for i, term in enumerate(told.column("term").to_pylist())}
+    words = told.column("term").to_numpy()
     tells = FLOOR + np.minimum(told.column("phi").to_numpy(), 1.0)
     del told
-    if not words:
-        return Model({}, np.zeros(0), None, prior, prior)
+    if not len(words):
+        return Model(words, np.zeros(0), None, prior, prior)
     # Sent once for both passes.
     sent = spark.sparkContext.broadcast(words)
 

@@ -114,7 +114,7 @@ def test_toxicity_learns_and_keeps_rows(spark, docs, empty):
     known = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(150)] + [(None, 1), (3, None), (9999, 1)], "doc_id long, label int")
     model = toxicity.learn(known, labels)
-    assert "nasty" in model.vocabulary
+    assert toxicity.term_hash("nasty") in model.vocabulary.tolist()
     got = {r["doc_id"]: r for r in toxicity.score(known, model).collect()}
     assert all(got[i]["predicted"] == int(i % 5 == 0) for i in range(150, 200))
     assert all(e["cosine"] > 0 and e["label"] == 1 for e in got[155]["evidence"]) and got[155]["evidence"]
