@@ -6,18 +6,23 @@ frequencies are counted over all documents. A term's weight is TF-IDF times how
 well it tells the labels apart (its phi coefficient, which does not grow with
 the table, and a floor), so no term and no text is left out.
 
-The labelled texts make an inverted index. The most frequent terms lie apart as
-a matrix in single precision. Documents are searched some at a time: one matrix
-product gives what the frequent terms add, the postings of all others are added
-up, and every text whose sum comes within the product's error of the k-th is
-worked out in double precision, so the neighbours are exact and no bound leaves
-a text out. Votes are weighted by cosine and by what share of its class the sample
-holds, and smoothed towards the overall rate.
+The labelled texts make an inverted index, a table that tasks write, sorted by
+term. Texts alike lie next to each other, in blocks. The most frequent terms lie
+apart as a matrix in single precision: one matrix product for some documents at
+a time gives what they add to every text. Short posting lists are added up as
+they are, of long ones first only each block's largest value. The best blocks
+by this bound are summed up in full and give a least k-th cosine; of the others
+only those are whose bound reaches it. What comes within the product's error of
+the k-th is summed up again in double precision, so no bound loses a neighbour;
+the matrix holds single-precision weights, so cosines are exact to about 1e-7.
+Votes are weighted by cosine and by what share of its class the sample holds,
+and smoothed towards the overall rate.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,6 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.parquet
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +43,10 @@ EXAMPLES = 10_000
 NEIGHBOURS, STEM = 15, 5
 #: Terms of the index's matrix; documents searched at a time; more than the product's error.
 FREQUENT, AT_ONCE, ERROR = 512, 32, 1e-5
+#: Rows of a block; least rows of a list with block maxima; blocks that give the first bound; texts that blocks are made around.
+BLOCK, LONG, FIRST, LEADERS = 64, 64, 8, 128
+#: Texts a task keeps the neighbours of, for copies.
+KEPT = 20_000
 #: Weight of a term that tells nothing about the label; smoothing.
 FLOOR, SMOOTH = 0.05, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -75,39 +85,62 @@ class Model(NamedTuple):
     #: Hashes of all terms, sorted; a term's id is its place.
     vocabulary: np.ndarray
     weight: np.ndarray
-    index: "Index | None"
+    index: "Stored | None"
     prior: float
     no_term: float
 
 
 class Index:
-    """Inverted index over unit vectors, its most frequent terms as a matrix."""
+    """Inverted index over unit vectors: a matrix of the most frequent terms, short lists, long lists in blocks of rows."""
 
     def __init__(self, vectors: list[dict[int, float]], ids: np.ndarray, labels: np.ndarray, weights: np.ndarray, terms: int):
-        rows = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
-        term = np.array([t for v in vectors for t in v], np.int64)
-        self._build(rows, term, np.array([x for v in vectors for x in v.values()], float), ids, labels, weights, terms)
+        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v) for v in vectors])
+        term = np.array([t for v in vectors for t in v], np.int32)
+        order = np.lexsort((rows, term))
+        value = np.array([x for v in vectors for x in v.values()], float)[order]
+        held = np.bincount(term, minlength=terms)
+        self._build([(term[order], rows[order], value)], held, ids, labels, weights)
 
     @classmethod
     def of_postings(cls, *postings) -> Index:
-        """From (row, term, value) arrays instead of dictionaries."""
+        """From parts of (term, row, value) arrays in the order of terms and rows instead of dictionaries."""
         index = cls.__new__(cls)
         index._build(*postings)
         return index
 
-    def _build(self, rows, term, value, ids, labels, weights, terms: int) -> None:
+    def _build(self, parts, held: np.ndarray, ids: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> None:
         self.ids, self.labels, self.weights = ids, labels, weights
-        often = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:FREQUENT]
-        self.place = np.full(terms, -1, np.int32)
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        self.place = np.full(len(held), -1, np.int32)
         self.place[often] = np.arange(len(often))
-        inside = self.place[term] >= 0
         self.matrix = np.zeros((len(often), len(ids)), np.float32)
-        self.matrix[self.place[term[inside]], rows[inside]] = value[inside]
-        # What lies in the matrix goes before the rest is sorted: the sample may have many terms.
-        rows, term, value = rows[~inside].astype(np.int32), term[~inside].astype(np.int32), value[~inside]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
-        order = np.argsort(term, kind="stable").astype(np.int32)
-        self.row, self.value = rows[order], value[order]
+        size = held.copy()
+        size[often] = 0
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.row, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
+        at = 0
+        for term, row, value in parts:
+            inside = self.place[term] >= 0
+            self.matrix[self.place[term[inside]], row[inside]] = value[inside]
+            row, value = row[~inside], value[~inside]
+            self.row[at : at + len(row)], self.value[at : at + len(row)] = row, value
+            at += len(row)
+        # Blocks of long lists: where each begins, which rows it is of, its largest value.
+        self.long = size >= LONG
+        starts, blocks, tops, self.entry = [], [], [], np.zeros(len(held) + 1, np.int64)
+        for t in np.flatnonzero(self.long).tolist():
+            block = self.row[self.first[t] : self.first[t + 1]] // BLOCK
+            start = np.flatnonzero(np.diff(block, prepend=-1))
+            starts.append((start + self.first[t]).astype(np.int32))
+            blocks.append(block[start])
+            tops.append(np.maximum.reduceat(self.value[self.first[t] : self.first[t + 1]], start))
+            self.entry[t + 1] = len(start)
+        self.entry = np.cumsum(self.entry)
+        none = np.zeros(0, np.int32)
+        self.start, self.block = np.concatenate([none, *starts]), np.concatenate([none, *blocks])
+        self.top = np.concatenate([np.zeros(0), *tops])
+        self.stop = np.concatenate([self.start[1:], self.start[:1]])
+        self.stop[self.entry[1:][self.long] - 1] = self.first[1:][self.long]
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k rows of the largest cosine above 0: (cosine, row), ties by row."""
@@ -123,30 +156,80 @@ class Index:
         return [self._best(*query, q, sums, k) for query, q, sums in zip(queries, often, often @ self.matrix)]
 
     def _best(self, term: np.ndarray, weight: np.ndarray, often: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        n, rare = len(self.ids), self.place[term] < 0
-        spans = [slice(a, b) for a, b in zip(self.first[term[rare]].tolist(), self.first[term[rare] + 1].tolist())]
-        score = np.zeros(n)
-        if spans:
-            value = np.concatenate([self.value[at] for at in spans])
-            value *= np.repeat(weight[rare], [at.stop - at.start for at in spans])
-            score = np.bincount(np.concatenate([self.row[at] for at in spans]), value, n)
+        n = len(self.ids)
+        rare, long = self.place[term] < 0, self.long[term]
+        score = self._added(self.first, self.row, self.value, term[rare & ~long], weight[rare & ~long])
+        entries, of = _spans(self.entry, term[long], weight[long])
+        block = self.block[entries]
+        bound = np.bincount(block, self.top[entries] * of, -(-n // BLOCK))
         about = score + sums
-        kth = np.partition(about, n - k)[n - k] if n > k else 0.0
-        rows = np.flatnonzero((about >= kth - ERROR) & (about > 0))
+        reach = np.maximum.reduceat(about, np.arange(0, n, BLOCK)) + bound
+        wanted = np.zeros(len(reach), bool)
+        wanted[np.argpartition(-reach, FIRST)[:FIRST] if len(reach) > FIRST else slice(None)] = True
+        score += self._within(wanted[block], entries, of)
+        if len(reach) > FIRST:
+            known = (score + sums)[np.repeat(wanted, BLOCK)[:n]]
+            least = np.partition(known, len(known) - k)[len(known) - k] if len(known) > k else 0.0
+            further = (reach >= least - ERROR) & (reach > 0) & ~wanted
+            score += self._within(further[block], entries, of)
+            wanted |= further
+        at = np.flatnonzero(np.repeat(wanted, BLOCK)[:n])
+        about = score[at] + sums[at]
+        kth = np.partition(about, len(at) - k)[len(at) - k] if len(at) > k else 0.0
+        rows = at[(about >= kth - ERROR) & (about > 0)]
         cosine = np.round(score[rows] + often.astype(float) @ self.matrix[:, rows], 12)
         best = np.lexsort((rows, -cosine))[:k]
         return cosine[best], rows[best]
 
+    def _added(self, first, row, value, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What whole lists add to every row."""
+        places, of = _spans(first, term, weight)
+        return np.bincount(row[places], value[places] * of, len(self.ids)).astype(float, copy=False)
 
-def _unit(term: np.ndarray, count: np.ndarray, weighs: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Weights of the terms of vectors of unit length; a vector's terms lie from its place in ``first`` on."""
-    value = np.log(count)
-    value += 1
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        part = value[a:b]
-        part *= weighs[term[a:b]]
-        part /= np.sqrt(part @ part)
-    return value
+    def _within(self, wanted: np.ndarray, entries: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """What the wanted blocks of long lists add to every row."""
+        entries, of = entries[wanted], of[wanted]
+        places, of = _ranges(self.start[entries], self.stop[entries], of)
+        return np.bincount(self.row[places], self.value[places] * of, len(self.ids)).astype(float, copy=False)
+
+
+def _ranges(start: np.ndarray, stop: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of ranges, and their range's weight."""
+    size = (stop - start).astype(np.int64)
+    ends = np.cumsum(size)
+    shift = np.repeat(start - (ends - size), size)
+    shift += np.arange(len(shift))
+    return shift, np.repeat(weight, size)
+
+
+def _spans(first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _ranges(first[term], first[term + 1], weight)
+
+
+class Stored(NamedTuple):
+    """An index as the files of its sorted postings (term, row, count), a few bytes each, and what its rows are."""
+
+    files: list[bytes]
+    #: Texts of the sample that have each term.
+    held: np.ndarray
+    #: Length of each row's vector before it is divided by it.
+    norm: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    weights: np.ndarray
+
+    def load(self, weigh: np.ndarray) -> Index:
+        return Index.of_postings(self._parts(weigh), self.held, self.ids, self.labels, self.weights)
+
+    def _parts(self, weigh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for file in self.files:
+            for batch in pyarrow.parquet.ParquetFile(pa.BufferReader(file)).iter_batches(1 << 19):
+                term, row, count = (batch.column(c).to_numpy() for c in ("term", "row", "count"))
+                yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
+
+
+#: The index a worker has open: its broadcast's number and itself.
+_open: dict[int, Index] = {}
 
 
 def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -188,13 +271,14 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     all_texts, held = n0 + n1, clean + toxic
     phi = F.abs(toxic * n0 - clean * n1) / F.sqrt(n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
     # At most the terms of the sample's texts.
-    told = counts.select("term", phi.alias("phi")).toArrow().sort_by("term")
+    told = counts.select("term", phi.alias("phi"), held.cast("int").alias("held")).toArrow().sort_by("term")
     words = told.column("term").to_numpy()
     tells = FLOOR + np.minimum(told.column("phi").to_numpy(), 1.0)
+    held = told.column("held").to_numpy().astype(np.int64)
     del told
     if not len(words):
         return Model(words, np.zeros(0), None, prior, prior)
-    # Sent once for both passes.
+    # Sent once for all passes.
     sent = spark.sparkContext.broadcast(words)
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,31 +299,79 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Terms(sent.value)
+        for batch in slices(batches, "text"):
+            found = [_counted(known, b) for b in batch.column("text").to_pylist()]
+            columns = [pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *columns], names=["doc_id", "label", "terms", "counts"])
+
+    ddl = "doc_id long, label int, terms array<int>, counts array<int>"
+    sparse = materialize(texts.mapInArrow(vectors, ddl), "toxicity-vectors")
+    often = np.argsort(-held, kind="stable")[:FREQUENT]
+    rows = _rows(sparse, weighs, often)
+    bare = rows.filter(pa.compute.equal(rows.column("norm"), 0.0)).column("label").to_pylist()
+    weighed = sum(weight[x] for x in bare)
+    no_term = (sum(weight[x] * x for x in bare) + SMOOTH * prior) / (weighed + SMOOTH)
+    rows = rows.filter(pa.compute.greater(rows.column("norm"), 0.0)).sort_by([("leader", "ascending"), ("doc_id", "ascending")])
+    sent.unpersist()
+    if not rows.num_rows:
+        return Model(words, weighs, None, prior, no_term)
+    ids, labels_of = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy().astype(np.int64)
+    # At most the sample's rows.
+    places = spark.createDataFrame(pa.table({"doc_id": ids, "row": np.arange(len(ids), dtype=np.int32)}))
+    single = sparse.join(F.broadcast(places), "doc_id").select("row", F.explode(F.arrays_zip("terms", "counts")).alias("_"))
+    sorted_ = single.select(F.col("_.terms").alias("term"), "row", F.col("_.counts").alias("count")).orderBy("term", "row")
+    stored = materialize(sorted_, "toxicity-postings")
+    # A few bytes for each posting of the sample.
+    files = spark.read.format("binaryFile").load(stored.inputFiles()).select("path", "content").toArrow().sort_by("path").column("content").to_pylist()
+    weights = np.array([weight[x] for x in labels_of.tolist()])
+    return Model(words, weighs, Stored(files, held, rows.column("norm").to_numpy(), ids, labels_of, weights), prior, no_term)
+
+
+def _counted(known: _Terms, text: str | None) -> dict[int, int]:
+    """The vocabulary ids of a text's terms and how often it has them."""
+    counts: dict[int, int] = {}
+    for word, n in Counter(_words(text)).items():
+        for t in known[word]:
+            counts[t] = counts.get(t, 0) + n
+    return counts
+
+
+def _rows(sparse: DataFrame, weigh: np.ndarray, often: np.ndarray) -> pa.Table:
+    """(doc_id, label, norm, leader) of every vector; the leader is the likest of some by the most frequent terms."""
+    sent = sparse.sparkSession.sparkContext.broadcast((weigh, often))
+
+    def dense(terms: np.ndarray, counts: np.ndarray, place: np.ndarray, weigh: np.ndarray, size: int) -> tuple[float, np.ndarray]:
+        value = (1 + np.log(counts)) * weigh[terms]
+        norm, row = float(np.sqrt(value @ value)), np.zeros(size, np.float32)
+        inside = place[terms] >= 0
+        row[place[terms[inside]]] = value[inside] / norm if norm else 0.0
+        return norm, row
+
+    def placed(weigh: np.ndarray, often: np.ndarray) -> np.ndarray:
+        place = np.full(len(weigh), -1, np.int32)
+        place[often] = np.arange(len(often))
+        return place
+
+    some = sparse.filter("size(terms) > 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEADERS).select("terms", "counts").collect()
+    place = placed(weigh, often)
+    leaders = [dense(np.array(r["terms"]), np.array(r["counts"]), place, weigh, len(often))[1] for r in some]
+    leaders = np.stack(leaders) if leaders else np.zeros((1, len(often)), np.float32)
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh, often = sent.value
+        place = placed(weigh, often)
         for batch in batches:
-            held = [Counter(t for terms in map(known.__getitem__, _words(b)) for t in terms) for b in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([list(c) for c in held], pa.list_(pa.int32())), pa.array([list(c.values()) for c in held], pa.list_(pa.int32()))],
-                names=["doc_id", "label", "terms", "counts"],
-            )
+            found = []
+            for terms, counts in zip(batch.column("terms"), batch.column("counts")):
+                norm, row = dense(terms.values.to_numpy(), counts.values.to_numpy(), place, weigh, len(often))
+                found.append((norm, int((leaders @ row).argmax())))
+            columns = [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *columns], names=["doc_id", "label", "norm", "leader"])
 
     # At most the sample's rows.
-    rows = texts.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<int>").toArrow().combine_chunks()
+    found = sparse.mapInArrow(lead, "doc_id long, label int, norm double, leader int").toArrow()
     sent.unpersist()
-    ids, labels_of = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy().astype(np.int64)
-    sizes_of = pa.compute.list_value_length(rows.column("terms")).to_numpy()
-    full = sizes_of > 0
-    bare = labels_of[~full].tolist()
-    weighed = sum(weight[x] for x in bare)
-    no_term = (sum(weight[x] * x for x in bare) + SMOOTH * prior) / (weighed + SMOOTH)
-    if not full.any():
-        return Model(words, weighs, None, prior, no_term)
-    kept = sizes_of[full]
-    row = np.repeat(np.arange(full.sum(), dtype=np.int32), kept)
-    term = pa.compute.list_flatten(rows.column("terms")).to_numpy()
-    value = _unit(term, pa.compute.list_flatten(rows.column("counts")).to_numpy(), weighs, np.concatenate([[0], np.cumsum(kept)]))
-    del rows
-    index = Index.of_postings(row, term, value, ids[full], labels_of[full], np.array([weight[x] for x in labels_of[full].tolist()]), len(words))
-    return Model(words, weighs, index, prior, no_term)
+    return found
 
 
 NEW = ("score", "predicted", "evidence")
@@ -255,14 +387,19 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
     """
     docs = docs.drop(*NEW)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    number = xxhash.xxh64_intdigest(f"{id(model)}-{docs.sparkSession.sparkContext.applicationId}-{uuid.uuid4()}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weighs, index, prior, no_term = sent.value
-        known = _Terms(words)
+        words, weighs, stored, prior, no_term = sent.value
+        if stored is not None and number not in _open:
+            _open.clear()
+            _open[number] = stored.load(weighs)
+        index = _open[number] if stored is not None else None
+        known, seen = _Terms(words), {}
         none = np.zeros(0), np.zeros(0, np.int64)
 
         def vector(body: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-            counts = Counter(t for terms in map(known.__getitem__, _words(body)) for t in terms)
+            counts = _counted(known, body)
             if not counts or index is None:
                 return None
             term = np.fromiter(counts, np.int64, len(counts))
@@ -271,9 +408,15 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
 
         def neighbours(bodies: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
             for at in range(0, len(bodies), AT_ONCE):
-                asked = [vector(b) for b in bodies[at : at + AT_ONCE]]
-                found = iter(index.search([q for q in asked if q], k) if any(asked) else [])
-                yield from (next(found) if q else None for q in asked)
+                names = [xxhash.xxh128_digest(b or "") for b in bodies[at : at + AT_ONCE]]
+                new = {name: b for name, b in zip(names, bodies[at : at + AT_ONCE]) if name not in seen}
+                asked = {name: vector(b) for name, b in new.items()}
+                known_words = [q for q in asked.values() if q]
+                found = iter(index.search(known_words, k) if known_words else [])
+                seen.update({name: next(found) if q else None for name, q in asked.items()})
+                yield from [seen[name] for name in names]
+                if len(seen) > KEPT:
+                    seen.clear()
 
         def value(found: tuple[np.ndarray, np.ndarray] | None) -> float:
             if found is None:

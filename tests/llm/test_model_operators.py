@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -93,19 +94,68 @@ def test_topk_empty(spark):
     assert topk_mtree.search_topk(none, none).collect() == []
 
 
-def test_block_max_index_is_exact():
+@pytest.mark.parametrize("frequent, long, first", [(512, 64, 8), (3, 8, 1), (0, 1, 2), (5, 10_000, 1)])
+def test_block_max_index_is_exact(monkeypatch, frequent, long, first):
+    """The same rows as all cosines, with terms in the matrix, in short lists and in blocks; ties by row."""
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "LONG", long)
+    monkeypatch.setattr(toxicity, "FIRST", first)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     rng = random.Random(4)
     vectors = []
-    for _ in range(700):
-        raw = {t: rng.random() + 0.01 for t in rng.sample(range(30), rng.randrange(1, 6))}
+    for i in range(700):
+        some = range(i // 70 * 3, i // 70 * 3 + 12)
+        raw = {t: rng.random() + 0.01 for t in rng.sample(some, rng.randrange(1, 6))}
         norm = sum(x * x for x in raw.values()) ** 0.5
-        vectors.append({t: x / norm for t, x in raw.items()})
-    index = toxicity.Index(vectors, np.arange(700), np.zeros(700, int), np.ones(700), 30)
-    for query in vectors[:60]:
-        want = sorted((-round(s, 12), r) for r, v in enumerate(vectors) if (s := sum(w * v.get(t, 0) for t, w in query.items())) > 0)[:15]
+        vectors.append({t: x / norm for t, x in raw.items()} if i % 9 else vectors[i // 2] if vectors else {0: 1.0})
+    index = toxicity.Index(vectors, np.arange(700), np.zeros(700, int), np.ones(700), 60)
+    for query in [*vectors[::9], {59: 1.0}]:
+        sums = [sum(w * v.get(t, 0) for t, w in query.items()) for v in vectors]
+        want = sorted((-round(s, 12), r) for r, s in enumerate(sums) if s > 0)[:15]
         found = index.nearest(query, 15)
-        assert np.allclose([s for s, _ in found], [-s for s, _ in want])
-        assert {r for _, r in found[:5]} <= {r for s, r in want} | {r for s, r in want}
+        assert np.allclose([s for s, _ in found], [-s for s, _ in want], atol=1e-6)
+        assert all(abs(sums[r] - s) < 1e-6 for s, r in found) and len({r for _, r in found}) == len(want)
+
+
+def test_toxicity_equals_plain_votes(spark):
+    """Score and evidence worked out from the texts with dictionaries."""
+    rng = random.Random(2)
+    texts = {i: " ".join(f"{'bad' if i % 4 == 0 and rng.random() < 0.2 else 'term'}{rng.randrange(60)}" for _ in range(rng.randrange(25))) for i in range(160)}
+    label = {i: int(i % 4 == 0) for i in range(0, 160) if i % 3}
+    split = lambda body: [t for w in re.findall(r"[^\W\d_]+", body.lower()) for t in toxicity._terms(w)]
+    texts = {i: re.sub(r"\d+", lambda m: "abcdefghij"[int(m[0]) % 10] * (int(m[0]) // 10 + 1), body) for i, body in texts.items()}
+    counts = {i: Counter(split(body)) for i, body in texts.items()}
+    size = Counter(label.values())
+    seen = {c: Counter(t for i in label if label[i] == c for t in counts[i]) for c in (0, 1)}
+    df = Counter(t for c in counts.values() for t in c)
+    weigh = {}
+    for t in {*seen[0], *seen[1]}:
+        held = seen[0][t] + seen[1][t]
+        phi = abs(seen[1][t] * size[0] - seen[0][t] * size[1]) / math.sqrt(size[0] * size[1] * held * max(len(label) - held, 1))
+        weigh[t] = (math.log((1 + len(texts)) / (1 + df[t])) + 1) * (toxicity.FLOOR + min(phi, 1))
+
+    def vector(i):
+        raw = {t: (1 + math.log(n)) * weigh[t] for t, n in counts[i].items() if t in weigh}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {t: x / norm for t, x in raw.items()}
+
+    examples = {i: vector(i) for i in label if counts[i]}
+    prior = size[1] / len(label)
+    bare = [label[i] for i in label if not counts[i]]
+    model = toxicity.learn(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(list(label.items()), "doc_id long, label int"))
+    asked = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in toxicity.score(asked, model).collect():
+        own = vector(r["doc_id"])
+        cosines = {j: round(sum(x * v.get(t, 0) for t, x in own.items()), 12) for j, v in examples.items()}
+        best = sorted(((s, j) for j, s in cosines.items() if s > 0), reverse=True)[: toxicity.NEIGHBOURS]
+        if not own:
+            assert r["evidence"] == [] and r["score"] == pytest.approx((sum(bare) + 0.5 * prior) / (len(bare) + 0.5))
+            continue
+        assert [e["cosine"] for e in r["evidence"]] == pytest.approx([s for s, _ in best], abs=1e-6)
+        assert all(e["cosine"] == pytest.approx(cosines[e["doc_id"]], abs=1e-6) and e["label"] == label[e["doc_id"]] for e in r["evidence"])
+        votes = sum(e["cosine"] for e in r["evidence"])
+        toxic = sum(e["cosine"] * e["label"] for e in r["evidence"])
+        assert r["score"] == pytest.approx((toxic + 0.5 * prior) / (votes + 0.5)) and r["predicted"] == int(r["score"] >= 0.5)
 
 
 def test_toxicity_learns_and_keeps_rows(spark, docs, empty):
