@@ -10,9 +10,9 @@ The labelled texts make an inverted index, a table that tasks write, sorted by
 term. Texts alike lie next to each other, in blocks. The most frequent terms lie
 apart as a matrix in single precision: one matrix product for some documents at
 a time gives what they add to every text. Short posting lists are added up as
-they are, of long ones first only each block's largest value. The best blocks
-by this bound are summed up in full and give a least k-th cosine; of the others
-only those are whose bound reaches it. What comes within the product's error of
+they are, of long ones first only each block's largest value. The blocks
+around the best by this bound are summed up and give a least k-th cosine; blocks
+whose bound does not reach it are left out, at both ends of the index. What comes within the product's error of
 the k-th is summed up again in double precision, so no bound loses a neighbour;
 the matrix holds single-precision weights, so cosines are exact to about 1e-7.
 Votes are weighted by cosine and by what share of its class the sample holds,
@@ -43,8 +43,8 @@ EXAMPLES = 10_000
 NEIGHBOURS, STEM = 15, 5
 #: Terms of the index's matrix; documents searched at a time; more than the product's error.
 FREQUENT, AT_ONCE, ERROR = 512, 32, 1e-5
-#: Rows of a block; least rows of a list with block maxima; blocks that give the first bound; texts that blocks are made around.
-BLOCK, LONG, FIRST, LEADERS = 64, 64, 8, 128
+#: Rows of a block; least rows of a list with block maxima; blocks around the best that give the first bound; texts that blocks are made around.
+BLOCK, LONG, FIRST, LEADERS = 64, 256, 6, 128
 #: Texts a task keeps the neighbours of, for copies.
 KEPT = 20_000
 #: Weight of a term that tells nothing about the label; smoothing.
@@ -125,22 +125,17 @@ class Index:
             row, value = row[~inside], value[~inside]
             self.row[at : at + len(row)], self.value[at : at + len(row)] = row, value
             at += len(row)
-        # Blocks of long lists: where each begins, which rows it is of, its largest value.
-        self.long = size >= LONG
-        starts, blocks, tops, self.entry = [], [], [], np.zeros(len(held) + 1, np.int64)
-        for t in np.flatnonzero(self.long).tolist():
-            block = self.row[self.first[t] : self.first[t + 1]] // BLOCK
-            start = np.flatnonzero(np.diff(block, prepend=-1))
-            starts.append((start + self.first[t]).astype(np.int32))
-            blocks.append(block[start])
-            tops.append(np.maximum.reduceat(self.value[self.first[t] : self.first[t + 1]], start))
-            self.entry[t + 1] = len(start)
-        self.entry = np.cumsum(self.entry)
-        none = np.zeros(0, np.int32)
-        self.start, self.block = np.concatenate([none, *starts]), np.concatenate([none, *blocks])
-        self.top = np.concatenate([np.zeros(0), *tops])
-        self.stop = np.concatenate([self.start[1:], self.start[:1]])
-        self.stop[self.entry[1:][self.long] - 1] = self.first[1:][self.long]
+        # Long lists: their place where each block begins, and each block's largest value.
+        long, blocks = np.flatnonzero(size >= LONG), -(-len(ids) // BLOCK)
+        self.slot = np.full(len(held), -1, np.int32)
+        self.slot[long] = np.arange(len(long))
+        self.begin = np.empty((len(long), blocks + 1), np.int32)
+        self.top = np.zeros((len(long), blocks), np.float32)
+        for begin, top, t in zip(self.begin, self.top, long.tolist()):
+            whole = slice(self.first[t], self.first[t + 1])
+            begin[:] = np.searchsorted(self.row[whole], np.arange(blocks + 1) * BLOCK) + self.first[t]
+            some = begin[:-1] < begin[1:]
+            top[some] = np.maximum.reduceat(self.value[whole], begin[:-1][some] - self.first[t])
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k rows of the largest cosine above 0: (cosine, row), ties by row."""
@@ -157,23 +152,27 @@ class Index:
 
     def _best(self, term: np.ndarray, weight: np.ndarray, often: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
-        rare, long = self.place[term] < 0, self.long[term]
-        score = self._added(self.first, self.row, self.value, term[rare & ~long], weight[rare & ~long])
-        entries, of = _spans(self.entry, term[long], weight[long])
-        block = self.block[entries]
-        bound = np.bincount(block, self.top[entries] * of, -(-n // BLOCK))
-        about = score + sums
-        reach = np.maximum.reduceat(about, np.arange(0, n, BLOCK)) + bound
-        wanted = np.zeros(len(reach), bool)
-        wanted[np.argpartition(-reach, FIRST)[:FIRST] if len(reach) > FIRST else slice(None)] = True
-        score += self._within(wanted[block], entries, of)
+        slot = self.slot[term]
+        short, long = (self.place[term] < 0) & (slot < 0), slot >= 0
+        begin, size = self.first[term[short]], self.first[term[short] + 1] - self.first[term[short]]
+        places = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+        score = np.bincount(self.row[places], self.value[places] * np.repeat(weight[short], size), n).astype(float, copy=False)
+        begin, weight = self.begin[slot[long]], weight[long]
+        bound = weight.astype(np.float32) @ self.top[slot[long]]
+        reach = np.maximum.reduceat(score + sums, np.arange(0, n, BLOCK)) + bound
+        wanted = np.ones(len(reach), bool)
         if len(reach) > FIRST:
-            known = (score + sums)[np.repeat(wanted, BLOCK)[:n]]
+            start = max(0, int(reach.argmax()) - FIRST // 2)
+            stop = min(start + FIRST, len(reach))
+            some = slice(start * BLOCK, min(stop * BLOCK, n))
+            known = score[some] + sums[some] + self._added(begin[:, start], begin[:, stop], weight)[some]
             least = np.partition(known, len(known) - k)[len(known) - k] if len(known) > k else 0.0
-            further = (reach >= least - ERROR) & (reach > 0) & ~wanted
-            score += self._within(further[block], entries, of)
-            wanted |= further
-        at = np.flatnonzero(np.repeat(wanted, BLOCK)[:n])
+            wanted = (reach >= least - ERROR) & (reach > 0)
+        # Blocks alike are neighbours: one stretch holds all that is wanted and little else.
+        reached = np.flatnonzero(wanted)
+        start, stop = (int(reached[0]), int(reached[-1]) + 1) if len(reached) else (0, 0)
+        score += self._added(begin[:, start], begin[:, stop], weight)
+        at = np.arange(start * BLOCK, min(stop * BLOCK, n))
         about = score[at] + sums[at]
         kth = np.partition(about, len(at) - k)[len(at) - k] if len(at) > k else 0.0
         rows = at[(about >= kth - ERROR) & (about > 0)]
@@ -181,29 +180,14 @@ class Index:
         best = np.lexsort((rows, -cosine))[:k]
         return cosine[best], rows[best]
 
-    def _added(self, first, row, value, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What whole lists add to every row."""
-        places, of = _spans(first, term, weight)
-        return np.bincount(row[places], value[places] * of, len(self.ids)).astype(float, copy=False)
-
-    def _within(self, wanted: np.ndarray, entries: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """What the wanted blocks of long lists add to every row."""
-        entries, of = entries[wanted], of[wanted]
-        places, of = _ranges(self.start[entries], self.stop[entries], of)
-        return np.bincount(self.row[places], self.value[places] * of, len(self.ids)).astype(float, copy=False)
-
-
-def _ranges(start: np.ndarray, stop: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All places of ranges, and their range's weight."""
-    size = (stop - start).astype(np.int64)
-    ends = np.cumsum(size)
-    shift = np.repeat(start - (ends - size), size)
-    shift += np.arange(len(shift))
-    return shift, np.repeat(weight, size)
-
-
-def _spans(first: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _ranges(first[term], first[term + 1], weight)
+    def _added(self, begin: np.ndarray, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What these parts of the lists of terms add to every row."""
+        places = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist()) if a < b]
+        if not places:
+            return np.zeros(len(self.ids))
+        value = np.concatenate([self.value[at] for at in places])
+        value *= np.repeat(weight, end - begin)
+        return np.bincount(np.concatenate([self.row[at] for at in places]), value, len(self.ids))
 
 
 class Stored(NamedTuple):
@@ -336,6 +320,16 @@ def _counted(known: _Terms, text: str | None) -> dict[int, int]:
     return counts
 
 
+def _chained(leaders: np.ndarray) -> np.ndarray:
+    """The leaders in an order in which each comes behind the one it is most like, so that blocks alike are neighbours."""
+    like = leaders @ leaders.T
+    order, left = [0], set(range(1, len(leaders)))
+    while left:
+        order.append(max(left, key=lambda j: (like[order[-1], j], -j)))
+        left.remove(order[-1])
+    return leaders[order]
+
+
 def _rows(sparse: DataFrame, weigh: np.ndarray, often: np.ndarray) -> pa.Table:
     """(doc_id, label, norm, leader) of every vector; the leader is the likest of some by the most frequent terms."""
     sent = sparse.sparkSession.sparkContext.broadcast((weigh, often))
@@ -355,7 +349,7 @@ def _rows(sparse: DataFrame, weigh: np.ndarray, often: np.ndarray) -> pa.Table:
     some = sparse.filter("size(terms) > 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEADERS).select("terms", "counts").collect()
     place = placed(weigh, often)
     leaders = [dense(np.array(r["terms"]), np.array(r["counts"]), place, weigh, len(often))[1] for r in some]
-    leaders = np.stack(leaders) if leaders else np.zeros((1, len(often)), np.float32)
+    leaders = _chained(np.stack(leaders)) if leaders else np.zeros((1, len(often)), np.float32)
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh, often = sent.value
