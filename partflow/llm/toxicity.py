@@ -6,15 +6,16 @@ frequencies are counted over all documents. A term's weight is TF-IDF times how
 well it tells the labels apart (its phi coefficient, which does not grow with
 the table, and a floor), so no term and no text is left out.
 
-The labelled texts make an inverted index, a table that tasks write, sorted by
-term. Texts alike lie next to each other, in blocks. The most frequent terms lie
+The labelled texts make an inverted index, segments that tasks pack and workers
+put together. Texts alike lie next to each other, in blocks. The most frequent terms lie
 apart as a matrix in single precision: one matrix product for some documents at
 a time gives what they add to every text. Short posting lists are added up as
-they are, of long ones first only each block's largest value. The blocks
-around the best by this bound are summed up and give a least k-th cosine; blocks
-whose bound does not reach it are left out, at both ends of the index. What comes within the product's error of
-the k-th is summed up again in double precision, so no bound loses a neighbour;
-the matrix holds single-precision weights, so cosines are exact to about 1e-7.
+they are, of long ones first only each block's largest value. The blocks around
+the best by this bound are summed up and give a least k-th cosine; blocks whose
+bound does not reach it are left out, at both ends of the index. What comes
+within the product's error of the k-th is summed up again in double precision,
+so no bound loses a neighbour; weights are kept in single precision, so cosines
+are exact to about 1e-6.
 Votes are weighted by cosine and by what share of its class the sample holds,
 and smoothed towards the overall rate.
 """
@@ -47,6 +48,8 @@ FREQUENT, AT_ONCE, ERROR = 512, 32, 1e-5
 BLOCK, LONG, FIRST, LEADERS = 64, 256, 6, 128
 #: Texts a task keeps the neighbours of, for copies.
 KEPT = 20_000
+#: Partitions that postings are packed in.
+SEGMENTS = 16
 #: Weight of a term that tells nothing about the label; smoothing.
 FLOOR, SMOOTH = 0.05, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -103,7 +106,7 @@ class Index:
 
     @classmethod
     def of_postings(cls, *postings) -> Index:
-        """From parts of (term, row, value) arrays in the order of terms and rows instead of dictionaries."""
+        """From parts of (term, row, value) arrays instead of dictionaries: stretches of rows in order, each sorted by term."""
         index = cls.__new__(cls)
         index._build(*postings)
         return index
@@ -117,14 +120,18 @@ class Index:
         size = held.copy()
         size[often] = 0
         self.first = np.concatenate([[0], np.cumsum(size)])
-        self.row, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
-        at = 0
+        self.row, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1], np.float32)
+        free = self.first[:-1].copy()
         for term, row, value in parts:
             inside = self.place[term] >= 0
             self.matrix[self.place[term[inside]], row[inside]] = value[inside]
-            row, value = row[~inside], value[~inside]
-            self.row[at : at + len(row)], self.value[at : at + len(row)] = row, value
-            at += len(row)
+            term, row, value = term[~inside], row[~inside], value[~inside]
+            # Behind what the parts before have of the same term.
+            start = np.flatnonzero(np.diff(term, prepend=-1))
+            sizes = np.diff(start, append=len(term))
+            at = np.repeat(free[term[start]] - start, sizes) + np.arange(len(term))
+            self.row[at], self.value[at] = row, value
+            free[term[start]] += sizes
         # Long lists: their place where each block begins, and each block's largest value.
         long, blocks = np.flatnonzero(size >= LONG), -(-len(ids) // BLOCK)
         self.slot = np.full(len(held), -1, np.int32)
@@ -186,14 +193,17 @@ class Index:
         if not places:
             return np.zeros(len(self.ids))
         value = np.concatenate([self.value[at] for at in places])
-        value *= np.repeat(weight, end - begin)
+        value *= np.repeat(weight.astype(np.float32), end - begin)
         return np.bincount(np.concatenate([self.row[at] for at in places]), value, len(self.ids))
 
 
 class Stored(NamedTuple):
-    """An index as the files of its sorted postings (term, row, count), a few bytes each, and what its rows are."""
+    """An index as segments of postings (term, row, count), a few bytes each, and what its rows are.
 
-    files: list[bytes]
+    A segment holds a stretch of rows, sorted by term; segments lie in the order of rows.
+    """
+
+    segments: list[bytes]
     #: Texts of the sample that have each term.
     held: np.ndarray
     #: Length of each row's vector before it is divided by it.
@@ -206,10 +216,10 @@ class Stored(NamedTuple):
         return Index.of_postings(self._parts(weigh), self.held, self.ids, self.labels, self.weights)
 
     def _parts(self, weigh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for file in self.files:
-            for batch in pyarrow.parquet.ParquetFile(pa.BufferReader(file)).iter_batches(1 << 19):
-                term, row, count = (batch.column(c).to_numpy() for c in ("term", "row", "count"))
-                yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
+        for segment in self.segments:
+            postings = pyarrow.parquet.read_table(pa.BufferReader(segment), use_threads=False)
+            term, row, count = (postings.column(c).to_numpy() for c in ("term", "row", "count"))
+            yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
 
 
 #: The index a worker has open: its broadcast's number and itself.
@@ -302,13 +312,26 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     ids, labels_of = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy().astype(np.int64)
     # At most the sample's rows.
     places = spark.createDataFrame(pa.table({"doc_id": ids, "row": np.arange(len(ids), dtype=np.int32)}))
-    single = sparse.join(F.broadcast(places), "doc_id").select("row", F.explode(F.arrays_zip("terms", "counts")).alias("_"))
-    sorted_ = single.select(F.col("_.terms").alias("term"), "row", F.col("_.counts").alias("count")).orderBy("term", "row")
-    stored = materialize(sorted_, "toxicity-postings")
+    ordered = sparse.join(F.broadcast(places), "doc_id").select("row", "terms", "counts").repartitionByRange(SEGMENTS, "row").sortWithinPartitions("row")
+    stored = materialize(ordered.mapInArrow(_packed, "first int, segment binary"), "toxicity-postings")
     # A few bytes for each posting of the sample.
-    files = spark.read.format("binaryFile").load(stored.inputFiles()).select("path", "content").toArrow().sort_by("path").column("content").to_pylist()
+    segments = stored.toArrow().sort_by("first").column("segment").to_pylist()
     weights = np.array([weight[x] for x in labels_of.tolist()])
-    return Model(words, weighs, Stored(files, held, rows.column("norm").to_numpy(), ids, labels_of, weights), prior, no_term)
+    return Model(words, weighs, Stored(segments, held, rows.column("norm").to_numpy(), ids, labels_of, weights), prior, no_term)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, terms, counts) in the order of rows to a segment of postings for each batch, sorted by term and row."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row = np.repeat(batch.column("row").to_numpy(), pa.compute.list_value_length(batch.column("terms")).to_numpy())
+        term, count = (batch.column(c).flatten().to_numpy() for c in ("terms", "counts"))
+        order = np.argsort(term, kind="stable")
+        out = pa.BufferOutputStream()
+        pyarrow.parquet.write_table(pa.table({"term": term[order], "row": row[order], "count": count[order]}), out, compression="zstd")
+        first = pa.array([row[0] if len(row) else 0], pa.int32())
+        yield pa.RecordBatch.from_arrays([first, pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["first", "segment"])
 
 
 def _counted(known: _Terms, text: str | None) -> dict[int, int]:
