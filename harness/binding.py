@@ -7,7 +7,7 @@ columns it is asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.operators.answers import answer_questions
@@ -136,6 +136,27 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(raw_sales(spark, sf_dir), raw_prices(spark, sf_dir), TIES, **MAPS)
 
 
+def open_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty records as JSON texts with fields of their own, next to their keys."""
+    df = phases(spark, sf_dir).dirty()
+    every = {n: F.col("order_key") % n == 0 for n in (31, 37, 41, 29)}
+
+    def text(*names, **more) -> Column:
+        return F.to_json(F.struct(*names, *[v.alias(n) for n, v in more.items()]), {"ignoreNullFields": "false"})
+
+    def but(*left_out: str) -> list[str]:
+        return [c for c in fv.DEMAND_COLUMNS if c not in left_out]
+
+    record = (
+        F.when(every[41], text(*but("unit_cost", "region")))
+        .when(every[37], text(*but("part_number"), warehouse=F.lit("W1"), batch=F.col("line_number")))
+        .when(every[31], text(*but("npi_signal")))
+        .when(every[29], F.substring(text(*but()), 1, 40))
+        .otherwise(text(*but()))
+    )
+    return df.select(*DIRTY_KEY, record.alias("record"))
+
+
 def demand_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only what the series operators need: part, date, ties, quantity."""
     sales = raw_sales(spark, sf_dir, dims=())

@@ -254,6 +254,20 @@ def validate_error_rows(spark, sf_dir):
     return numbered.select("row", validate.error_text(F.col("errors")).alias("error"))
 
 
+@query
+def validate_open_errors(spark, sf_dir):
+    """Records that bring fields of their own: some lack one, have one more, or lack the optional one."""
+    checked = validate.with_open_errors(validate.open_records(b.open_dirty(spark, sf_dir)))
+    bad = validate.quarantine(checked, b.DIRTY_KEY)
+    return bad.select(*b.DIRTY_KEY, F.size("errors").alias("n_errors"), "error")
+
+
+@query
+def validate_open_valid(spark, sf_dir):
+    checked = validate.with_open_errors(validate.open_records(b.open_dirty(spark, sf_dir)))
+    return validate.valid_rows(checked).drop("row_part", "row_date").withColumn("unit_cost", r6("unit_cost"))
+
+
 @query
 def validation_report(spark, sf_dir):
     return validate.run_report(b.phases(spark, sf_dir).dirty(), list(fv.DEMAND_COLUMNS))

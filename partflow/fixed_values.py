@@ -115,7 +115,12 @@ CHECK_MESSAGES = {
     "cost_sign": "unit_cost must be positive (got %s)",
     "date": "transaction_date '%s' is not valid. Must be format YYYY-MM-DD",
     "part_description": "part_description must be a non-empty string",
+    "no_record": "record must be an object of distinct fields",
+    "unknown_field": "unexpected field '%s'",
+    "missing_field": "missing required field '%s'",
 }
+#: The one field that a record may lack.
+OPTIONAL_FIELD = "npi_signal"
 
 # Wording of a part profile.
 VOLATILITY_HIGH = "high volatility (coefficient of variation > 0.5)"

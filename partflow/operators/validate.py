@@ -115,6 +115,40 @@ def check_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> None:
         raise ValueError(f"demand record: missing fields {missing}, unexpected fields {unknown}")
 
 
+def open_records(df: DataFrame, record: str = "record") -> DataFrame:
+    """JSON records to the fields of a demand record and ``field_errors``; other columns carried.
+
+    Every record brings its own fields: those it lacks and those nobody knows
+    are named in its errors. A text that is no object, or names a field twice,
+    is an error of its own. A cost that is a text stays no number.
+    """
+    value = F.try_parse_json(record)
+
+    def field(name: str, kind: str) -> Column:
+        return F.try_variant_get(value, f"$.{name}", kind)
+
+    cost_kind = F.schema_of_variant(field("unit_cost", "variant"))
+    typed = {c: field(c, "string") for c in fv.DEMAND_COLUMNS}
+    typed["unit_cost"] = F.when(cost_kind != "STRING", field("unit_cost", "double"))
+    names = F.json_object_keys(record)
+    lacking = F.array(*[F.lit(c) for c in fv.DEMAND_COLUMNS if c != fv.OPTIONAL_FIELD])
+    unknown = F.array_sort(F.array_except(names, F.array(*[F.lit(c) for c in fv.DEMAND_COLUMNS])))
+    found = F.concat(
+        F.transform(unknown, lambda c: F.format_string(MSG["unknown_field"], c)),
+        F.transform(F.array_except(lacking, names), lambda c: F.format_string(MSG["missing_field"], c)),
+    )
+    whole = value.isNotNull() & names.isNotNull()
+    errors = F.when(whole, found).otherwise(F.array(F.lit(MSG["no_record"])))
+    carried = [c for c in df.columns if c not in (record, *fv.DEMAND_COLUMNS, "field_errors")]
+    return df.select(*carried, *[c.alias(n) for n, c in typed.items()], errors.alias("field_errors"))
+
+
+def with_open_errors(records: DataFrame) -> DataFrame:
+    """``errors`` of ``open_records``: a record of other fields is not looked at any further."""
+    fields = F.col("field_errors")
+    return records.withColumn("errors", F.when(F.size(fields) > 0, fields).otherwise(record_errors(records))).drop("field_errors")
+
+
 def with_errors(df: DataFrame) -> DataFrame:
     """Append ``errors``: the messages, empty for a valid row."""
     return df.withColumn("errors", record_errors(df))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.operators.quality import dataset_summary, quality_flags, value_share
@@ -36,10 +37,12 @@ def ingest(mapped: DataFrame, key: tuple[str, ...], validate: bool = True) -> In
     check_schema(mapped, extra=(*key, *FLAGS))
     if not validate:
         return Ingested(mapped, mapped, None, run_report(mapped, validate=False))
-    # Checks are plain conditions: cheaper to redo for each output than to store.
-    checked = with_errors(coerce_fields(mapped))
+    # One tagged write: each output reads its own folder of it.
+    outcome = F.when(F.size("errors") > 0, "rejected").otherwise("valid")
+    checked = materialize(with_errors(coerce_fields(mapped)).withColumn("outcome", outcome), "checked", "outcome")
+    valid, rejected = (checked.filter(F.col("outcome") == o).drop("outcome") for o in ("valid", "rejected"))
     columns = [c for c in mapped.columns if c not in key or c in fv.DEMAND_COLUMNS]
-    return Ingested(mapped, valid_rows(checked), quarantine(checked, key), run_report(checked, columns))
+    return Ingested(mapped, valid_rows(valid), quarantine(rejected, key), run_report(checked.drop("outcome"), columns))
 
 
 def run_ingest(spark: SparkSession, input_dir: str, output_dir: str, validate: bool = True, csv: bool = True) -> Ingested:

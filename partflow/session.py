@@ -90,17 +90,18 @@ def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage, outlives any executor, and gives the planner real
     sizes for whatever joins the result next. The shuffles behind it are not
-    needed any more and leave the disks.
+    needed any more and leave the disks. ``partition`` is a column of few values
+    that gets a folder for each.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with dropping_shuffles(spark):
-        df.write.parquet(path)
+        (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,11 @@
+import json
+
 import pytest
 
 from partflow import fixed_values as fv
 from partflow.operators import validate as v
+from partflow.plans.ingest import ingest
+from tests.conftest import RECORD
 
 
 def errors_of(df):
@@ -112,3 +116,59 @@ def test_schema_is_checked(records):
         v.check_schema(df.drop("unit_cost"), extra=("id",))
     with pytest.raises(ValueError, match="id"):
         v.check_schema(df)
+
+
+def open_errors(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, record string")
+    return v.with_open_errors(v.open_records(df))
+
+
+def text(**changes):
+    record = {**RECORD, **changes}
+    return json.dumps({k: x for k, x in record.items() if x is not ...})
+
+
+def test_records_with_fields_of_their_own(spark):
+    checked = open_errors(
+        spark,
+        text(),
+        text(npi_signal=...),
+        text(unit_cost=..., region=...),
+        text(store="S", area=1),
+        text(extra=None, part_number=..., demand_quantity=-1),
+        text(demand_quantity=-1, npi_signal=None),
+        text(unit_cost="2.5"),
+        text(demand_quantity="abc"),
+        text(demand_quantity=3.7),
+        text(part_number=None, region={"a": 1}),
+    )
+    found = {r["id"]: r["errors"] for r in checked.collect()}
+    assert found[0] == found[1] == []
+    assert found[2] == ["missing required field 'region'", "missing required field 'unit_cost'"]
+    assert found[3] == ["unexpected field 'area'", "unexpected field 'store'"]
+    assert found[4] == ["unexpected field 'extra'", "missing required field 'part_number'"]
+    assert found[5] == ["demand_quantity cannot be negative (got -1)"]
+    assert found[6] == ["unit_cost must be a number"]
+    assert found[7] == found[8] == ["demand_quantity must be an integer"]
+    assert [m.split()[0] for m in found[9]] == ["part_number", "region"]
+    kept = v.valid_rows(checked).orderBy("id").collect()
+    assert [(r["id"], r["demand_quantity"], r["unit_cost"], r["npi_signal"]) for r in kept] == [(0, 42, 12.99, "Launch"), (1, 42, 12.99, None)]
+
+
+def test_texts_that_are_no_records(spark):
+    texts = (None, "", "{", "[1]", "3", "null", '{"region": 1, "region": 2}', text()[:-1])
+    found = [r["errors"] for r in open_errors(spark, *texts).collect()]
+    assert found == [["record must be an object of distinct fields"]] * len(texts)
+    assert open_errors(spark, "{}").first()["errors"] == [f"missing required field '{c}'" for c in fv.DEMAND_COLUMNS if c != "npi_signal"]
+    assert open_errors(spark).count() == 0
+
+
+def test_checks_of_an_ingest_run_once(spark, records):
+    """Valid rows, rejects and report read one tagged table; none of their plans holds a check."""
+    done = ingest(records({}, {"region": "Mars"}, {"demand_quantity": -1}), ("id",))
+    assert (done.valid.count(), sorted(r["id"] for r in done.rejected.collect())) == (1, [1, 2])
+    assert tuple(done.report.first())[:4] == (3, 1, 2, 33.3)
+    for frame in (done.valid, done.rejected, done.report):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "must be" not in plan and "parquet" in plan
+    assert "outcome" not in done.valid.columns
