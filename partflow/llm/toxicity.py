@@ -278,7 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Terms(sent.value)
         seen, n = np.zeros(len(known.vocabulary), np.int64), 0
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for body in batch.column("text").to_pylist():
                 found = {t for terms in map(known.__getitem__, set(_words(body))) for t in terms}
                 seen[list(found)] += 1
@@ -411,6 +411,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
         if stored is not None and number not in _open:
             _open.clear()
             _open[number] = stored.load(weighs)
+            pa.default_memory_pool().release_unused()
         index = _open[number] if stored is not None else None
         known, seen = _Terms(words), {}
         none = np.zeros(0), np.zeros(0, np.int64)
