@@ -17,6 +17,7 @@ from partflow.operators.features import build_features
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive
 from partflow.operators.models.seasonal import fit_seasonal, predict_seasonal
+from partflow.operators.models.trees import gain_shares, node_table
 from partflow.operators.narrate import assemble, domain_chunks, part_chunks, summary_chunk
 from partflow.operators.ordering import hot_keys
 from partflow.operators.profile import part_profiles
@@ -24,11 +25,14 @@ from partflow.operators.quality import quality_flags
 from partflow.operators.recode import conform, recode, rename_and_project
 from partflow.operators.split import find_cut, fit_rows, holdout_rows
 from partflow.plans.forecast import split_order
-from partflow.session import broadcast_within, materialize
+from partflow.session import broadcast_within, materialize, scratch_path
 
 TIES = ("order_key", "line_number")
 KEY = ("part_number", "transaction_date", *TIES)
 
+#: Features of the short boosted model.
+SHORT = ("day_of_week", "day_of_month", "month", "demand_type_encoded", "region_encoded")
+
 # Dictionaries for the test tables; some keys are left out to exercise misses.
 MAPS = {
     "dept_map": {
@@ -295,6 +299,39 @@ class Phases:
     def boosted(self) -> DataFrame:
         return prediction_rows(self.booster().predict(self.test()), fv.BOOSTED_NAME, TIES)
 
+    def short_booster(self) -> BoostedForecaster:
+        """Two trees that SQL can derive: few values a feature, no two features that split alike, all rows."""
+        return self._once(
+            "short-booster", lambda: BoostedForecaster(trees=2, depth=2, row_share=1.0, features=SHORT).train(self.train())
+        )
+
+    def short_nodes(self) -> DataFrame:
+        """The node table of the saved short model."""
+
+        def make():
+            path = scratch_path(self.spark, "short-booster")
+            self.short_booster().save(path)
+            return materialize(node_table(self.spark, path), "short-nodes")
+
+        return self._once("short-nodes", make)
+
+    def short_predictions(self) -> DataFrame:
+        """All three models, the boosted one being the short one."""
+
+        def make():
+            rows = prediction_rows(self.short_booster().predict(self.test()), fv.BOOSTED_NAME, TIES)
+            return materialize(stack([rows, self.predictions()]), "short-predictions")
+
+        return self._once("short-predictions", make)
+
+    def short_profiles(self) -> DataFrame:
+        lead = self.short_predictions().filter(F.col("model") == fv.BOOSTED_NAME)
+        return part_profiles(self.features(), part_metrics(lead, ("transaction_date", *TIES)), TIES)
+
+    def short_chunks(self) -> DataFrame:
+        summary = summary_chunk(model_metrics(self.short_predictions()), importances=gain_shares(self.short_nodes(), SHORT))
+        return assemble(part_chunks(self.short_profiles(), fv.BOOSTED_NAME), summary, domain_chunks(self.spark))
+
     def answers(self, top_k: int = fv.TOP_K_DEFAULT) -> DataFrame:
         return answer_questions(self.chunks(), fv.SAMPLE_QUESTIONS, top_k)
 

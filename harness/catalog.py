@@ -12,6 +12,7 @@ from partflow import fixed_values as fv
 from partflow.functions.numbers import round_even
 from partflow.operators import embedding, evaluate, features, narrate, profile, quality, recode, reports, retrieve, split, validate
 from partflow.operators.answers import answer_by_vectors, answer_table, context_and_prompt
+from partflow.operators.models import trees
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive, predict_previous_row
 from partflow.operators.models.seasonal import fit_seasonal as fit_seasonal_states
@@ -493,6 +494,54 @@ def metrics_all_checked(spark, sf_dir):
     return rows.select("model", *figures, better.alias("boosted_has_error"))
 
 
+@query
+def forecast_gbt_short(spark, sf_dir):
+    """Two boosted trees in full: SQL finds the same splits and means."""
+    rows = b.phases(spark, sf_dir).short_predictions().filter(F.col("model") == fv.BOOSTED_NAME)
+    return rows.select(*b.KEY, "actual", r6("predicted"))
+
+
+@query
+def forecast_gbt_walked(spark, sf_dir):
+    """The same predictions from the table of nodes: a join a level, all trees at once."""
+    p = b.phases(spark, sf_dir)
+    return trees.walk(p.test(), p.short_nodes(), 2, b.KEY).select(*b.KEY, r6("predicted"))
+
+
+@query
+def gbt_splits(spark, sf_dir):
+    """The splits of the two trees: feature, threshold, rows trained on, share of the variance taken off."""
+    nodes = b.phases(spark, sf_dir).short_nodes().filter("feature is not null")
+    return nodes.select("tree", "feature", "threshold", F.col("n").cast("long").alias("n"), r6("gain"))
+
+
+@query
+def importance_short(spark, sf_dir):
+    """Features of the two trees by what their splits take off the squares."""
+    shares = trees.gain_shares(b.phases(spark, sf_dir).short_nodes(), b.SHORT).select("feature", r6("importance"))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("importance"), "feature"))
+    return shares.select(place.alias("rank"), "feature", "importance")
+
+
+@query
+def model_metrics_short(spark, sf_dir):
+    """All three models' rows with the boosted one's figures."""
+    return evaluate.model_metrics(b.phases(spark, sf_dir).short_predictions())
+
+
+@query
+def stockout_risk_boosted(spark, sf_dir):
+    """Profiles on the boosted model's errors by part."""
+    columns = ("part_number", "trend", "trend_pct", "mae", "mape", "volatility", "stockout_risk", "risk_text", "advice")
+    return b.phases(spark, sf_dir).short_profiles().select(*columns)
+
+
+@query
+def kb_chunks_boosted(spark, sf_dir):
+    """All chunks of a knowledge base on the boosted model, the sentence of its features included."""
+    return b.phases(spark, sf_dir).short_chunks().select("id", "text", "source", "metadata_json")
+
+
 @query
 def feature_importance(spark, sf_dir):
     return b.phases(spark, sf_dir).booster().top_importances(spark)

@@ -6,7 +6,7 @@ query computes; the fragments below are common table expressions.
 
 from __future__ import annotations
 
-from harness.binding import MAPS
+from harness.binding import MAPS, SHORT
 from harness.catalog import DOCUMENT_QUESTIONS
 from partflow import fixed_values as fv
 from partflow.functions.text import SPACE_CODES
@@ -688,6 +688,92 @@ put(
     f"WITH RECURSIVE {CHUNKS} SELECT {BUCKET}, count(*) AS n_parts FROM chunks WHERE source = 'part_profile' GROUP BY 1",
 )
 
+# Boosted trees of the short model: the split of the largest gain, found in sums by value
+
+
+def split_level(tree: int, level: int) -> str:
+    """Sends every row of ``at{tree}_{level}`` below or above the best split of its node."""
+    at, name = f"at{tree}_{level}", f"{tree}_{level}"
+    values = " UNION ALL ".join(f"SELECT node, {i} AS place, {q(c)} AS feature, {c}::DOUBLE AS v, y FROM {at} WHERE split = 'train'" for i, c in enumerate(SHORT))
+    own = "CASE feature " + " ".join(f"WHEN {q(c)} THEN {c}" for c in SHORT) + " END"
+    return f"""
+sums{name} AS (SELECT node, place, feature, v, count(*) AS c, sum(y) AS s FROM ({values}) GROUP BY ALL),
+sides{name} AS (
+  SELECT node, place, feature, v, sum(c) OVER up AS nl, sum(s) OVER up AS sl, sum(c) OVER every AS n, sum(s) OVER every AS total
+  FROM sums{name} WINDOW every AS (PARTITION BY node, place), up AS (PARTITION BY node, place ORDER BY v)
+),
+best{name} AS (
+  SELECT node, {tree} AS tree, feature, (v + next) / 2 AS threshold, n,
+         (sl * sl / nl + (total - sl) * (total - sl) / (n - nl) - total * total / n) / n AS gain
+  FROM sides{name} JOIN borders USING (feature, v) WHERE nl < n AND next IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, place, v) = 1
+),
+at{tree}_{level + 1} AS MATERIALIZED (
+  SELECT r.* REPLACE (CASE WHEN b.feature IS NULL OR b.gain <= 0 THEN r.node WHEN {own} <= threshold THEN 2 * r.node
+                           ELSE 2 * r.node + 1 END AS node)
+  FROM {at} r LEFT JOIN best{name} b ON b.node = r.node
+)"""
+
+
+def grown(tree: int, target: str, source: str) -> str:
+    """A tree of two levels on ``target`` of ``source``; its leaf's mean is ``leaf{tree}``."""
+    return f"""
+at{tree}_0 AS MATERIALIZED (SELECT *, 1 AS node, {target} AS y FROM {source}),{split_level(tree, 0)},{split_level(tree, 1)},
+tree{tree} AS MATERIALIZED (
+  SELECT * EXCLUDE (node, y), avg(y) FILTER (split = 'train') OVER (PARTITION BY node) AS leaf{tree} FROM at{tree}_2
+)"""
+
+
+BORDERS = " UNION ALL ".join(f"SELECT DISTINCT {q(c)} AS feature, {c}::DOUBLE AS v FROM split WHERE split = 'train'" for c in SHORT)
+TREES = f"""
+borders AS MATERIALIZED (SELECT feature, v, lead(v) OVER (PARTITION BY feature ORDER BY v) AS next FROM ({BORDERS})),
+seen AS MATERIALIZED (SELECT {KEY}, demand_type, split, {", ".join(SHORT)}, demand_quantity::DOUBLE AS actual FROM split),
+{grown(0, 'actual', 'seen')},
+{grown(1, '2 * (actual - leaf0)', 'tree0')},
+boosted AS (SELECT *, greatest(leaf0 + {fv.BOOSTED['rate']}::DOUBLE * leaf1, 0) AS predicted FROM tree1 WHERE split = 'test'),
+splits AS ({' UNION ALL '.join(f"SELECT tree, feature, threshold, n, gain FROM best{t}_{n} WHERE gain > 0" for t in (0, 1) for n in (0, 1))}),
+shares AS (
+  SELECT f.feature, coalesce(g / nullif(sum(g) OVER (), 0), 0) AS importance
+  FROM (SELECT unnest([{values(SHORT)}]) AS feature) f
+  LEFT JOIN (SELECT feature, sum(gain * n) AS g FROM splits GROUP BY 1) USING (feature)
+)"""
+put("forecast_gbt_short", f"WITH {SPLIT}, {TREES} SELECT {KEY}, actual, {rd('predicted', 6)} AS predicted FROM boosted")
+put("forecast_gbt_walked", f"WITH {SPLIT}, {TREES} SELECT {KEY}, {rd('predicted', 6)} AS predicted FROM boosted")
+put("gbt_splits", f"WITH {SPLIT}, {TREES} SELECT tree, feature, threshold, n::BIGINT AS n, {rd('gain', 6)} AS gain FROM splits")
+put(
+    "importance_short",
+    f"""WITH {SPLIT}, {TREES}, r AS (SELECT feature, {rd('importance', 6)} AS importance FROM shares)
+    SELECT row_number() OVER (ORDER BY importance DESC, feature)::INT AS rank, feature, importance FROM r""",
+)
+BOOSTED_METRICS = (
+    SCORED
+    + f""", {TREES},
+lead AS (SELECT {KEY}, demand_type, actual, predicted FROM boosted),
+predictions AS (
+  SELECT *, {q(fv.BOOSTED_NAME)} AS model FROM lead UNION ALL
+  SELECT {KEY}, demand_type, demand_quantity::DOUBLE, predicted, {q(fv.SEASONAL_NAME)} FROM scored UNION ALL
+  SELECT {KEY}, demand_type, demand_quantity::DOUBLE, lag_1::DOUBLE, {q(fv.NAIVE_NAME)} FROM test
+),
+metrics AS (SELECT model, {rd(MAE, 2)} AS mae, {rd(RMSE, 2)} AS rmse, {rd(MAPE, 1)} AS mape FROM predictions GROUP BY 1)"""
+)
+put("model_metrics_short", f"WITH RECURSIVE {BOOSTED_METRICS} SELECT * FROM metrics")
+put(
+    "stockout_risk_boosted",
+    f"""WITH RECURSIVE {BOOSTED_METRICS}{PROFILES.removeprefix(METRICS)}
+    SELECT part_number, trend, trend_pct, mae, mape, volatility, stockout_risk, risk_text, advice FROM profiles""",
+)
+# The summary's last sentence: the first three features.
+SHARE = short("round_even(importance * 1000, 0) / 10", 1)
+FEATURE = f"feature || ' (' || {SHARE} || CASE WHEN place = 1 THEN '% importance)' ELSE '%)' END"
+NAMED = f"""(SELECT string_agg({FEATURE}, ', ' ORDER BY place) FROM (
+    SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS place FROM shares) WHERE place <= 3)"""
+put(
+    "kb_chunks_boosted",
+    f"""WITH RECURSIVE {BOOSTED_METRICS}{CHUNKS.removeprefix(METRICS).replace(f"({q(fv.SEASONAL_NAME)})::VARCHAR", f"({q(fv.BOOSTED_NAME)})::VARCHAR")}
+    SELECT id, CASE source WHEN 'model_summary' THEN text || {q(chr(10) * 2)} || {filled(fv.SUMMARY_FEATURES, features=NAMED)}
+                           ELSE text END AS text, source, metadata_json FROM chunks""",
+)
+
 # Retrieval
 
 SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACE_CODES) + "]+"

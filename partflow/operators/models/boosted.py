@@ -59,6 +59,10 @@ class BoostedForecaster:
             raise ValueError("the model is not trained: call train() or load() first")
         return self.model
 
+    def columns(self) -> list[str]:
+        """The features of the trained model, in its order."""
+        return self._trained().stages[0].getInputCols()
+
     def predict(self, rows: DataFrame) -> DataFrame:
         """Append ``predicted``."""
         scored = self._trained().transform(rows).drop("_features")

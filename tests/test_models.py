@@ -8,6 +8,7 @@ from partflow import fixed_values as fv
 from partflow.operators import evaluate as ev
 from partflow.operators import features as ft
 from partflow.operators import ordering
+from partflow.operators.models import trees
 from partflow.operators.models.boosted import BoostedForecaster
 from partflow.operators.models.naive import predict_naive
 from partflow.operators.models.seasonal import fit_seasonal, predict_seasonal
@@ -100,6 +101,50 @@ def test_boosted_trees(series, spark):
     ]
 
 
+def test_table_of_nodes(series, spark):
+    rows = ft.build_features(series, ("tie",))
+    model = BoostedForecaster(trees=6, depth=3, row_share=0.8).train(rows)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    nodes = trees.node_table(spark, path)
+    assert {r["tree"]: r["rate"] for r in nodes.select("tree", "rate").distinct().collect()} == {0: 1.0, **{t: 0.1 for t in range(1, 6)}}
+    key = ("part_number", "tie")
+    walked = {r[:2]: r[2] for r in trees.walk(rows, nodes, 3, key).collect()}
+    scored = {r[:2]: r[2] for r in model.predict(rows).select(*key, "predicted").collect()}
+    assert walked == pytest.approx(scored) and len(scored) > 80
+    shares = {r["feature"]: r["importance"] for r in trees.gain_shares(nodes, fv.FEATURE_COLUMNS).collect()}
+    assert shares == pytest.approx({r["feature"]: r["importance"] for r in model.importances(spark).collect()})
+    order = [r["feature"] for r in trees.gain_shares(nodes, fv.FEATURE_COLUMNS).orderBy(F.desc("importance"), "feature").limit(10).collect()]
+    assert order[:3] == [r["feature"] for r in model.top_importances(spark).collect()][:3]
+
+
+def test_nodes_of_a_model_without_splits(series, spark):
+    rows = ft.build_features(series, ("tie",)).withColumn(fv.TARGET_COLUMN, F.lit(4))
+    path = scratch_path(spark, "model")
+    BoostedForecaster(trees=2, depth=2).train(rows).save(path)
+    nodes = trees.node_table(spark, path)
+    assert {r["predicted"] for r in trees.walk(rows, nodes, 2, ("part_number", "tie")).collect()} == {4.0}
+    assert {r["importance"] for r in trees.gain_shares(nodes, ("lag_1", "month")).collect()} == {0.0}
+    assert trees.walk(rows.limit(0), nodes, 2, ("part_number", "tie")).count() == 0
+
+
+def test_boosted_trees_learn_the_weekday(spark):
+    """Demand by weekday with some noise: lower errors than the previous row's on rows not trained on."""
+    start = datetime.date(2015, 1, 1)
+    days = [start + datetime.timedelta(days=i) for i in range(400)]
+    rows = [("A", "NPI", "Europe", 10 * d.weekday() + (i * 7919) % 5, d, 1.0, "Thing", None, i) for i, d in enumerate(days)]
+    schema = (
+        "part_number string, demand_type string, region string, demand_quantity int, transaction_date date, "
+        "unit_cost double, part_description string, npi_signal string, tie int"
+    )
+    features = ft.build_features(spark.createDataFrame(rows, schema), ("tie",))
+    train, test = features.filter("tie < 320"), features.filter("tie >= 320")
+    scored = BoostedForecaster(trees=5, depth=4).train(train).predict(test)
+    stacked = ev.stack([ev.prediction_rows(scored, "trees", ("tie",)), ev.prediction_rows(predict_naive(test), "naive", ("tie",))])
+    errors = {r["model"]: r for r in ev.model_metrics(stacked).collect()}
+    assert errors["trees"]["mae"] < errors["naive"]["mae"] / 2 and errors["trees"]["rmse"] < errors["naive"]["rmse"] / 2
+
+
 PREDICTIONS = "part_number string, demand_type string, transaction_date date, tie int, model string, actual double, predicted double"
 
 
