@@ -18,21 +18,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partflow.llm.common import slices, with_fields
+from partflow.session import materialize
 
 PROFILE, TEXT_PROFILE = 400, 300
-#: Documented bound of the languages a model can hold; more are an error.
-MOST_LANGUAGES = 2000
+#: Languages that are compared with at a time, which bounds what a worker holds; further ones take further passes.
+LANGUAGES = 200
 UNKNOWN = "und"
 _BITS = 21
 _SALTS = 128
 
 
 class Profiles(NamedTuple):
-    """``ranks[i, j]``: rank of n-gram ``grams[i]`` in ``languages[j]``, PROFILE if it has none."""
+    """``ranks[i, j]``: rank of n-gram ``grams[i]`` in ``languages[j]``, PROFILE if it has none.
+
+    ``rest`` is a table (lang, top) of the languages behind these by name, None if there are none.
+    """
 
     languages: list[str]
     grams: np.ndarray
     ranks: np.ndarray
+    rest: DataFrame | None = None
 
 
 @lru_cache(maxsize=1)
@@ -57,10 +62,11 @@ def _ranked(text: str, most: int) -> np.ndarray:
     return found[np.argsort(-counts, kind="stable")[:most]]
 
 
-def learn(texts: DataFrame, text: str = "text", lang: str = "lang", profile: int = PROFILE) -> Profiles:
+def learn(texts: DataFrame, text: str = "text", lang: str = "lang", profile: int = PROFILE, languages: int = LANGUAGES) -> Profiles:
     """Profiles of every non-null language of ``texts``, counted over all their n-grams.
 
-    Null texts add nothing; repeated rows count each time.
+    Null texts add nothing; repeated rows count each time. The model holds the
+    first ``languages`` by name, and the rest as a table that ``predict`` reads on.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,16 +83,20 @@ def learn(texts: DataFrame, text: str = "text", lang: str = "lang", profile: int
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(_SALTS))).orderBy(F.desc("n"), "gram")
     first = totals.withColumn("at", F.row_number().over(salted)).filter(F.col("at") <= profile)
     top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "gram"))), 1, profile)
-    found = first.groupBy("lang").agg(top.alias("top")).limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(r["lang"] for r in found)
-    of = {r["lang"]: [x["gram"] for x in r["top"]] for r in found}
-    keys = np.unique(np.array([g for one in of.values() for g in one], np.int64))
+    return _block(materialize(first.groupBy("lang").agg(top.alias("top")), "language-profiles"), profile, languages)
+
+
+def _block(table: DataFrame, profile: int, most: int) -> Profiles:
+    """The profiles of the first ``most`` languages of (lang, top) by name."""
+    found = table.orderBy("lang").limit(most + 1).collect()
+    more, found = len(found) > most, found[:most]
+    languages = [r["lang"] for r in found]
+    of = [[x["gram"] for x in r["top"]] for r in found]
+    keys = np.unique(np.array([g for one in of for g in one], np.int64))
     ranks = np.full((len(keys), len(languages)), profile, np.int32)
-    for j, one in enumerate(languages):
-        ranks[np.searchsorted(keys, of[one]), j] = np.arange(len(of[one]))
-    return Profiles(languages, keys, ranks)
+    for j, one in enumerate(of):
+        ranks[np.searchsorted(keys, one), j] = np.arange(len(one))
+    return Profiles(languages, keys, ranks, table.filter(F.col("lang") > languages[-1]) if more else None)
 
 
 def distances(ranked: np.ndarray, model: Profiles, profile: int = PROFILE) -> np.ndarray:
@@ -107,22 +117,42 @@ def predict(docs: DataFrame, model: Profiles, text: str = "text", most: int = TE
     if no language was learned. Rows are kept one by one, other columns pass
     through; columns called like the new ones are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop("lang_pred", "score", FAR)
+    columns = docs.columns
+    docs = docs.mapInArrow(_nearest(model, text, most, profile), with_fields(docs.schema, NEW))
+    while model.rest is not None:
+        model = _block(model.rest, profile, len(model.languages))
+        docs = materialize(docs, "language-pass")
+        docs = docs.mapInArrow(_nearest(model, text, most, profile, better=True), docs.schema)
+    return docs.select(*[F.col(f"`{c}`") for c in columns], "lang_pred", "score")
+
+
+FAR = "_language_far"
+NEW = f"lang_pred string, score double, {FAR} double"
+
+
+def _nearest(model: Profiles, text: str, most: int, profile: int, better: bool = False):
+    """A pass that appends the nearest of the model's languages, or puts it in place of a farther one."""
+    held = model._replace(rest=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 2 << 20):
-            found, scores = [], []
-            for body in batch.column(batch.schema.get_field_index(text)).to_pylist():
+            kept = batch.columns[:-3] if better else batch.columns
+            before = [c.to_pylist() for c in batch.columns[-3:]] if better else None
+            new: tuple[list, list, list] = [], [], []
+            for i, body in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
                 ranked = _ranked(body, most) if body else np.zeros(0, np.int64)
+                row = tuple(c[i] for c in before) if before else (UNKNOWN, 0.0, None)
                 # A text without a letter has one n-gram at most, the blank.
-                if len(ranked) < 2 or not len(model.grams):
-                    found.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                far = distances(ranked, model, profile)
-                best = int(np.argmin(far))
-                found.append(model.languages[best])
-                scores.append(float(1 - far[best]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
-
-    return docs.mapInArrow(run, with_fields(docs.schema, "lang_pred string, score double"))
+                if len(ranked) >= 2 and len(held.grams):
+                    far = distances(ranked, held, profile)
+                    best = int(np.argmin(far))
+                    if row[2] is None or far[best] < row[2]:
+                        row = (held.languages[best], float(1 - far[best]), float(far[best]))
+                for column, x in zip(new, row):
+                    column.append(x)
+            names = [*batch.schema.names[: len(kept)], "lang_pred", "score", FAR]
+            arrays = [pa.array(new[0], pa.string()), pa.array(new[1], pa.float64()), pa.array(new[2], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], names=names)
+
+    return run

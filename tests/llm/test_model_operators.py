@@ -49,6 +49,20 @@ def test_language_id_without_training_or_rows(docs, empty):
     assert language_id.predict(empty, none).collect() == []
 
 
+@pytest.mark.parametrize("languages", [1, 2])
+def test_language_id_in_blocks_of_languages(docs, languages):
+    """As many passes as there are blocks of languages, and the same rows; a language told twice ties with its first name."""
+    twice = docs.unionByName(docs.filter("lang is not null").withColumn("lang", F.concat(F.lit("z-"), "lang")))
+    whole = language_id.learn(twice)
+    some = language_id.learn(twice, languages=languages)
+    assert whole.rest is None and some.rest is not None and len(some.languages) == languages
+    asked = docs.withColumn("score", F.lit("x")).withColumn("far", F.lit(1))
+    want, got = language_id.predict(asked, whole), language_id.predict(asked, some)
+    assert want.columns == got.columns and "far" in got.columns and language_id.FAR not in got.columns
+    assert Counter(tuple(r) for r in want.collect()) == Counter(tuple(r) for r in got.collect())
+    assert not any(r["lang_pred"].startswith("z-") for r in got.collect())
+
+
 def test_language_id_on_held_out_documents(spark):
     truth = table(spark, SF_DIR, "documents").select("doc_id", "lang")
     got = op1_language_id(spark, SF_DIR).join(truth, "doc_id").filter("held_out")
