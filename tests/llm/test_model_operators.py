@@ -49,10 +49,11 @@ def test_language_id_without_training_or_rows(docs, empty):
     assert language_id.predict(empty, none).collect() == []
 
 
-@pytest.mark.parametrize("languages", [1, 2])
+@pytest.mark.parametrize("languages", [1, 3])
 def test_language_id_in_blocks_of_languages(docs, languages):
     """As many passes as there are blocks of languages, and the same rows; a language told twice ties with its first name."""
-    twice = docs.unionByName(docs.filter("lang is not null").withColumn("lang", F.concat(F.lit("z-"), "lang")))
+    told = docs.withColumn("lang", F.coalesce("lang", F.lit("fr")))
+    twice = told.unionByName(told.withColumn("lang", F.concat(F.lit("z-"), "lang")))
     whole = language_id.learn(twice)
     some = language_id.learn(twice, languages=languages)
     assert whole.rest is None and some.rest is not None and len(some.languages) == languages
