@@ -14,7 +14,7 @@ from partflow.operators import features as ft
 from partflow.plans.forecast import run_forecast
 from partflow.plans.ingest import run_ingest, summaries
 from partflow.plans.knowledge import QuestionService, build_knowledge_base
-from partflow.session import scratch_path
+from partflow.session import materialize, scratch_path
 from partflow.sources import sample, tables
 
 
@@ -357,3 +357,27 @@ def test_index_search_agrees_with_scoring_every_pair(spark, monkeypatch):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert retrieve.keyword_search_table(chunks.limit(0), table).collect() == []
     assert retrieve.keyword_search_table(chunks, table.limit(0)).collect() == []
+
+
+def test_questions_and_chunks_are_never_sent_whole(spark, monkeypatch):
+    from partflow.operators import postings
+
+    # Small packed files may hold many rows, so no join of the index goes by the size of its files.
+    rows = [(f"c{i}", f"part {i} word{i % 3}", "{}", [f"v{i % 2}"], 0, i, "s", {"part_number": str(i)}) for i in range(20)]
+    schema = "id string, text string, metadata_json string, string_values array<string>, kind int, seq int, source string, metadata map<string,string>"
+    chunks = spark.createDataFrame(rows, schema)
+    path = scratch_path(spark, "few-chunks")
+    chunks.write.parquet(path)
+    asked = spark.createDataFrame([(i, f"word{i % 4} of part {i}") for i in range(30)], "n int, q string")
+    plans = []
+
+    def noted(df, name, partition=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, name, partition)
+
+    for module in (postings, retrieve):
+        monkeypatch.setattr(module, "materialize", noted)
+    answers = answer_table(spark.read.parquet(path), asked, "q")
+    plans.append(answers._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not [p for p in plans if "BroadcastExchange" in p]
+    assert answers.count() == 30
