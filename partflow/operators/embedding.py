@@ -18,10 +18,16 @@ from pyspark.sql import functions as F
 
 from partflow import fixed_values as fv
 from partflow.operators.ordering import with_positions
-from partflow.session import materialize
+from partflow.session import broadcast_within, growing, materialize
 
 #: Digits of a cosine that count in the order of hits.
 DIGITS = 9
+#: A term that at least one text in so many has is common,
+COMMON = 256
+#: and this many of the most common ones are sent to every task.
+SENT_TERMS = 50_000
+#: Vector entries of a request that are sent to the rows.
+SENT_ENTRIES = 100_000
 VECTOR = "array<struct<term:long,weight:double>>"
 
 
@@ -46,6 +52,20 @@ def text_embedder(rows: DataFrame, text: str = "text") -> Embedder:
     return Embedder(materialize(numbered, "dictionary"), n)
 
 
+def numbered_terms(counts: DataFrame, embedder: Embedder) -> DataFrame:
+    """``counts`` with number and idf of the terms that weigh something.
+
+    A term that one text in COMMON has would meet all its rows in one task: such
+    terms, few as they are, are sent to the rows. Only the rows of others are shuffled.
+    """
+    known = embedder.dictionary.filter("idf > 0")
+    often = F.log(F.lit(float(embedder.texts + 1)) / (F.lit(embedder.texts / COMMON) + 1))
+    common = known.filter(F.col("idf") <= often).orderBy("idf", "number").limit(SENT_TERMS)
+    common = F.broadcast(materialize(common, "common-terms"))
+    rest = counts.join(common.select("term"), "term", "left_anti").join(growing(known), "term")
+    return counts.join(common, "term").unionByName(rest)
+
+
 def embed(rows: DataFrame, embedder: Embedder, key: str = "id", text: str = "text") -> DataFrame:
     """Append ``embedding``: (term, weight) by term, of unit length.
 
@@ -54,14 +74,16 @@ def embed(rows: DataFrame, embedder: Embedder, key: str = "id", text: str = "tex
     a null one has an empty vector.
     """
     counts = rows.select(key, F.explode(tokens(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    known = embedder.dictionary.filter("idf > 0")
-    weighed = counts.join(known, "term").select(key, F.struct(F.col("number").alias("term"), (F.col("n") * F.col("idf")).alias("weight")).alias("part"))
+    found = numbered_terms(counts, embedder)
+    weighed = found.select(key, F.struct(F.col("number").alias("term"), (F.col("n") * F.col("idf")).alias("weight")).alias("part"))
     # As long as the text has distinct terms.
     lists = weighed.groupBy(key).agg(F.array_sort(F.collect_list("part")).alias("_parts"))
     length = F.sqrt(F.aggregate("_parts", F.lit(0.0), lambda t, p: t + p["weight"] * p["weight"]))
-    unit = F.transform("_parts", lambda p: F.struct(p["term"].alias("term"), (p["weight"] / length).alias("weight")))
+    # The length goes next to every part: named inside the function it would be summed up again for each.
+    lengths = F.array_repeat(length, F.size("_parts"))
+    unit = F.zip_with("_parts", lengths, lambda p, whole: F.struct(p["term"].alias("term"), (p["weight"] / whole).alias("weight")))
     vectors = lists.select(key, unit.alias("embedding"))
-    joined = rows.drop("embedding").join(vectors, key, "left")
+    joined = rows.drop("embedding").join(growing(vectors), key, "left")
     return joined.withColumn("embedding", F.coalesce("embedding", F.array().cast(VECTOR)))
 
 
@@ -80,7 +102,8 @@ def cosine_search(embedded: DataFrame, asked: DataFrame, top_k: int = fv.TOP_K_D
     """
     rows = embedded if where is None else embedded.filter(where)
     held = rows.select(key, F.inline("embedding")).withColumnRenamed("weight", "_w")
-    pairs = asked.select("qid", F.inline("embedding")).join(held, "term")
+    terms = materialize(asked.select("qid", F.inline("embedding")), "question-terms")
+    pairs = held.join(broadcast_within(terms, terms, SENT_ENTRIES), "term")
     cosines = pairs.groupBy("qid", key).agg(F.round(F.sum(F.col("weight") * F.col("_w")), DIGITS).alias("cosine"))
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("cosine"), key))
     return cosines.withColumn("rank", rank).filter(F.col("rank") <= top_k).select("qid", "rank", key, "cosine")

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import time
 import re
 from collections import Counter
 
@@ -381,3 +382,25 @@ def test_questions_and_chunks_are_never_sent_whole(spark, monkeypatch):
     plans.append(answers._jdf.queryExecution().executedPlan().toString())
     assert len(plans) > 5 and not [p for p in plans if "BroadcastExchange" in p]
     assert answers.count() == 30
+
+
+def test_embedding_of_a_text_of_many_terms(spark):
+    # A length summed up anew for each of its terms would take 10**10 steps.
+    names = [f"t{i}" for i in range(100_000)]
+    df = spark.createDataFrame([("a", " ".join(names)), ("b", "t0"), ("c", None)], "id string, text string")
+    start = time.monotonic()
+    got = {r["id"]: r["embedding"] for r in embedding.embed(df, embedding.text_embedder(df)).collect()}
+    assert time.monotonic() - start < 120
+    assert len(got["a"]) == 100_000 and len(got["b"]) == 1 and got["c"] == []
+    assert math.isclose(sum(p["weight"] ** 2 for p in got["a"]), 1.0, rel_tol=1e-9)
+
+
+def test_common_and_rare_terms_meet_apart(spark, monkeypatch):
+    texts = [f"all{' half' * (i % 2)} own{i}{' twice' * (2 if i == 3 else 0)}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = []
+    for share in (1, 4, 1_000):
+        monkeypatch.setattr(embedding, "COMMON", share)
+        rows = embedding.embed(df, embedding.text_embedder(df))
+        found.append({r["id"]: [tuple(p) for p in r["embedding"]] for r in rows.collect()})
+    assert found[0] == found[1] == found[2] and [len(found[0][i]) for i in (2, 3)] == [1, 3]
