@@ -22,3 +22,13 @@ def test_contract(spark):
 def test_query_agrees_with_sql(spark, con, name):
     verdict, _, _ = check(spark, con, SF_DIR, name)
     assert verdict.startswith("ok"), verdict
+
+
+def test_sample_demand_is_drawn_by_many_tasks(spark, tmp_path, monkeypatch):
+    from harness import catalog
+
+    spark.createDataFrame([(i, "SMALL X") for i in range(40)], "p_partkey long, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(0, "ASIA"), (1, "EUROPE")], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    monkeypatch.setattr(catalog, "SAMPLE_ROWS", 200, raising=False)
+    rows = catalog.gen_demand(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() > 4 and rows.count() == rows.select("item_id", "store_id", "date").distinct().count()
