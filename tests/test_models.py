@@ -204,3 +204,12 @@ def test_long_part_with_few_training_rows(series):
     hot = ordering.hot_keys(series.select("part_number"), ["part_number"], 50)
     few = series.filter("part_number = 'A' and tie < 5")
     check_states(fit_seasonal(few, ("tie",), hot=hot, chunk_rows=20), few)
+
+
+def test_training_rows_are_spread_over_tasks(spark):
+    from partflow.operators.models.boosted import spread
+
+    rows = spark.range(1_000).coalesce(1)
+    assert spread(rows, 100).rdd.getNumPartitions() == 10
+    assert spread(rows, 1_000).rdd.getNumPartitions() == 1
+    assert sorted(r["id"] for r in spread(rows, 300).collect()) == list(range(1_000))
