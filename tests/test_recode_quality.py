@@ -85,3 +85,16 @@ def test_summary_and_shares(spark):
     df = spark.createDataFrame(rows, "part_number string, region string, demand_type string, transaction_date string, npi_signal string, is_zero_demand int, is_demand_outlier int, has_npi_signal int")
     assert tuple(quality.dataset_summary(df).first()) == (3, "2015-01-01", "2015-01-03", 2, 2, 1, 1, 1, 2)
     assert [tuple(r) for r in quality.value_share(df, "region").collect()] == [("Europe", 2, 66.7), ("Asia Pacific", 1, 33.3)]
+
+
+def test_long_texts_stay_out_of_the_price_join(spark):
+    from partflow.operators.recode import conform as conformed
+
+    sales = spark.createDataFrame([("i", "d", "c", "s", 3)], "item_id string, dept_id string, cat_id string, store_id string, sales int")
+    prices = spark.createDataFrame([("i", "s", 1, 2.5)], "item_id string, store_id string, wm_yr_wk int, sell_price double")
+    got = conformed(sales, prices, category_map={"c": "a text of some length"})
+    assert [(r["part_description"], r["unit_cost"]) for r in got.collect()] == [("a text of some length", 2.5)]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    texts = [i for i, line in enumerate(lines) if "a text of some length" in line]
+    assert texts and max(texts) < join
