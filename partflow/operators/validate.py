@@ -115,6 +115,15 @@ def check_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> None:
         raise ValueError(f"demand record: missing fields {missing}, unexpected fields {unknown}")
 
 
+def _worked_out(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and the columns, worked out once a row.
+
+    A plain projection is repeated in every condition that is pushed below it,
+    once for each mention; what a generator returns is not.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def open_records(df: DataFrame, record: str = "record") -> DataFrame:
     """JSON records to the fields of a demand record and ``field_errors``; other columns carried.
 
@@ -122,7 +131,11 @@ def open_records(df: DataFrame, record: str = "record") -> DataFrame:
     are named in its errors. A text that is no object, or names a field twice,
     is an error of its own. A cost that is a text stays no number.
     """
-    value = F.try_parse_json(record)
+    carried = [c for c in df.columns if c not in (record, *fv.DEMAND_COLUMNS, "field_errors")]
+    # The text, what it holds, and its fields are each made once.
+    texts = _worked_out(df, carried, _record=F.col(record))
+    parsed = _worked_out(texts, carried, _value=F.try_parse_json("_record"), _names=F.json_object_keys("_record"))
+    value, names = F.col("_value"), F.col("_names")
 
     def field(name: str, kind: str) -> Column:
         return F.try_variant_get(value, f"$.{name}", kind)
@@ -130,7 +143,6 @@ def open_records(df: DataFrame, record: str = "record") -> DataFrame:
     cost_kind = F.schema_of_variant(field("unit_cost", "variant"))
     typed = {c: field(c, "string") for c in fv.DEMAND_COLUMNS}
     typed["unit_cost"] = F.when(cost_kind != "STRING", field("unit_cost", "double"))
-    names = F.json_object_keys(record)
     lacking = F.array(*[F.lit(c) for c in fv.DEMAND_COLUMNS if c != fv.OPTIONAL_FIELD])
     unknown = F.array_sort(F.array_except(names, F.array(*[F.lit(c) for c in fv.DEMAND_COLUMNS])))
     found = F.concat(
@@ -139,8 +151,7 @@ def open_records(df: DataFrame, record: str = "record") -> DataFrame:
     )
     whole = value.isNotNull() & names.isNotNull()
     errors = F.when(whole, found).otherwise(F.array(F.lit(MSG["no_record"])))
-    carried = [c for c in df.columns if c not in (record, *fv.DEMAND_COLUMNS, "field_errors")]
-    return df.select(*carried, *[c.alias(n) for n, c in typed.items()], errors.alias("field_errors"))
+    return _worked_out(parsed, carried, **typed, field_errors=errors)
 
 
 def with_open_errors(records: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 
@@ -172,3 +173,14 @@ def test_checks_of_an_ingest_run_once(spark, records):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "must be" not in plan and "parquet" in plan
     assert "outcome" not in done.valid.columns
+
+
+def test_open_records_are_parsed_once(spark):
+    """However often conditions and messages mention a field, the plan parses a record in one place."""
+    rows = [(1, '{"part_number": "P", "unit_cost": -1.5, "more": 1}'), (2, "[1]"), (3, None)]
+    records = spark.createDataFrame(rows, "order_key int, record string").repartition(2)
+    bad = v.quarantine(v.with_open_errors(v.open_records(records)), ("order_key",))
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parse_?json", plan, re.IGNORECASE)) == 1
+    got = {r["order_key"]: r["errors"] for r in bad.collect()}
+    assert got[2] == got[3] and len(got[2]) == 1 and len(got[1]) > 1
