@@ -24,8 +24,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -43,11 +44,11 @@ from partflow.session import materialize
 EXAMPLES = 10_000
 NEIGHBOURS, STEM = 15, 5
 #: Terms of the index's matrix; documents searched at a time; more than the product's error.
-FREQUENT, AT_ONCE, ERROR = 512, 32, 1e-5
+FREQUENT, AT_ONCE, ERROR = 512, 128, 1e-5
 #: Rows of a block; least rows of a list with block maxima; blocks around the best that give the first bound; texts that blocks are made around.
 BLOCK, LONG, FIRST, LEADERS = 64, 256, 6, 128
-#: Texts a task keeps the neighbours of, for copies.
-KEPT = 20_000
+#: Texts a task keeps the neighbours of, for copies; words it keeps the terms of.
+KEPT, KEPT_WORDS = 20_000, 1 << 17
 #: Partitions that postings are packed in.
 SEGMENTS = 16
 #: Weight of a term that tells nothing about the label; smoothing.
@@ -60,20 +61,54 @@ def term_hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode()) >> 1
 
 
-class _Terms(dict):
-    """Word to the vocabulary ids of its terms; words seen are kept, within a bound."""
+class _Terms:
+    """Texts to the vocabulary ids of their terms; words seen are kept, within a bound.
+
+    The new words of some texts are looked up at once.
+    """
 
     def __init__(self, vocabulary: np.ndarray):
-        super().__init__()
         self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        names = [term_hash(t) for t in _terms(word)]
-        places = zip(np.searchsorted(self.vocabulary, names).tolist(), names)
-        found = tuple(at for at, name in places if at < len(self.vocabulary) and self.vocabulary[at] == name)
-        if len(self) < 200_000:
-            self[word] = found
-        return found
+        self._clear()
+
+    def _clear(self) -> None:
+        #: Word, numbered when it is first asked for, to its row of ids: the word's and its stem's, the vocabulary's size for none.
+        self.place = defaultdict(count().__next__)
+        self.ids = np.zeros((0, 2), np.int32)
+
+    def _add(self, words: list[str]) -> None:
+        # A short word has no stem.
+        stemmed = np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) >= STEM)
+        at = np.full((len(words), 2), len(self.vocabulary), np.int32)
+        at[:, 0] = self._found(words)
+        at[stemmed, 1] = self._found([f"{words[i][:STEM]}*" for i in stemmed.tolist()])
+        self.ids = np.concatenate([self.ids, at])
+
+    def _found(self, terms: list[str]) -> np.ndarray:
+        """Places in the vocabulary, its size for terms it does not have."""
+        names = (np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms)) >> np.uint64(1)).astype(np.int64)
+        at = np.searchsorted(self.vocabulary, names)
+        at[np.append(self.vocabulary, -1)[at] != names] = len(self.vocabulary)
+        return at
+
+    def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each text's terms in order, and how often it has them; some texts' words are held at a time."""
+        for at in range(0, len(texts), AT_ONCE):
+            yield from self._of(texts[at : at + AT_ONCE])
+
+    def _of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(self.place) > KEPT_WORDS:
+            self._clear()
+        found = [Counter(_words(t)) for t in texts]
+        places = [np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)) for words in found]
+        if len(self.place) > len(self.ids):
+            self._add(list(islice(self.place, len(self.ids), None)))
+        for words, at in zip(found, places):
+            terms, which = np.unique(self.ids[at], return_inverse=True)
+            each = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)
+            counts = np.bincount(which.ravel(), each, len(terms)).astype(np.int64)
+            known = slice(None, -1 if len(terms) and terms[-1] == len(self.vocabulary) else None)
+            yield terms[known], counts[known]
 
 
 def _terms(word: str) -> tuple[str, ...]:
@@ -120,7 +155,8 @@ class Index:
         size = held.copy()
         size[often] = 0
         self.first = np.concatenate([[0], np.cumsum(size)])
-        self.row, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1], np.float32)
+        narrow = np.uint16 if len(ids) <= 1 << 16 else np.int32
+        self.row, self.value = np.empty(self.first[-1], narrow), np.empty(self.first[-1], np.float32)
         free = self.first[:-1].copy()
         for term, row, value in parts:
             inside = self.place[term] >= 0
@@ -167,7 +203,7 @@ class Index:
         begin, weight = self.begin[slot[long]], weight[long]
         bound = weight.astype(np.float32) @ self.top[slot[long]]
         reach = np.maximum.reduceat(score + sums, np.arange(0, n, BLOCK)) + bound
-        wanted = np.ones(len(reach), bool)
+        wanted, least = np.ones(len(reach), bool), 0.0
         if len(reach) > FIRST:
             start = max(0, int(reach.argmax()) - FIRST // 2)
             stop = min(start + FIRST, len(reach))
@@ -179,11 +215,14 @@ class Index:
         reached = np.flatnonzero(wanted)
         start, stop = (int(reached[0]), int(reached[-1]) + 1) if len(reached) else (0, 0)
         score += self._added(begin[:, start], begin[:, stop], weight)
-        at = np.arange(start * BLOCK, min(stop * BLOCK, n))
-        about = score[at] + sums[at]
-        kth = np.partition(about, len(at) - k)[len(at) - k] if len(at) > k else 0.0
-        rows = at[(about >= kth - ERROR) & (about > 0)]
-        cosine = np.round(score[rows] + often.astype(float) @ self.matrix[:, rows], 12)
+        whole = slice(start * BLOCK, min(stop * BLOCK, n))
+        about = score[whole] + sums[whole]
+        rows = np.flatnonzero((about >= least - 2 * ERROR) & (about > 0))
+        about = about[rows]
+        kth = np.partition(about, len(rows) - k)[len(rows) - k] if len(rows) > k else 0.0
+        rows = rows[about >= kth - ERROR] + whole.start
+        some = np.flatnonzero(often)
+        cosine = np.round(score[rows] + often[some].astype(float) @ self.matrix[np.ix_(some, rows)], 12)
         best = np.lexsort((rows, -cosine))[:k]
         return cosine[best], rows[best]
 
@@ -251,7 +290,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
     texts = materialize(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxicity-sample")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             seen = (Counter(), Counter())
             for body, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
@@ -260,7 +299,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
             yield pa.RecordBatch.from_pydict({"term": pa.array([term_hash(t) for t in terms], pa.int64()), "clean": pa.array([seen[0][t] for t in terms], pa.int64()), "toxic": pa.array([seen[1][t] for t in terms], pa.int64())})
 
     n0, n1 = (float(max(1, sizes.get(c, (0, 0))[1])) for c in (0, 1))
-    counts = texts.mapInArrow(count, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = texts.mapInArrow(by_label, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     clean, toxic = F.col("clean"), F.col("toxic")
     all_texts, held = n0 + n1, clean + toxic
     phi = F.abs(toxic * n0 - clean * n1) / F.sqrt(n0 * n1 * held * F.greatest(all_texts - held, F.lit(1.0)))
@@ -279,9 +318,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
         known = _Terms(sent.value)
         seen, n = np.zeros(len(known.vocabulary), np.int64), 0
         for batch in slices(batches, "text"):
-            for body in batch.column("text").to_pylist():
-                found = {t for terms in map(known.__getitem__, set(_words(body))) for t in terms}
-                seen[list(found)] += 1
+            for terms, _ in known.of(batch.column("text").to_pylist()):
+                seen[terms] += 1
             n += batch.num_rows
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(terms, -1), pa.int32()), "n": pa.array(np.append(seen[terms], n), pa.int64())})
@@ -294,8 +332,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Terms(sent.value)
         for batch in slices(batches, "text"):
-            found = [_counted(known, b) for b in batch.column("text").to_pylist()]
-            columns = [pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))]
+            found = list(known.of(batch.column("text").to_pylist()))
+            columns = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *columns], names=["doc_id", "label", "terms", "counts"])
 
     ddl = "doc_id long, label int, terms array<int>, counts array<int>"
@@ -334,15 +372,6 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([first, pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["first", "segment"])
 
 
-def _counted(known: _Terms, text: str | None) -> dict[int, int]:
-    """The vocabulary ids of a text's terms and how often it has them."""
-    counts: dict[int, int] = {}
-    for word, n in Counter(_words(text)).items():
-        for t in known[word]:
-            counts[t] = counts.get(t, 0) + n
-    return counts
-
-
 def _chained(leaders: np.ndarray) -> np.ndarray:
     """The leaders in an order in which each comes behind the one it is most like, so that blocks alike are neighbours."""
     like = leaders @ leaders.T
@@ -416,19 +445,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
         known, seen = _Terms(words), {}
         none = np.zeros(0), np.zeros(0, np.int64)
 
-        def vector(body: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-            counts = _counted(known, body)
-            if not counts or index is None:
+        def vector(term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+            if not len(term) or index is None:
                 return None
-            term = np.fromiter(counts, np.int64, len(counts))
-            value = (1 + np.log(np.fromiter(counts.values(), np.int64, len(counts)))) * weighs[term]
+            value = (1 + np.log(count)) * weighs[term]
             return term, value / np.linalg.norm(value)
 
         def neighbours(bodies: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
             for at in range(0, len(bodies), AT_ONCE):
                 names = [xxhash.xxh128_digest(b or "") for b in bodies[at : at + AT_ONCE]]
                 new = {name: b for name, b in zip(names, bodies[at : at + AT_ONCE]) if name not in seen}
-                asked = {name: vector(b) for name, b in new.items()}
+                asked = {name: vector(*counted) for name, counted in zip(new, known.of(list(new.values())))}
                 known_words = [q for q in asked.values() if q]
                 found = iter(index.search(known_words, k) if known_words else [])
                 seen.update({name: next(found) if q else None for name, q in asked.items()})

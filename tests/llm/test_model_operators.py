@@ -206,3 +206,26 @@ def test_toxicity_searches_whole_vectors_of_both_classes(spark):
     assert sorted(model.index.ids.tolist()) == [0, 1, 2, 3] and set(model.index.labels.tolist()) == {0, 1}
     got = {r["doc_id"]: {e["doc_id"] for e in r["evidence"]} for r in toxicity.score(known, model).collect()}
     assert got == {0: {0, 1, 2}, 1: {0, 1, 2}, 2: {0, 1, 2}, 3: {3}, 4: {1, 3}, 5: set(), 6: set(), 7: {2}}
+
+
+def test_toxicity_looks_new_words_up_at_once(monkeypatch):
+    """Terms and counts as by plain counting, also when kept words go; one search of the vocabulary for all new words and one for their stems."""
+    texts = [None, "", "Alpha alphabet alpha be", "alphorn alpin be_be 12 alpha", "ärger äbc unknownword", "be"] * 3
+    every = lambda body: [t for w in re.findall(r"[^\W\d_]+", (body or "").lower()) for t in toxicity._terms(w)]
+    names = {toxicity.term_hash(t): t for body in texts[:4] for t in every(body)}
+    vocabulary = np.array(sorted(names), np.int64)
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 3)
+    searches, search = [], np.searchsorted
+    monkeypatch.setattr(toxicity.np, "searchsorted", lambda *a, **b: searches.append(1) or search(*a, **b))
+    known = toxicity._Terms(vocabulary)
+    for some in (texts, texts[3:5], texts[:3]):
+        got = [{names[int(vocabulary[t])]: int(n) for t, n in zip(*found)} for found in known.of(some)]
+        assert got == [{t: n for t, n in Counter(every(body)).items() if t in names.values()} for body in some]
+    assert len(searches) == 6 and len(known.place) <= 5
+    assert [len(terms) for terms, _ in toxicity._Terms(vocabulary[:0]).of(texts)] == [0] * len(texts)
+
+
+def test_toxicity_index_is_narrow():
+    """Rows take two bytes as long as they fit."""
+    vectors = [{0: 0.6, 1: 0.8}, {1: 1.0}]
+    assert toxicity.Index(vectors, np.arange(2), np.zeros(2, int), np.ones(2), 2).row.dtype == np.uint16
