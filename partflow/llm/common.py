@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,23 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What a worker has kept from an earlier task.
+_kept: dict[Hashable, Any] = {}
+
+
+def kept_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept by the worker from task to task.
+
+    A worker keeps one such thing at a time: another one takes its place, so
+    what the stages of a run leave in a worker does not add up.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+        pa.default_memory_pool().release_unused()
+    return _kept[key]
+
+
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` and the fields of ``ddl`` behind it."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])

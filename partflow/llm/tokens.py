@@ -8,13 +8,12 @@ Chunks repeat; a worker keeps the ids of those it has met, under 128 bits of has
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from partflow.llm.common import kept_by_worker
 from partflow.llm.words import NOT_SPACE, Words, hash_words, text_bytes
 
 #: Ids and chunks a worker keeps before it starts anew; a bound of memory only.
@@ -147,10 +146,9 @@ class ChunkEncoder:
         return self.ids[at], self.begin[at] + shift, self.end[at] + shift, starts
 
 
-@lru_cache(maxsize=4)
 def chunk_encoder(json: str, spans: bool = False) -> ChunkEncoder:
     """The worker's encoder: the next task of the same worker goes on with its chunks."""
-    return ChunkEncoder(json, spans)
+    return kept_by_worker(("encoder", json, spans), lambda: ChunkEncoder(json, spans))
 
 
 def _text_starts(size: np.ndarray, cut: Words) -> np.ndarray:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import slices, with_fields
+from partflow.llm.common import kept_by_worker, slices, with_fields
 from partflow.session import materialize
 
 #: Documented bound: labelled examples of each class.
@@ -261,10 +261,6 @@ class Stored(NamedTuple):
             yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
 
 
-#: The index a worker has open: its broadcast's number and itself.
-_open: dict[int, Index] = {}
-
-
 def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
     """Up to ``most`` labelled ids of each class in hash order; class: (all, taken)."""
     one = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
@@ -437,11 +433,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weighs, stored, prior, no_term = sent.value
-        if stored is not None and number not in _open:
-            _open.clear()
-            _open[number] = stored.load(weighs)
-            pa.default_memory_pool().release_unused()
-        index = _open[number] if stored is not None else None
+        index = kept_by_worker(("index", number), lambda: stored.load(weighs)) if stored is not None else None
         known, seen = _Terms(words), {}
         none = np.zeros(0), np.zeros(0, np.int64)
 

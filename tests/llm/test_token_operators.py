@@ -1,6 +1,8 @@
 """Token files, packing and counts against the tokenizers themselves."""
 
+import gc
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +12,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from partflow.llm import elias_fano, packing, token_counts, token_file
-from partflow.llm.tokens import ChunkEncoder, default_path, tokenizer_json
+from partflow.llm.common import kept_by_worker
+from partflow.llm.tokens import ChunkEncoder, chunk_encoder, default_path, tokenizer_json
 
 WORD, BYTE = default_path("word_bpe_49k.json"), default_path("byte_bpe_50k.json")
 
@@ -146,3 +149,13 @@ def test_crc_of_read_ids(spark, docs, tmp_path):
     token_file.write_token_shards(docs.filter("doc_id = 3"), path, WORD, end_id=1)
     row = token_file.read_token_shards(spark.read.parquet(path)).selectExpr("crc32(ids) as c", "ids").first()
     assert row["c"] == zlib.crc32(bytes(row["ids"]))
+
+
+def test_worker_keeps_one_large_thing():
+    """An encoder goes when an index is opened, and the other way round."""
+    json = tokenizer_json(BYTE)
+    first = weakref.ref(chunk_encoder(json))
+    assert chunk_encoder(json) is first()
+    assert kept_by_worker(("index", 1), lambda: [1]) is kept_by_worker(("index", 1), lambda: [2])
+    gc.collect()
+    assert first() is None and kept_by_worker(("index", 2), lambda: [3]) == [3]
