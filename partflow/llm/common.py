@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -38,11 +40,21 @@ def kept_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     """
     if key not in _kept:
         _kept.clear()
+        _give_back()
         _kept[key] = make()
-        pa.default_memory_pool().release_unused()
+        _give_back()
     return _kept[key]
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` and the fields of ``ddl`` behind it."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute
 import pyarrow.parquet
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.llm.common import kept_by_worker, slices, with_fields
@@ -49,8 +49,8 @@ FREQUENT, AT_ONCE, ERROR = 512, 128, 1e-5
 BLOCK, LONG, FIRST, LEADERS = 64, 256, 6, 128
 #: Texts a task keeps the neighbours of, for copies; words it keeps the terms of.
 KEPT, KEPT_WORDS = 20_000, 1 << 17
-#: Partitions that postings are packed in.
-SEGMENTS = 16
+#: Partitions that postings are packed in; postings of a segment that are put into the index at a time.
+SEGMENTS, PART = 16, 1 << 16
 #: Weight of a term that tells nothing about the label; smoothing.
 FLOOR, SMOOTH = 0.05, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -256,9 +256,15 @@ class Stored(NamedTuple):
 
     def _parts(self, weigh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for segment in self.segments:
-            postings = pyarrow.parquet.read_table(pa.BufferReader(segment), use_threads=False)
-            term, row, count = (postings.column(c).to_numpy() for c in ("term", "row", "count"))
-            yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
+            postings = pyarrow.parquet.ParquetFile(pa.BufferReader(segment))
+            for part in postings.iter_batches(PART, use_threads=False):
+                term, row, count = (part.column(c).to_numpy() for c in ("term", "row", "count"))
+                yield term, row, (1 + np.log(count)) * weigh[term] / self.norm[row]
+
+
+def _own_number(spark: SparkSession) -> int:
+    """No two calls have the same, whatever worker they meet in."""
+    return xxhash.xxh64_intdigest(f"{spark.sparkContext.applicationId}-{uuid.uuid4()}")
 
 
 def _sample(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -309,9 +315,10 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
         return Model(words, np.zeros(0), None, prior, prior)
     # Sent once for all passes.
     sent = spark.sparkContext.broadcast(words)
+    own = ("terms", _own_number(spark))
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(sent.value)
+        known = kept_by_worker(own, lambda: _Terms(sent.value))
         seen, n = np.zeros(len(known.vocabulary), np.int64), 0
         for batch in slices(batches, "text"):
             for terms, _ in known.of(batch.column("text").to_pylist()):
@@ -326,7 +333,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     weighs = (np.log((1 + n_of[-1]) / (1 + n_of[:-1])) + 1) * tells
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(sent.value)
+        known = kept_by_worker(own, lambda: _Terms(sent.value))
         for batch in slices(batches, "text"):
             found = list(known.of(batch.column("text").to_pylist()))
             columns = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
@@ -429,12 +436,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", k: int = NEIGHBOURS
     """
     docs = docs.drop(*NEW)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    number = xxhash.xxh64_intdigest(f"{id(model)}-{docs.sparkSession.sparkContext.applicationId}-{uuid.uuid4()}")
+    own = ("index", _own_number(docs.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weighs, stored, prior, no_term = sent.value
-        index = kept_by_worker(("index", number), lambda: stored.load(weighs)) if stored is not None else None
-        known, seen = _Terms(words), {}
+        index, known = kept_by_worker(own, lambda: (stored.load(weighs) if stored is not None else None, _Terms(words)))
+        seen = {}
         none = np.zeros(0), np.zeros(0, np.int64)
 
         def vector(term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:

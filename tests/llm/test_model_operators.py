@@ -229,3 +229,17 @@ def test_toxicity_index_is_narrow():
     """Rows take two bytes as long as they fit."""
     vectors = [{0: 0.6, 1: 0.8}, {1: 1.0}]
     assert toxicity.Index(vectors, np.arange(2), np.zeros(2, int), np.ones(2), 2).row.dtype == np.uint16
+
+
+def test_toxicity_opens_the_index_by_small_parts(spark, monkeypatch):
+    """A worker holds a bounded number of postings besides the index while it opens it."""
+    texts = [(i, " ".join(f"word{chr(97 + j % 26)}{chr(97 + i % 7)}" for j in range(i, i + 30))) for i in range(60)]
+    model = toxicity.learn(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int"))
+    monkeypatch.setattr(toxicity, "PART", 50)
+    sizes = [len(term) for term, _, _ in model.index._parts(model.weight)]
+    assert max(sizes) <= 50 and sum(sizes) == model.index.held.sum()
+    monkeypatch.setattr(toxicity, "PART", 1 << 16)
+    whole = model.index.load(model.weight)
+    monkeypatch.setattr(toxicity, "PART", 7)
+    index = model.index.load(model.weight)
+    assert all(np.array_equal(getattr(whole, a), getattr(index, a)) for a in ("matrix", "row", "value", "begin", "top"))
