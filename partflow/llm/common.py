@@ -39,13 +39,19 @@ def kept_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     what the stages of a run leave in a worker does not add up.
     """
     if key not in _kept:
-        _kept.clear()
-        _give_back()
+        drop_kept()
         _kept[key] = make()
         _give_back()
     return _kept[key]
 
 
+def drop_kept() -> None:
+    """What the worker kept for an earlier operator goes: for tasks that need the room and not the thing."""
+    if _kept:
+        _kept.clear()
+        _give_back()
+
+
 def _give_back() -> None:
     """Freed memory goes back to the system, where the C library can do that."""
     gc.collect()

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partflow.llm.common import discard, slices
+from partflow.llm.common import discard, drop_kept, slices
 from partflow.llm.components import smallest_reachable
 from partflow.llm.recurring import pack, unpack
 from partflow.llm.words import U64, Words, hash_windows, hash_words, mix, split_words
@@ -133,6 +133,7 @@ def sketches(docs: DataFrame, size: int, lanes: int) -> DataFrame:
     """(id, n_shingles, hi, lo, lanes) of (id, text): 128 bits that name the set, and its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in slices(batches, "text", 2 << 20):
             h, starts = shingle_sets(batch.column("text"), size)
             full = np.diff(starts) > 0
@@ -149,6 +150,7 @@ def full_sets(docs: DataFrame, size: int, lanes: int) -> DataFrame:
     """(id, size, lanes, extra, hashes) of (id, text); lanes of two bytes, further ones of one, hashes of eight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in slices(batches, "text", 2 << 20):
             h, starts = shingle_sets(batch.column("text"), size)
             held = _lanes(h, starts, 0, lanes).astype(np.uint16), _lanes(h, starts, lanes, EXTRA).astype(np.uint8)

@@ -4,9 +4,11 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, near_dedup, substring_dedup, warc
+from partflow.llm import common, decontaminate, near_dedup, substring_dedup, warc
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -168,3 +170,16 @@ def test_warc_empty(spark, tmp_path):
     path = str(tmp_path / "warc")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archives(spark, path).collect() == []
+
+
+@pytest.mark.parametrize("table", [near_dedup.sketches, near_dedup.full_sets])
+def test_near_dedup_makes_room(monkeypatch, table):
+    """What a worker kept for an earlier stage is gone before the first text is read."""
+    monkeypatch.setattr(common, "_kept", {"index": 1})
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1], pa.int64()), "text": ["a b c d e f"]})
+
+    class Docs:
+        def mapInArrow(self, function, ddl):
+            return [b.num_rows for b in function(iter([batch]))], dict(common._kept)
+
+    assert table(Docs(), 5, 36) == ([1], {})
