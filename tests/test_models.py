@@ -213,3 +213,61 @@ def test_training_rows_are_spread_over_tasks(spark):
     assert spread(rows, 100).rdd.getNumPartitions() == 10
     assert spread(rows, 1_000).rdd.getNumPartitions() == 1
     assert sorted(r["id"] for r in spread(rows, 300).collect()) == list(range(1_000))
+
+
+@pytest.mark.parametrize("joint_rows", [1_000_000, 100])
+@pytest.mark.parametrize("share", [0.8, 1.0])
+def test_trees_are_those_of_spark(spark, monkeypatch, share, joint_rows):
+    """Grown from histograms, features alone or several a column, trees are GBTRegressor's; more rows than the sample for thresholds."""
+    from partflow.operators.models import boosted, histograms
+
+    monkeypatch.setattr(histograms, "JOINT_ROWS", joint_rows)
+    n, x = 12_000, F.col("id")
+    rows = spark.range(0, n, 1, 3).select(
+        *[(F.rand(i) * 100).alias(c) for i, c in enumerate(("lag_1", "lag_3", "unit_cost"))],
+        (x % 7).cast("int").alias("day_of_week"),
+        (x % 12 - 5).cast("int").alias("month"),
+        (x % 5 == 0).cast("int").alias("is_weekend"),
+        F.lit(3).alias("quarter"),
+    )
+    rows = rows.withColumn(fv.TARGET_COLUMN, (F.col("lag_1") * F.col("day_of_week") + F.col("lag_3") + F.rand(9) * 500).cast("int"))
+    model = boosted.BoostedForecaster(trees=5, depth=4, row_share=share)
+    names = [c for c in fv.FEATURE_COLUMNS if c in rows.columns]
+    plain = model.pipeline(names).fit(rows.select(*names, F.col(fv.TARGET_COLUMN).cast("double").alias("_label")))
+    model.train(rows)
+
+    def nodes(saved):
+        path = scratch_path(spark, "model")
+        saved.write().save(path)
+        return {(r["treeID"], r["nodeData"]["id"]): r["nodeData"] for r in spark.read.parquet(f"{path}/stages/1_*/data").collect()}
+
+    want, got = nodes(plain), nodes(model.model)
+    assert want.keys() == got.keys() and len(got) > 100
+    for key, node in want.items():
+        assert (node["split"], node["rawCount"], node["leftChild"], node["rightChild"]) == (got[key]["split"], got[key]["rawCount"], got[key]["leftChild"], got[key]["rightChild"])
+        assert [got[key][c] for c in ("prediction", "impurity", "gain")] == pytest.approx([node[c] for c in ("prediction", "impurity", "gain")], rel=1e-6, abs=1e-6)
+        assert got[key]["impurityStats"] == pytest.approx(node["impurityStats"], rel=1e-9, abs=1e-6)
+    assert model.predict(rows).agg(F.sum("predicted")).first()[0] == pytest.approx(plain.transform(rows).agg(F.sum(F.greatest("predicted", F.lit(0.0)))).first()[0])
+
+
+def test_training_takes_no_more_tasks_than_cores(spark):
+    """A level of a tree was a pass of a task a partition; histograms now come one a core, whatever the partitions."""
+    from partflow.operators.models import histograms
+
+    rows = spark.range(0, 600, 1, 30).select((F.col("id") % 9).cast("double").alias("lag_1"), (F.col("id") % 4).cast("double").alias("_label"))
+    seen, merged = [], histograms._merged
+    histograms._merged = lambda sums: seen.append(sums.getNumPartitions()) or merged(sums)
+    try:
+        layout, grown = histograms.grow(rows, 600, ["lag_1"], "_label", 2, 2, 0.1, 0.8, 1)
+    finally:
+        histograms._merged = merged
+    assert max(seen) <= spark.sparkContext.defaultParallelism and len(grown) == 2
+    assert histograms.node_rows(0, grown[0], layout)[0][1][4] < 600
+
+
+def test_rows_that_cannot_be_trained_on(spark):
+    rows = spark.createDataFrame([(1.0, 2), (None, 3)], "lag_1 double, demand_quantity int")
+    with pytest.raises(Exception, match="null"):
+        BoostedForecaster(trees=1, depth=1).train(rows)
+    with pytest.raises(ValueError, match="no rows"):
+        BoostedForecaster(trees=1, depth=1).train(rows.limit(0))
