@@ -360,6 +360,21 @@ def test_index_search_agrees_with_scoring_every_pair(spark, monkeypatch):
     assert retrieve.keyword_search_table(chunks, table.limit(0)).collect() == []
 
 
+def test_a_term_in_a_word_of_every_chunk_pairs_no_chunks(spark):
+    """Every chunk has an item word of its own, so "tem" is in as many words as chunks; questions met each of them."""
+    from partflow.operators import postings
+
+    chunks = _chunk_table(spark, [(f"c{i:03}", 0, i, f"item_{i} {'blue' if i % 2 else 'red'}", "{}", [f"item_{i}"]) for i in range(300)])
+    asked = ["tem", "tem blue", "item_7 red", "red em", "m_299 tem"]
+    table = spark.createDataFrame([(q,) for q in asked], "question string")
+    want = {(asked[r["qid"]], r["rank"], r["id"], round(r["score"], 9)) for r in retrieve.keyword_search(chunks, asked, 3).collect()}
+    assert {(r["qid"], r["rank"], r["id"], round(r["score"], 9)) for r in retrieve.keyword_search_table(chunks, table, 3).collect()} == want
+    numbered = spark.createDataFrame([(i, q, q.split()) for i, q in enumerate(asked)], "qid int, phrase string, terms array<string>")
+    pairs = postings.question_points(postings.chunk_index(chunks), chunks, numbered, 3).select("qid", "id").distinct()
+    per = {r["qid"]: r["n"] for r in pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert per[2] < 200 and per[4] < 50
+
+
 def test_questions_and_chunks_are_never_sent_whole(spark, monkeypatch):
     from partflow.operators import postings
 
